@@ -280,16 +280,20 @@ def _running(i: Inputs) -> DataFrame:
     return agent_jobs.running_jobs(i.raw_job_activity, i.raw_jobs, i.raw_agent_sessions)
 
 
+def _flagged(i: Inputs) -> DataFrame:
+    return agent_alerts.flagged_alerts(i.raw_alerts, i.raw_notifications, params=ALERT_PARAMS)
+
+
 def _alerts(i: Inputs) -> DataFrame:
-    return agent_alerts.alert_details(i.raw_alerts, i.raw_notifications, i.raw_operators, params=ALERT_PARAMS)
+    return agent_alerts.with_notification_lists(_flagged(i), i.raw_notifications, i.raw_operators)
 
 
 def _config_issues(i: Inputs) -> DataFrame:
-    return agent_alerts.configuration_issues(_alerts(i))
+    return agent_alerts.configuration_issues(_flagged(i), i.raw_notifications, i.raw_operators)
 
 
 def _triggered(i: Inputs) -> DataFrame:
-    return agent_alerts.triggered_alerts(_alerts(i))
+    return agent_alerts.triggered_alerts(_flagged(i), i.raw_notifications, i.raw_operators)
 
 
 put(
@@ -303,11 +307,11 @@ put(
     c54_longest_running=lambda i: agent_jobs.longest_running(_running(i)),
     c54_running_evidence=lambda i: agent_jobs.running_evidence(agent_jobs.longest_running(_running(i))),
     c55_decoded_alerts=lambda i: agent_alerts.decoded_alerts(i.raw_alerts),
-    c56_has_notification=lambda i: _alerts(i).select(*SNAPSHOT, "AlertId", "HasNotification"),
+    c56_has_notification=lambda i: _flagged(i).select(*SNAPSHOT, "AlertId", "HasNotification"),
     c57_operator_names=lambda i: _alerts(i).select(*SNAPSHOT, "AlertId", "OperatorNames"),
     c58_notification_methods=lambda i: _alerts(i).select(*SNAPSHOT, "AlertId", "NotificationMethods"),
     c59_alert_flags=_alerts,
-    c60_alert_summary=lambda i: agent_alerts.alert_summary(_alerts(i), i.landing_roster),
+    c60_alert_summary=lambda i: agent_alerts.alert_summary(_flagged(i), i.landing_roster),
     c61_configuration_issues=_config_issues,
     c62_triggered_alerts=_triggered,
     c63_issue_evidence=lambda i: agent_alerts.alert_evidence(_config_issues(i)),

@@ -25,8 +25,9 @@ def empty_to(value: Column, default: str) -> Column:
 
 def one_line(statement: Column, limit: int | None) -> Column:
     """Carriage returns and line feeds become blanks; ``limit`` bounds the stored text, None keeps it whole."""
-    flat = F.translate(statement, "\r\n", "  ")
-    return flat if limit is None else F.substring(flat, 1, limit)
+    # One character replaces one, so cutting first gives the same text for less work.
+    kept = statement if limit is None else F.substring(statement, 1, limit)
+    return F.replace(F.replace(kept, F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
 
 
 def signature(statement: Column) -> Column:

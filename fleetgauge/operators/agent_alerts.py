@@ -71,30 +71,43 @@ def alert_severity() -> Column:
     )
 
 
-def alert_details(
-    alerts: DataFrame, notifications: DataFrame, operators: DataFrame, as_of: datetime | None = None,
-    params: AlertParams = AlertParams(),
+def flagged_alerts(
+    alerts: DataFrame, notifications: DataFrame, as_of: datetime | None = None, params: AlertParams = AlertParams(),
 ) -> DataFrame:
-    """Decoded alerts with notification lists and flags."""
+    """Decoded alerts with severity and flags, without the notification lists most results do not show."""
     earliest = now_or(as_of) - F.expr(f"INTERVAL '{params.lookback_hours}' HOUR")
 
     def flag(condition: Column) -> Column:
         return F.when(condition, 1).otherwise(0)
 
-    joined = decoded_alerts(alerts).join(
-        notification_lists(notifications, operators), [*SNAPSHOT, "AlertId"], "left",
+    notified = notifications.groupBy(*SNAPSHOT, F.col("alert_id").alias("AlertId")).agg(
+        F.count(F.lit(1)).alias("_notifications")
     )
+    joined = decoded_alerts(alerts).join(notified, [*SNAPSHOT, "AlertId"], "left")
     return joined.withColumns({
-        "HasNotification": flag(F.col("OperatorNames").isNotNull()),
-        "OperatorNames": F.coalesce("OperatorNames", F.lit(text.NONE)),
-        "NotificationMethods": F.coalesce("NotificationMethods", F.lit(text.NONE)),
+        "HasNotification": flag(F.col("_notifications") > 0),
         "WasTriggeredRecently": flag(F.col("LastOccurrenceDateTime") >= earliest),
         "RespondedRecently": flag(F.col("LastResponseDateTime") >= earliest),
         "AlertSeverity": alert_severity(),
+    }).drop("_notifications")
+
+
+def with_notification_lists(flagged: DataFrame, notifications: DataFrame, operators: DataFrame) -> DataFrame:
+    """Add operator names and methods, '(none)' where an alert notifies nobody."""
+    joined = flagged.join(notification_lists(notifications, operators), [*SNAPSHOT, "AlertId"], "left")
+    return joined.withColumns({
+        name: F.coalesce(name, F.lit(text.NONE)) for name in ("OperatorNames", "NotificationMethods")
     })
 
 
-def alert_summary(details: DataFrame, roster: DataFrame) -> DataFrame:
+def _with_own_lists(chosen: DataFrame, notifications: DataFrame, operators: DataFrame) -> DataFrame:
+    """The lists of few chosen alerts, from the notifications of those alerts only."""
+    keys = chosen.select(*SNAPSHOT, F.col("AlertId").alias("alert_id"))
+    related = notifications.join(keys, [*SNAPSHOT, "alert_id"], "left_semi")
+    return with_notification_lists(chosen, related, operators)
+
+
+def alert_summary(flagged: DataFrame, roster: DataFrame) -> DataFrame:
     c = F.col
     counted = {
         "EnabledAlerts": c("IsEnabled") == 1, "DisabledAlerts": c("IsEnabled") == 0,
@@ -103,7 +116,7 @@ def alert_summary(details: DataFrame, roster: DataFrame) -> DataFrame:
         "AlertsWithOccurrences": c("OccurrenceCount") > 0, "AlertsTriggeredRecently": c("WasTriggeredRecently") == 1,
         "AlertsRespondedRecently": c("RespondedRecently") == 1,
     }
-    totals = details.groupBy(*SNAPSHOT).agg(
+    totals = flagged.groupBy(*SNAPSHOT).agg(
         F.count(F.lit(1)).alias("TotalAlerts"),
         *(F.count_if(condition).alias(name) for name, condition in counted.items()),
         F.max("OccurrenceCount").alias("MaxOccurrenceCount"),
@@ -111,25 +124,31 @@ def alert_summary(details: DataFrame, roster: DataFrame) -> DataFrame:
     return roster.join(totals, SNAPSHOT, "left").fillna(0)
 
 
-def configuration_issues(details: DataFrame, params: AlertParams = AlertParams()) -> DataFrame:
+def configuration_issues(
+    flagged: DataFrame, notifications: DataFrame, operators: DataFrame, params: AlertParams = AlertParams(),
+) -> DataFrame:
     """Alerts that are disabled or notify nobody."""
-    issues = details.filter("IsEnabled = 0 OR HasNotification = 0").withColumns({
+    issues = flagged.filter("IsEnabled = 0 OR HasNotification = 0").withColumns({
         "DetailType": F.lit("AlertConfigIssue"),
         "IssueReason": F.when(F.col("IsEnabled") == 0, "Alert disabled").otherwise("Alert has no notification"),
     })
     order = [F.col(c).asc() for c in ("IsEnabled", "HasNotification", "AlertName")]
-    return top_per(issues, SNAPSHOT, order, ["AlertId"], params.max_rows)
+    chosen = top_per(issues, SNAPSHOT, order, ["AlertId"], params.max_rows)
+    return _with_own_lists(chosen, notifications, operators)
 
 
-def triggered_alerts(details: DataFrame, params: AlertParams = AlertParams()) -> DataFrame:
+def triggered_alerts(
+    flagged: DataFrame, notifications: DataFrame, operators: DataFrame, params: AlertParams = AlertParams(),
+) -> DataFrame:
     """Enabled alerts that fired within the lookback, the most severe first."""
     c = F.col
-    fired = details.filter("IsEnabled = 1 AND OccurrenceCount > 0 AND WasTriggeredRecently = 1").withColumns({
+    fired = flagged.filter("IsEnabled = 1 AND OccurrenceCount > 0 AND WasTriggeredRecently = 1").withColumns({
         "DetailType": F.lit("AlertTriggered"), "IssueReason": F.lit("Alert triggered recently"),
     })
     rank = F.when(c("AlertSeverity") == "Critical", 1).when(c("AlertSeverity") == "Warning", 2).otherwise(3)
     order = [rank.asc(), c("LastOccurrenceDateTime").desc(), c("OccurrenceCount").desc(), c("AlertName").asc()]
-    return top_per(fired, SNAPSHOT, order, ["AlertId"], params.max_rows)
+    chosen = top_per(fired, SNAPSHOT, order, ["AlertId"], params.max_rows)
+    return _with_own_lists(chosen, notifications, operators)
 
 
 def alert_metrics(summary: DataFrame) -> DataFrame:

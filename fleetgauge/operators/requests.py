@@ -53,6 +53,7 @@ def active_requests(requests: DataFrame, sessions: DataFrame, params: RequestPar
     base = requests.select(
         *SNAPSHOT, "session_id", F.col("database_name").alias("DatabaseName"), "status", "command", "wait_type",
         *(F.coalesce(m, F.lit(0)).alias(m) for m in MEASURES),
+        F.col("sql_text").isNotNull().alias("HasStatement"),
         text.signature(statement).alias("QuerySignature"), statement.alias("SqlText"),
     )
     return base.join(foreign_sessions(sessions, params.monitor), [*SNAPSHOT, "session_id"])
@@ -101,7 +102,7 @@ def _with_text(chosen: DataFrame, requests: DataFrame, params: RequestParams) ->
 def expensive_requests(base: DataFrame, requests: DataFrame, params: RequestParams = RequestParams()) -> DataFrame:
     """The requests over any threshold, the most costly ones of each snapshot first."""
     order = [F.col(c).desc() for c in ("cpu_time", "total_elapsed_time", "logical_reads", "wait_time")]
-    narrow = base.filter(is_expensive(params)).drop("QuerySignature", "SqlText")
+    narrow = base.filter(is_expensive(params)).drop("HasStatement", "QuerySignature", "SqlText")
     return _with_text(top_per(narrow, SNAPSHOT, order, ["session_id"], params.max_requests), requests, params)
 
 
@@ -135,8 +136,9 @@ def request_attribution(
 
 def repeated_requests(base: DataFrame, requests: DataFrame, params: RequestParams = RequestParams()) -> DataFrame:
     """Statements that more than one request of a snapshot runs, the most frequent first."""
+    # Asking the flag, not the signature, keeps the hash from being computed a second time for the filter.
     groups = (
-        base.filter(F.col("QuerySignature").isNotNull())
+        base.filter("HasStatement")
         .groupBy(*SNAPSHOT, "QuerySignature")
         .agg(
             F.count(F.lit(1)).alias("ActiveRequestCount"),

@@ -120,11 +120,11 @@ def collect_jobs(
 
 
 def collect_alerts(alerts: DataFrame, notifications: DataFrame, operators: DataFrame, roster: DataFrame) -> Collection:
-    details = agent_alerts.alert_details(alerts, notifications, operators)
-    evidence = agent_alerts.alert_evidence(agent_alerts.configuration_issues(details)).unionByName(
-        agent_alerts.alert_evidence(agent_alerts.triggered_alerts(details))
-    )
-    return Collection(agent_alerts.alert_metrics(agent_alerts.alert_summary(details, roster)), evidence, (details,))
+    flagged = agent_alerts.flagged_alerts(alerts, notifications)
+    issues = agent_alerts.configuration_issues(flagged, notifications, operators)
+    triggered = agent_alerts.triggered_alerts(flagged, notifications, operators)
+    evidence = agent_alerts.alert_evidence(issues).unionByName(agent_alerts.alert_evidence(triggered))
+    return Collection(agent_alerts.alert_metrics(agent_alerts.alert_summary(flagged, roster)), evidence, (flagged,))
 
 
 # What every row of a landing table must meet; an instance with another row fails its run.

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetgauge import fixed_values as fv
-from fleetgauge.functions.ranking import newest_per
+from fleetgauge.functions.ranking import SLICES, newest_per
 from fleetgauge.functions.timing import minutes_crossed, ntz, seconds_crossed
 from fleetgauge.plans import signals
 from fleetgauge.plans.signals import Signal, latest_signals
@@ -344,13 +344,20 @@ def wait_class(wait_type: Column) -> Column:
 def wait_deltas(metrics: DataFrame) -> DataFrame:
     """Per instance and wait type, the growth between its two newest captures; NULL without baseline or on reset.
 
-    One scan: each task keeps only the rows of the two newest captures it sees of an instance.
+    One scan: each task keeps only the rows of the two newest captures it sees.  Captures are ranked per
+    slice of wait types first: a row of the instance's two newest captures is also in its slice's, so
+    nothing is lost and the rows of one large instance are shared by many tasks.
     """
     waits = metrics.filter(
         (F.col("SourceCollector") == fv.WAIT_STATS) & (F.col("ObjectName") == "SQLWaitStats")
     ).select("InstanceId", "CaptureTime", F.col("InstanceName").alias("WaitType"), "CounterName", "MetricValue")
-    newest_first = Window.partitionBy("InstanceId").orderBy(F.col("CaptureTime").desc())
-    two = waits.withColumn("_capture", F.dense_rank().over(newest_first)).filter("_capture <= 2")
+
+    def two_newest(rows: DataFrame, *keys: str) -> DataFrame:
+        newest_first = Window.partitionBy(*keys).orderBy(F.col("CaptureTime").desc())
+        return rows.withColumn("_capture", F.dense_rank().over(newest_first)).filter("_capture <= 2")
+
+    sliced = waits.withColumn("_slice", F.pmod(F.xxhash64("WaitType"), F.lit(SLICES)))
+    two = two_newest(two_newest(sliced, "InstanceId", "_slice").drop("_slice", "_capture"), "InstanceId")
     current, before = F.col("_capture") == 1, F.col("_capture") == 2
     timed = F.col("CounterName") == "WaitTimeMs"
     per_type = two.groupBy("InstanceId", "WaitType").agg(

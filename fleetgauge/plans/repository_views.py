@@ -100,9 +100,10 @@ def top_problem_queries(evidence: DataFrame, instances: DataFrame, top: int = 50
     Chosen on narrow rows; the wide text is then fetched for the chosen ids only, which are
     at most ``top`` rows and so always small enough to broadcast.
     """
-    key = ["InstanceId", "CaptureTime", "MetricTextSnapshotId"]
+    # Joining on the partition date too lets the scan for the texts skip all other dates.
+    key = ["capture_date", "InstanceId", "CaptureTime", "MetricTextSnapshotId"]
     order = ["CaptureTime", "NumericValue1", "NumericValue2"]
-    narrow = _evidence_of(fv.QUERY_STATS, evidence, instances).select(*_NAMES, *order, key[-1])
+    narrow = _evidence_of(fv.QUERY_STATS, evidence, instances).select(*_NAMES, *order, key[0], key[-1])
     chosen = top_overall(narrow, [F.col(c).desc() for c in order], [key[-1]], top)
     texts = evidence.filter(F.col("SourceCollector") == fv.QUERY_STATS).select(
         *key, "DatabaseName", "DetailType", "Severity", "Details", "SourceCollector",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 from datetime import date, datetime
@@ -65,7 +66,9 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new folder under the shared directory that ``spark.checkpoint.dir`` names."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.mkdtemp(prefix="scratch-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -184,28 +184,34 @@ ORACLES["s5_evidence_sink"] = (
 
 # --- active requests -----------------------------------------------------------------------------
 
-_ACTIVE = "WITH " + _FOREIGN + """,
+_FLAT = "WITH " + _FOREIGN + """,
 texts AS (SELECT DISTINCT sql_text FROM {raw_requests} WHERE sql_text IS NOT NULL),
 flat AS (SELECT sql_text, left(replace(replace(sql_text, chr(13), ' '), chr(10), ' '), 4000) AS t FROM texts),
-signed AS (
+"""
+# The signature is SHA-1 over UTF-16LE; where only equality matters, the text stands for itself.
+_HASHED = """signed AS (
   SELECT sql_text, t AS SqlText, upper(sha1(unhex(array_to_string(list_transform(
       regexp_extract_all(t, '(?s).'), lambda c: printf('%02X%02X', ord(c) & 255, ord(c) // 256)), '')))) AS QuerySignature
   FROM flat),
-active AS (
+"""
+_UNHASHED = "signed AS (SELECT sql_text, t AS SqlText, t AS QuerySignature FROM flat),\n"
+_BASE = """active AS (
   SELECT r.InstanceId, r.CaptureTime, r.session_id, r.database_name AS DatabaseName, s.login_name AS LoginName,
          s.host_name AS HostName, s.program_name AS ProgramName, r.status, r.command, r.wait_type,
          coalesce(r.wait_time, 0) AS wait_time, coalesce(r.blocking_session_id, 0) AS blocking_session_id,
          r.cpu_time, r.total_elapsed_time, r.logical_reads, r.reads, r.writes, r.percent_complete,
-         g.QuerySignature, g.SqlText
+         r.sql_text IS NOT NULL AS HasStatement, g.QuerySignature, g.SqlText
   FROM {raw_requests} r JOIN foreign_sessions s USING (InstanceId, CaptureTime, session_id)
   LEFT JOIN signed g ON g.sql_text = r.sql_text)
 """
+_ACTIVE = _FLAT + _HASHED + _BASE
+_PLAIN = _FLAT + _UNHASHED + _BASE
 ORACLES["c20_request_base"] = _ACTIVE + "SELECT * FROM active"
 ORACLES["c20_request_base_whole_text"] = "WITH " + _FOREIGN + """
 SELECT InstanceId, CaptureTime, session_id, translate(sql_text, chr(13) || chr(10), '  ') AS SqlText
 FROM {raw_requests} SEMI JOIN foreign_sessions USING (InstanceId, CaptureTime, session_id)"""
 
-_SUMMED = _ACTIVE + """, summed AS (
+_SUMMED = _PLAIN + """, summed AS (
   SELECT r.InstanceId, r.CaptureTime, count(a.session_id) AS ActiveRequestCount,
          count(*) FILTER (total_elapsed_time >= 30000) AS LongRunningRequestCount,
          count(*) FILTER (cpu_time >= 10000) AS HighCpuRequestCount,
@@ -222,7 +228,7 @@ _SUMMED = _ACTIVE + """, summed AS (
 ORACLES["c21_request_summary"] = _SUMMED + "SELECT * FROM summed"
 
 _EXPENSIVE = _ACTIVE + """, expensive AS (
-  SELECT *, (row_number() OVER (PARTITION BY InstanceId, CaptureTime
+  SELECT * EXCLUDE (HasStatement), (row_number() OVER (PARTITION BY InstanceId, CaptureTime
      ORDER BY cpu_time DESC, total_elapsed_time DESC, logical_reads DESC, wait_time DESC, session_id))::INT AS rn
   FROM active WHERE greatest(total_elapsed_time / 30000, cpu_time / 10000, logical_reads / 100000, reads / 10000,
                              writes / 10000, wait_time / 10000, abs(blocking_session_id)) >= 1
@@ -245,7 +251,7 @@ def _attribution(kind: str, column: str) -> str:
 
 _KEYS = {"Database": "DatabaseName", "Host": "HostName", "Program": "ProgramName", "Login": "LoginName"}
 for _i, (_kind, _column) in enumerate(_KEYS.items(), 23):
-    ORACLES[f"c{_i}_requests_by_{_kind.lower()}"] = _ACTIVE + _attribution(_kind, _column)
+    ORACLES[f"c{_i}_requests_by_{_kind.lower()}"] = _PLAIN + _attribution(_kind, _column)
 
 _REPEATED = _ACTIVE + """, repeated AS (
   SELECT InstanceId, CaptureTime, QuerySignature, count(*) AS ActiveRequestCount, sum(cpu_time)::BIGINT AS TotalCpuMs,
@@ -298,7 +304,7 @@ _GROUPED = _EVIDENCE.format(
            *((f"Sample{c}", _text(f"Sample{c}", "(unknown)")) for c in ("DatabaseName", "HostName", "ProgramName"))),
     "attributed",
 )
-_ATTRIBUTED = _ACTIVE + ", attributed AS (" + "\nUNION ALL\n".join(
+_ATTRIBUTED = _PLAIN + ", attributed AS (" + "\nUNION ALL\n".join(
     f"({_attribution(k, c)})" for k, c in _KEYS.items()) + ")\n"
 ORACLES["c28_attribution_evidence"] = _ATTRIBUTED + _GROUPED
 _TWICE = _EVIDENCE.format(
@@ -316,7 +322,7 @@ SELECT InstanceId, CaptureTime, session_id,
        'Program: ' || coalesce(nullif(trim(program_name), ''), '(none)') || chr(10) ||
        'Database: ' || coalesce(database_name, '') AS Details
 FROM {raw_sessions}"""
-ORACLES["s8_fan_out"] = _ATTRIBUTED.rstrip() + _SUMMED[len(_ACTIVE):].rstrip() + _EXPENSIVE[len(_ACTIVE):].rstrip() + (
+ORACLES["s8_fan_out"] = _ATTRIBUTED.rstrip() + _SUMMED[len(_PLAIN):].rstrip() + _EXPENSIVE[len(_ACTIVE):].rstrip() + (
     _REPEATED[len(_ACTIVE):]) + """
 SELECT 'ActiveRequestSummary' AS Output, 13 * count(*) AS RowCount FROM summed
 UNION ALL SELECT 'ActiveRequestDetail', count(*) FROM expensive

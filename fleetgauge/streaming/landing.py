@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +27,14 @@ def collect_landed(
     landed = spark.readStream.schema(schemas.LANDING_TABLES[table]).parquet(landing_path)
 
     def process(batch: DataFrame, _: int) -> None:
+        captured = F.col("CaptureTime").cast("date")
+        days = batch.agg(F.min(captured), F.max(captured)).first()
+        if days[0] is None:
+            return
         collection = build(batch)
-        append_new(spark, stored_metrics(collection.metrics), metrics_path, "MetricSnapshot")
+        append_new(spark, stored_metrics(collection.metrics), metrics_path, "MetricSnapshot", *days)
         if collection.evidence is not None:
-            append_new(spark, stored_evidence(collection.evidence), evidence_path, "MetricTextSnapshot")
+            append_new(spark, stored_evidence(collection.evidence), evidence_path, "MetricTextSnapshot", *days)
 
     return (
         landed.writeStream.foreachBatch(process)
@@ -37,16 +42,14 @@ def collect_landed(
     )
 
 
-def append_new(spark: SparkSession, rows: DataFrame, path: str, table: str) -> None:
-    """Append the rows whose id is not stored yet; ids are hashes of the rows' keys, so repeats are found.
+def append_new(spark: SparkSession, rows: DataFrame, path: str, table: str, first: date, last: date) -> None:
+    """Append the rows of the days ``first`` to ``last`` whose id is not stored yet.
 
-    Only the dates the rows fall into are read for the comparison.
+    Ids are hashes of the rows' keys, so a repeated row is found again.  Only the partitions of those
+    days are read for the comparison.
     """
     row_id = f"{table}Id"
     if tables.exists(spark, path):
-        first, last = rows.agg(F.min("capture_date"), F.max("capture_date")).first()
-        if first is None:
-            return
         stored = tables.read_table(spark, path, table).filter(F.col("capture_date").between(first, last))
         rows = rows.join(stored.select("capture_date", row_id), ["capture_date", row_id], "left_anti")
     tables.append(rows, path, "capture_date")

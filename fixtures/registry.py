@@ -129,6 +129,8 @@ put(
         i.collection_run_history, i.monitored_instances, ORDERS_AS_OF, collector="Collector3", stale_only=True),
     i9_recent_history=lambda i: runs.recent_history(i.collection_run_history, i.monitored_instances),
     i10_row_counts=lambda i: runs.row_counts({**_core(i), "MonitoredInstances": i.monitored_instances}),
+    m1_shortest_retention=lambda i: retention.retained(
+        i.collection_run_history, _HISTORY, datetime(2001, 8, 31, 12), RetentionParams(7, 7, 30)),
     m2_retained_metrics=lambda i: retention.retained(i.metric_snapshot, "MetricSnapshot", PURGE_AS_OF, PURGE_PARAMS),
     m3_purge_summary=lambda i: retention.purge_summary(_core(i), PURGE_AS_OF, PURGE_PARAMS),
 )

@@ -14,6 +14,8 @@ SETTINGS = {
     # Shuffle partitions are merged or split towards this size, which fits executor memory.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # Recording the Python line of every expression doubles the time to build wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Times are zone-free; a fixed zone keeps text formatting the same on every machine.
     "spark.sql.session.timeZone": "UTC",
 }

@@ -93,6 +93,7 @@ UNION ALL SELECT 'MonitoredInstances', count(*) FROM {monitored_instances}"""
 
 # --- retention -----------------------------------------------------------------------------------
 
+ORACLES["m1_shortest_retention"] = "SELECT * FROM {collection_run_history} WHERE StartedAt >= TIMESTAMP '2001-08-01 12:00:00'"
 ORACLES["m2_retained_metrics"] = "SELECT * FROM {metric_snapshot} WHERE CaptureTime >= TIMESTAMP '2024-01-15 12:00:00'"
 ORACLES["m2_purged_table"] = """
 SELECT CaptureTime, InstanceId, Details FROM {metric_text_snapshot} WHERE CaptureTime >= TIMESTAMP '2024-01-15 12:00:00'"""

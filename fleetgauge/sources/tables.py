@@ -39,13 +39,18 @@ def read_landing(spark: SparkSession, path: str, table: str, file_format: str =
     return reader.format(file_format).load(path)
 
 
+# Rows of a file are sorted by what readers filter and rank by, so that row groups can be skipped.
+_SORTED_BY = ["SourceCollector", "CollectorName", "InstanceId", "CounterName", "DetailType", "DatabaseName",
+              "InstanceName", "CaptureTime", "StartedAt"]
+
+
 def append(df: DataFrame, path: str, partition: str) -> None:
-    """Append rows, clustered by date and instance.
+    """Append rows, clustered by date and sorted within files.
 
     The rebalance lets adaptive execution split a date that holds most rows and merge small ones,
-    so neither one task nor many tiny files result.  Sorting by instance keeps row groups skippable.
+    so neither one task nor many tiny files result.
     """
-    order = [c for c in (partition, "InstanceId", "CaptureTime", "StartedAt") if c in df.columns]
+    order = [partition, *(c for c in _SORTED_BY if c in df.columns)]
     clustered = df.hint("rebalance", partition).sortWithinPartitions(*order)
     clustered.write.mode("append").partitionBy(partition).parquet(path)
 

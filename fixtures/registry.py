@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -16,7 +17,7 @@ from fleetgauge.operators import (
     retention, runs, waits,
 )
 from fleetgauge.params import (
-    AlertParams, BackupParams, JobParams, QueryStatsParams, RequestParams, RetentionParams,
+    AlertParams, BackupParams, BlockingParams, JobParams, QueryStatsParams, RequestParams, RetentionParams,
 )
 from fleetgauge.plans import cycle
 from fleetgauge.plans import reporting_views as rv
@@ -25,6 +26,7 @@ from fleetgauge.sources import tables
 
 YEAR_HOURS = 24 * 365
 QUERY_PARAMS = QueryStatsParams(lookback_minutes=YEAR_HOURS * 60, min_executions=2)
+WHOLE_TEXT = RequestParams(max_text_length=None)
 BACKUP_PARAMS = BackupParams(full_hours=YEAR_HOURS, diff_hours=YEAR_HOURS, log_hours=24 * 30, max_rows=40)
 JOB_PARAMS = JobParams(lookback_hours=YEAR_HOURS)
 ALERT_PARAMS = AlertParams(lookback_hours=YEAR_HOURS)
@@ -177,6 +179,8 @@ put(
     c9_sessions_by_application=lambda i: connections.session_breakdown(_groups(i), ("Application",)),
     c10_sessions_by_database=lambda i: connections.session_breakdown(_groups(i), ("Database",)),
     c11_blocked_requests=_blocked,
+    c11_blocked_requests_whole_text=lambda i: blocking.blocked_requests(
+        i.raw_requests, i.raw_sessions, BlockingParams(max_text_length=None)),
     c12_blocking_summary=lambda i: blocking.blocking_summary(_blocked(i), i.capture_roster),
     c13_blocking_evidence=lambda i: blocking.blocking_evidence(_blocked(i)),
     c14_wait_snapshot=lambda i: waits.wait_snapshot(i.raw_waits),
@@ -205,7 +209,7 @@ def _repeated(i: Inputs) -> DataFrame:
 put(
     c20_request_base=_base,
     c20_request_base_whole_text=lambda i: requests.active_requests(
-        i.raw_requests, i.raw_sessions, RequestParams(max_text_length=None)).select(*SNAPSHOT, "session_id", "SqlText"),
+        i.raw_requests, i.raw_sessions, WHOLE_TEXT).select(*SNAPSHOT, "session_id", "SqlText"),
     c21_request_summary=lambda i: requests.request_summary(_base(i), i.capture_roster),
     c22_expensive_requests=_expensive,
     c23_requests_by_database=lambda i: requests.request_attribution(_base(i), ("Database",)),
@@ -213,6 +217,8 @@ put(
     c25_requests_by_program=lambda i: requests.request_attribution(_base(i), ("Program",)),
     c26_requests_by_login=lambda i: requests.request_attribution(_base(i), ("Login",)),
     c27_repeated_requests=_repeated,
+    c27_repeated_requests_whole_text=lambda i: requests.repeated_requests(
+        requests.active_requests(i.raw_requests, i.raw_sessions, WHOLE_TEXT), i.raw_requests, WHOLE_TEXT),
     c28_expensive_evidence=lambda i: requests.expensive_evidence(_expensive(i)),
     c28_attribution_evidence=lambda i: requests.attribution_evidence(requests.request_attribution(_base(i))),
     c28_repeated_evidence=lambda i: requests.repeated_evidence(_repeated(i)),
@@ -255,6 +261,8 @@ put(
     c34_deduplicated=lambda i: query_stats.deduplicate(_candidates(i)),
     c35_enriched=_enriched,
     c36_without_monitor_statements=_kept,
+    c36_without_monitor_statements_whole_text=lambda i: query_stats.query_details(
+        i.raw_query_stats, i.raw_query_text, params=replace(QUERY_PARAMS, max_text_length=None)),
     c37_query_summary=lambda i: query_stats.query_summary(_kept(i), i.landing_roster),
     c38_detail_order=lambda i: query_stats.detail_order(_kept(i)),
     c38_query_evidence=lambda i: query_stats.query_evidence(_kept(i)),

@@ -72,15 +72,15 @@ def isolate_failures(
     Returns the rows of the sound keys and one outcome row per key: rows collected, and for
     a failed key the first broken rule.
     """
+    names = list(rules)
+    # The position of the first broken rule, not its name: numbers keep this a hash aggregation.
     broken = reduce(
-        lambda later, rule: F.when(~F.coalesce(F.expr(rules[rule]), F.lit(False)), rule).otherwise(later),
-        reversed(list(rules)), F.lit(None).cast("string"),
+        lambda later, at: F.when(~F.coalesce(F.expr(rules[names[at]]), F.lit(False)), at).otherwise(later),
+        reversed(range(len(names))), F.lit(None).cast("int"),
     )
-    outcomes = raw.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min(broken).alias("ErrorMessage"),
-    ).select(
-        *keys, F.when(F.col("ErrorMessage").isNull(), F.col("_rows")).otherwise(0).alias("RowsCollected"),
-        "ErrorMessage",
+    outcomes = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min(broken).alias("_broken")).select(
+        *keys, F.when(F.col("_broken").isNull(), F.col("_rows")).otherwise(0).alias("RowsCollected"),
+        F.get(F.array(*map(F.lit, names)), F.col("_broken")).alias("ErrorMessage"),
     )
     failed = outcomes.filter(F.col("ErrorMessage").isNotNull()).select(*keys)
     return raw.join(failed, keys, "left_anti"), outcomes

@@ -86,6 +86,7 @@ SELECT InstanceId, CaptureTime, session_id AS BlockedSessionId, blocking_session
        database_name AS DatabaseName, wait_type AS WaitType, coalesce(wait_time, 0) AS WaitTimeMs, sec AS WaitSeconds,
        status AS Status, command AS Command, left(sql_text, 4000) AS SqlText, login_name AS LoginName,
        host_name AS HostName, program_name AS ProgramName, rn FROM blocked"""
+ORACLES["c11_blocked_requests_whole_text"] = ORACLES["c11_blocked_requests"].replace("left(sql_text, 4000)", "sql_text")
 ORACLES["c12_blocking_summary"] = _BLOCKED + """
 SELECT r.InstanceId, r.CaptureTime, count(b.session_id) AS BlockedSessionCount,
        count(DISTINCT b.blocking_session_id) AS DistinctBlockingSessionCount,
@@ -266,6 +267,9 @@ _REPEATED = _ACTIVE + """, repeated AS (
 """
 ORACLES["c27_repeated_requests"] = _REPEATED + "SELECT * FROM repeated"
 
+ORACLES["c27_repeated_requests_whole_text"] = ORACLES["c27_repeated_requests"].replace(
+    "left(replace(replace(sql_text, chr(13), ' '), chr(10), ' '), 4000)", "replace(replace(sql_text, chr(13), ' '), chr(10), ' ')")
+
 _EVIDENCE = """SELECT InstanceId, CaptureTime, {0} AS DatabaseName, 'ActiveRequest' AS MetricCategory, {1} AS DetailType,
        {2} AS Severity, ({3})::DECIMAL(28,6) AS NumericValue1, ({4})::DECIMAL(28,6) AS NumericValue2,
        array_to_string([{5}], chr(10)) AS Details, 'Collect-ActiveRequests' AS SourceCollector FROM {6}"""

@@ -60,6 +60,8 @@ _KEPT = _ENRICHED + """, kept AS (
   WHERE NOT regexp_matches(RawSqlText, 'MetricSnapshot|MetricTextSnapshot|CollectionRunHistory|sys[.]dm_exec_query_stats'))
 """
 ORACLES["c36_without_monitor_statements"] = _KEPT + "SELECT * FROM kept"
+ORACLES["c36_without_monitor_statements_whole_text"] = ORACLES["c36_without_monitor_statements"].replace(
+    "left(translate(RawSqlText, chr(13) || chr(10), '  '), 1000)", "translate(RawSqlText, chr(13) || chr(10), '  ')")
 ORACLES["c37_query_summary"] = _KEPT + """
 SELECT r.InstanceId, r.CaptureTime, count(*) FILTER (RankingCategory = 'CPU') AS TopCpuQueryCount,
        count(*) FILTER (RankingCategory = 'Duration') AS TopDurationQueryCount,

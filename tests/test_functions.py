@@ -96,3 +96,10 @@ def test_top_overall_keeps_order(spark):
     rows = spark.range(3000).select((F.col("id") * 17 % 40).alias("v"), "id")
     found = [(r.v, r.id) for r in ranking.top_overall(rows, [F.col("v").desc()], ["id"], 130).collect()]
     assert found == sorted(((i * 17 % 40, i) for i in range(3000)), key=lambda x: (-x[0], x[1]))[:130]
+
+
+def test_rankings_are_cut_before_the_shuffle(spark):
+    rows = spark.range(100).select((F.col("id") % 3).alias("k"), (F.col("id") % 7).alias("v"), "id")
+    for df, cuts in ((ranking.top_per(rows, ["k"], [F.col("v").desc()], ["id"], 5), 2), (ranking.newest_per(rows, ["k"], [F.col("v").desc()]), 1)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert sum("WindowGroupLimit" in line and "Partial" in line for line in plan.splitlines()) == cuts

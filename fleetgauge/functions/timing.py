@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The date partition that stored tables keep next to a time column.
+PARTITION_OF = {"CaptureTime": "capture_date", "StartedAt": "started_date"}
+
 
 def ntz(moment: datetime) -> Column:
     """A literal that does not depend on the session or the driver time zone."""
@@ -18,6 +21,20 @@ def now_or(as_of: datetime | None, column: str = "CaptureTime") -> Column:
     return ntz(as_of) if as_of is not None else F.col(column)
 
 
+def rows_from(df: DataFrame, column: str, moment: datetime) -> DataFrame:
+    """Rows at or after a moment; on a stored table older date partitions are not read."""
+    day = PARTITION_OF[column]
+    bounded = df.filter(F.col(day) >= F.lit(moment.date())) if day in df.columns else df
+    return bounded.filter(F.col(column) >= ntz(moment))
+
+
+def rows_before(df: DataFrame, column: str, moment: datetime) -> DataFrame:
+    """Rows before a moment; on a stored table younger date partitions are not read."""
+    day = PARTITION_OF[column]
+    bounded = df.filter(F.col(day) <= F.lit(moment.date())) if day in df.columns else df
+    return bounded.filter(F.col(column) < ntz(moment))
+
+
 def to_second(ts: Column) -> Column:
     return F.date_trunc("second", ts).cast("timestamp_ntz")
 

@@ -8,7 +8,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetgauge.functions.timing import ntz
+from fleetgauge.functions.timing import ntz, rows_before, rows_from
 from fleetgauge.operators.runs import row_counts
 from fleetgauge.params import RetentionParams
 from fleetgauge.sources import tables
@@ -27,23 +27,20 @@ def cutoffs(as_of: datetime, params: RetentionParams = RetentionParams()) -> dic
     return {table: as_of - timedelta(days=d) for table, d in days.items()}
 
 
-def _expired(table: str, as_of: datetime, params: RetentionParams):
-    return F.col(TIME_COLUMNS[table]) < ntz(cutoffs(as_of, params)[table])
-
-
 def retained(
     df: DataFrame, table: str, as_of: datetime, params: RetentionParams = RetentionParams(),
 ) -> DataFrame:
-    return df.filter(~_expired(table, as_of, params))
+    return rows_from(df, TIME_COLUMNS[table], cutoffs(as_of, params)[table])
 
 
 def purge_summary(
     frames: Mapping[str, DataFrame], as_of: datetime, params: RetentionParams = RetentionParams(),
 ) -> DataFrame:
     """Rows each table loses and its cutoff."""
-    lost = row_counts({t: df.filter(_expired(t, as_of, params)) for t, df in frames.items()})
+    limits = cutoffs(as_of, params)
+    lost = row_counts({t: rows_before(df, TIME_COLUMNS[t], limits[t]) for t, df in frames.items()})
     limit = F.lit(None).cast("timestamp_ntz")
-    for table, moment in cutoffs(as_of, params).items():
+    for table, moment in limits.items():
         limit = F.when(F.col("TableName") == table, ntz(moment)).otherwise(limit)
     return lost.select(
         "TableName", F.col("RowCount").alias("RowsDeleted"), limit.alias("CutoffDate"),

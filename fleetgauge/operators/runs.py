@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge import fixed_values as fv
 from fleetgauge.functions.ranking import top_overall
-from fleetgauge.functions.timing import millis_crossed, ntz
+from fleetgauge.functions.timing import millis_crossed, ntz, rows_before, rows_from
 
 EVENT_COLUMNS = ["CollectionRunId", "EventType", "EventTime", "CollectorName", "InstanceId", "Status",
                  "RowsCollected", "ErrorMessage"]
@@ -88,7 +88,7 @@ def isolate_failures(
 
 def cycle_summary(runs: DataFrame, cycle_start: datetime, cycle_end: datetime) -> DataFrame:
     """Succeeded and failed runs per collector of one cycle."""
-    cycle = runs.filter((F.col("StartedAt") >= ntz(cycle_start)) & (F.col("StartedAt") < ntz(cycle_end)))
+    cycle = rows_before(rows_from(runs, "StartedAt", cycle_start), "StartedAt", cycle_end)
     return cycle.groupBy("CollectorName").agg(
         F.count_if(F.col("Status").isin(fv.SUCCESS_STATES)).alias("Succeeded"),
         F.count_if(F.col("Status").isin(fv.FAILURE_STATES)).alias("Failed"),
@@ -108,8 +108,8 @@ def collection_failures(
                                    ("running_older_than_minutes", running_older_than_minutes, 1, 1440)):
         if not low <= given <= high:
             raise ValueError(f"{name} must be between {low} and {high}")
-    found = runs.filter(
-        (F.col("StartedAt") >= ntz(as_of - timedelta(hours=hours))) & ~F.col("Status").isin(fv.SUCCESS_STATES)
+    found = rows_from(runs, "StartedAt", as_of - timedelta(hours=hours)).filter(
+        ~F.col("Status").isin(fv.SUCCESS_STATES)
     )
     if stale_only:
         stale = F.col("StartedAt") < ntz(as_of - timedelta(minutes=running_older_than_minutes))

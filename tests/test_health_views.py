@@ -207,13 +207,20 @@ def test_health_summary_without_metrics_is_healthy(spark):
     assert (row.HealthStatus, row.FailedJobs, row.LastMetricCaptureTime) == ("Healthy", 0, None)
 
 
-def test_since_prunes_date_partitions(spark, tmp_path):
+def test_time_bounds_prune_date_partitions(spark, tmp_path):
+    from fleetgauge.functions.timing import rows_before, rows_from
+    from fleetgauge.operators import retention
+    from fleetgauge.params import RetentionParams
     from fleetgauge.sources import tables
 
     rows = metrics(spark, [(1, DAY - timedelta(days=d), "c", d) for d in range(5)], SourceCollector="s")
     tables.append(rows, str(tmp_path / "m"), "capture_date")
-    stored = tables.read_table(spark, str(tmp_path / "m"), "MetricSnapshot", since=(DAY - timedelta(days=1)).date())
-    assert stored.count() == 2
-    assert len(stored.inputFiles()) <= 5
-    plan = stored._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(capture_date" in plan
+    stored = tables.read_table(spark, str(tmp_path / "m"), "MetricSnapshot")
+    recent = tables.read_table(spark, str(tmp_path / "m"), "MetricSnapshot", since=(DAY - timedelta(days=1)).date())
+    half = DAY - timedelta(days=2, hours=12)
+    older = rows_before(stored, "CaptureTime", half)
+    for count, df in ((2, recent), (3, rows_from(stored, "CaptureTime", half)), (2, older)):
+        assert df.count() == count
+        assert "PartitionFilters: [isnotnull(capture_date" in df._jdf.queryExecution().executedPlan().toString()
+    kept = retention.retained(stored, "MetricSnapshot", DAY + timedelta(days=5, hours=12), RetentionParams(metric_days=8))
+    assert kept.count() == 3

@@ -81,8 +81,8 @@ def enrich(chosen: DataFrame, texts: DataFrame) -> DataFrame:
 def without_monitor_statements(enriched: DataFrame, params: QueryStatsParams = QueryStatsParams()) -> DataFrame:
     """Drop the monitoring's own statements, judged on the whole text, and bring the rest on one line."""
     raw = F.col("RawSqlText")
-    for statement in params.monitor.statements:
-        enriched = enriched.filter(~raw.contains(statement))
+    for pattern in params.monitor.statements:
+        enriched = enriched.filter(~raw.like(f"%{pattern}%"))
     return enriched.withColumn("SqlText", text.one_line(raw, params.max_text_length)).drop("RawSqlText")
 
 

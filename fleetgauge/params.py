@@ -9,7 +9,10 @@ from fleetgauge import fixed_values as fv
 
 @dataclass(frozen=True)
 class MonitorIdentity:
-    """How the monitoring recognises its own work; a deployment adds its login and product name."""
+    """How the monitoring recognises its own work; a deployment adds its login and product name.
+
+    Programs are parts of a program name; statements are parts of a text in the sense of LIKE.
+    """
 
     login: str | None = None
     programs: tuple[str, ...] = tuple(fv.MONITOR_PROGRAMS)

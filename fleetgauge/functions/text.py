@@ -42,7 +42,13 @@ def plain_number(value: Column, scale: int) -> Column:
 
 
 def moment_text(ts: Column) -> Column:
-    return F.date_format(ts, "MM/dd/yyyy HH:mm:ss")
+    """MM/dd/yyyy HH:mm:ss, rearranged from yyyy-MM-dd HH:mm:ss; date formats would go through the session zone."""
+    plain = ts.cast("string")
+
+    def part(start: int, length: int) -> Column:
+        return F.substring(plain, start, length)
+
+    return F.concat(part(6, 2), F.lit("/"), part(9, 2), F.lit("/"), part(1, 4), part(11, 9))
 
 
 def details(fields: Sequence[tuple[str, Column] | tuple[str, Column, str]]) -> Column:

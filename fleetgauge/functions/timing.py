@@ -36,7 +36,9 @@ def rows_before(df: DataFrame, column: str, moment: datetime) -> DataFrame:
 
 
 def to_second(ts: Column) -> Column:
-    return F.date_trunc("second", ts).cast("timestamp_ntz")
+    """Cut to whole seconds; truncation functions would go through the session zone."""
+    fraction = F.extract(F.lit("SECOND"), ts) % 1
+    return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), fraction)
 
 
 def hours_crossed(start: Column, end: Column) -> Column:

@@ -32,11 +32,16 @@ def test_millisecond_difference(spark):
     assert one(spark, value, a=datetime(2024, 1, 1, 0, 0, 59, 999000), b=datetime(2024, 1, 1, 0, 1, 0, 1999)) == 2
 
 
-def test_differences_do_not_depend_on_the_session_zone(spark):
+def test_times_do_not_depend_on_the_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         night = dict(a=datetime(2024, 3, 10, 0), b=datetime(2024, 3, 11, 0))
         assert one(spark, timing.hours_crossed(F.col("a"), F.col("b")), **night) == 24
+        # 02:30 does not exist on this day in this zone.
+        gap = datetime(2024, 3, 10, 2, 30, 7, 999999)
+        assert one(spark, timing.to_second(F.col("a")), a=gap) == gap.replace(microsecond=0)
+        assert one(spark, text.moment_text(F.col("a")), a=gap) == "03/10/2024 02:30:07"
+        assert one(spark, text.moment_text(F.col("a").cast("timestamp_ntz")), a=None) is None
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

@@ -4,9 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+import oracles
+from fixtures.registry import QUERIES as REGISTERED
 from tests.conftest import SMALL
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = {name: entry.queries()[name] for name in REGISTERED}, oracles.oracle_sql()
 WITHOUT_SQL = {"v22_repository_storage"}
 
 

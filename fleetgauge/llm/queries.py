@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetgauge.llm import exact_dedup, fingerprints, html_text, language_id, mixing, near_dedup, packing, token_files
+from fleetgauge.llm import context_tree, exact_dedup, fingerprints, html_text, language_id, mixing, near_dedup, packing, token_files
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_language_id": language_id.op3_language_id,
     "op4_mixing": mixing.op4_mixing,
     "op6_fingerprints": fingerprints.op6_fingerprints,
+    "op7_context_tree": context_tree.op7_context_tree,
     "op8_token_files": token_files.op8_token_files,
     "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_html_text": html_text.op10_html_text,

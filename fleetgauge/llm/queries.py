@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
-from fleetgauge.llm import context_tree, exact_dedup, fingerprints, html_text, language_id, mixing, near_dedup, packing, token_files
+from fleetgauge.llm import (
+    context_tree,
+    exact_dedup,
+    fingerprints,
+    html_text,
+    language_id,
+    mixing,
+    near_dedup,
+    packing,
+    token_files,
+    toxicity,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op3_language_id": language_id.op3_language_id,
     "op4_mixing": mixing.op4_mixing,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_fingerprints": fingerprints.op6_fingerprints,
     "op7_context_tree": context_tree.op7_context_tree,
     "op8_token_files": token_files.op8_token_files,

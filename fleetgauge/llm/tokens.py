@@ -22,7 +22,7 @@ class ChunkEncoder:
     pieces are what stands between spaces.  The memory holds ``limit`` pieces at most and then starts afresh.
     """
 
-    def __init__(self, path: str, byte_level: bool, limit: int = 600_000):
+    def __init__(self, path: str, byte_level: bool, limit: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task uses one core
         from tokenizers import Tokenizer
 
@@ -31,7 +31,10 @@ class ChunkEncoder:
         self.byte_level, self.limit, self.known = byte_level, limit, {}
 
     def _raw(self, pieces: list[str]) -> list[bytes]:
-        return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        encode = self.tokenizer.encode_batch_fast
+        # In small lots: an encoding holds far more than its ids.
+        return [array("I", x.ids).tobytes() for at in range(0, len(pieces), 4096)
+                for x in encode(pieces[at:at + 4096], add_special_tokens=False)]
 
     def _pieces(self, text: str) -> list[str] | None:
         """Pieces; in byte-level mode all but the first stand for themselves with a space before."""

@@ -33,7 +33,7 @@ def words(text: str) -> list[str]:
 
 
 class Model:
-    """Log probabilities per language of words and n-grams, with a floor for what a language lacks."""
+    """Log probabilities per language of words and n-grams; what a language lacks is as rare as in one more observation."""
 
     def __init__(self, languages: list[str], word_counts: dict[str, list[int]], gram_counts: dict[str, list[int]]):
         self.languages = languages
@@ -45,8 +45,10 @@ class Model:
     def _logs(counts: dict[str, list[int]]) -> dict[str, np.ndarray]:
         if not counts:
             return {}
-        table_ = np.array(list(counts.values()), float) + 0.5
-        return dict(zip(counts, np.log(table_ / table_.sum(0)), strict=True))
+        seen = np.array(list(counts.values()), float)
+        # One more observation per language, spread as all languages together are.
+        spread = seen.sum(1, keepdims=True) / seen.sum()
+        return dict(zip(counts, np.log((seen + spread) / (seen.sum(0) + 1)), strict=True))
 
     def score(self, word: str) -> np.ndarray:
         """A word's log score per language; remembered, as words repeat."""
@@ -81,7 +83,7 @@ class Model:
 
 
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          docs_per_language: int = 5_000, max_languages: int = 500, max_words: int = 300_000,
+          docs_per_language: int = 2_000, max_languages: int = 500, max_words: int = 300_000,
           max_grams: int = 300_000) -> Model:
     """Fit on rows with a language.  A language's sample are the rows with the smallest hashes of their id, about
     ``docs_per_language`` of them."""

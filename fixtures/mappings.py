@@ -166,9 +166,9 @@ SELECT concat('Supplier#', lpad(cast(c_custkey * 2 AS string), 9, '0')) AS Insta
 FROM {customer}"""
 
 MAPPINGS["state_changes"] = """
-SELECT s.s_name AS InstanceName, CASE WHEN s.s_acctbal < 0 THEN 'Disable' ELSE 'Enable' END AS State,
+SELECT s.s_name AS InstanceName, CASE WHEN n.n_regionkey = 1 THEN NULL WHEN s.s_acctbal < 0 THEN 'Disable' ELSE 'Enable' END AS State,
        CASE WHEN n.n_regionkey = 2 THEN '' ELSE 'patch window' END AS Reason
-FROM {supplier} s JOIN {nation} n ON n.n_nationkey = s.s_nationkey WHERE n.n_regionkey <> 1"""
+FROM {supplier} s JOIN {nation} n ON n.n_nationkey = s.s_nationkey"""
 
 MAPPINGS["capture_roster"] = f"""
 SELECT InstanceId, {{TS}} '2024-01-31 00:00:00' AS CaptureTime FROM {{monitored_instances}} WHERE IsEnabled
@@ -216,22 +216,28 @@ SELECT cast(user_id % 10 AS int) AS InstanceId, {_MONTH} AS CaptureTime, event_i
        event_id % 9 <> 0 AS is_user_process
 FROM {{events}}"""
 
-MAPPINGS["raw_requests"] = f"""
+def _requests(request: int, extra: str) -> str:
+    return f"""
 SELECT cast(e.user_id % 10 AS int) AS InstanceId, {_MONTH} AS CaptureTime,
        CASE WHEN e.event_id % 50 = 7 THEN e.event_id + 1000000000 ELSE e.event_id END AS session_id,
+       {request} AS request_id,
        CASE WHEN e.event_id % 8 = 3 THEN e.event_id - 1 - e.event_id % 3
             WHEN e.event_id % 8 = 5 THEN NULL ELSE 0 END AS blocking_session_id,
        CASE WHEN e.event_id % 12 > 9 THEN NULL ELSE concat('db', cast(e.event_id % 12 AS string)) END AS database_name,
        CASE WHEN e.event_id % 3 = 0 THEN 'suspended' ELSE 'running' END AS status,
        CASE WHEN e.event_id % 13 = 0 THEN NULL ELSE 'SELECT' END AS command,
        CASE WHEN e.event_id % 5 < 3 THEN NULL ELSE 'LCK_M_S' END AS wait_type,
-       CASE WHEN e.event_id % 5 = 0 THEN NULL ELSE cast(floor(e.value * 977) AS bigint) % 20000 END AS wait_time,
-       cast(floor(e.value * 613) AS bigint) % 15000 AS cpu_time,
-       cast(floor(e.value * 1999) AS bigint) % 60000 AS total_elapsed_time,
+       CASE WHEN e.event_id % 5 = 0 THEN NULL ELSE cast(floor(e.value * {977 + request}) AS bigint) % 20000 END AS wait_time,
+       cast(floor(e.value * {613 + request}) AS bigint) % 15000 AS cpu_time,
+       cast(floor(e.value * {1999 + request}) AS bigint) % 60000 AS total_elapsed_time,
        cast(floor(e.value * 7919) AS bigint) % 200000 AS logical_reads,
        cast(floor(e.value * 331) AS bigint) % 15000 AS reads, cast(floor(e.value * 107) AS bigint) % 12000 AS writes,
        cast(e.event_id % 400 AS double) / 4 AS percent_complete, d.text AS sql_text
-FROM {{events}} e LEFT JOIN {{documents}} d ON d.doc_id = cast(floor(e.event_id / 9) AS bigint)"""
+FROM {{events}} e LEFT JOIN {{documents}} d ON d.doc_id = cast(floor(e.event_id / 9) AS bigint) + {request}{extra}"""
+
+
+# Every tenth session runs a second request, with another statement.
+MAPPINGS["raw_requests"] = _requests(0, "") + "\nUNION ALL" + _requests(1, "\nWHERE e.event_id % 10 = 1")
 
 MAPPINGS["raw_waits"] = f"""
 SELECT cast(user_id % 10 AS int) AS InstanceId, {_MONTH} AS CaptureTime,

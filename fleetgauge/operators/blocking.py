@@ -1,4 +1,4 @@
-"""Blocked requests: the longest waits per snapshot, their summary and their evidence."""
+"""Blocked requests: their summary, and the longest waits per snapshot with their evidence."""
 
 from __future__ import annotations
 
@@ -19,33 +19,38 @@ SUMMARY = [
 ]
 
 
-def blocked_requests(
-    requests: DataFrame, sessions: DataFrame, params: BlockingParams = BlockingParams(),
-) -> DataFrame:
-    """The blocked user requests of each snapshot with the longest waits."""
+def all_blocked(requests: DataFrame, sessions: DataFrame, params: BlockingParams = BlockingParams()) -> DataFrame:
+    """Every blocked request of a foreign user session."""
     statement = F.col("sql_text")
     if params.max_text_length is not None:
         statement = F.substring(statement, 1, params.max_text_length)
     wait = F.coalesce("wait_time", F.lit(0))
-    blocked = (
-        requests.filter(F.col("blocking_session_id") != 0)
-        .select(
-            *SNAPSHOT, F.col("session_id").alias("BlockedSessionId"),
-            F.col("blocking_session_id").alias("BlockingSessionId"), F.col("database_name").alias("DatabaseName"),
-            F.col("wait_type").alias("WaitType"), wait.alias("WaitTimeMs"), F.col("wait_time").alias("_wait"),
-            (wait.cast("decimal(18,2)") / 1000).cast("decimal(25,8)").alias("WaitSeconds"),
-            F.col("status").alias("Status"), F.col("command").alias("Command"), statement.alias("SqlText"),
-        )
-        .join(
-            foreign_sessions(sessions, params.monitor).withColumnRenamed("session_id", "BlockedSessionId"),
-            [*SNAPSHOT, "BlockedSessionId"],
-        )
+    blocked = requests.filter(F.col("blocking_session_id") != 0).select(
+        *SNAPSHOT, F.col("session_id").alias("BlockedSessionId"), "request_id",
+        F.col("blocking_session_id").alias("BlockingSessionId"), F.col("database_name").alias("DatabaseName"),
+        F.col("wait_type").alias("WaitType"), wait.alias("WaitTimeMs"), F.col("wait_time").alias("_wait"),
+        (wait.cast("decimal(18,2)") / 1000).cast("decimal(25,8)").alias("WaitSeconds"),
+        F.col("status").alias("Status"), F.col("command").alias("Command"), statement.alias("SqlText"),
     )
-    return top_per(blocked, SNAPSHOT, [F.col("_wait").desc()], ["BlockedSessionId"], params.max_rows).drop("_wait")
+    others = foreign_sessions(sessions, params.monitor).withColumnRenamed("session_id", "BlockedSessionId")
+    return blocked.join(others, [*SNAPSHOT, "BlockedSessionId"])
+
+
+def longest_blocked(blocked: DataFrame, params: BlockingParams = BlockingParams()) -> DataFrame:
+    """The requests of each snapshot with the longest waits."""
+    top = top_per(blocked, SNAPSHOT, [F.col("_wait").desc()], ["BlockedSessionId", "request_id"], params.max_rows)
+    return top.drop("_wait", "request_id")
+
+
+def blocked_requests(
+    requests: DataFrame, sessions: DataFrame, params: BlockingParams = BlockingParams(),
+) -> DataFrame:
+    """The blocked user requests of each snapshot with the longest waits."""
+    return longest_blocked(all_blocked(requests, sessions, params), params)
 
 
 def blocking_summary(blocked: DataFrame, roster: DataFrame) -> DataFrame:
-    """Counts over the kept rows; every snapshot of the roster has a row."""
+    """Counts over all blocked requests; every snapshot of the roster has a row."""
     totals = blocked.groupBy(*SNAPSHOT).agg(
         F.count(F.lit(1)).alias("BlockedSessionCount"),
         F.countDistinct("BlockingSessionId").alias("DistinctBlockingSessionCount"),

@@ -1,7 +1,7 @@
 """Active requests: summary, expensive requests, attribution by four keys and repeated statements.
 
-Statement texts are wide, so rankings and groupings run on narrow rows and fetch the text
-of the few chosen requests afterwards.
+Statement texts are wide.  Summaries and groupings run on rows without them; the expensive requests carry theirs, of
+which each task sends only its own top ones on.
 """
 
 from __future__ import annotations
@@ -48,13 +48,16 @@ def foreign_sessions(sessions: DataFrame, monitor: MonitorIdentity = MonitorIden
 
 
 def active_requests(requests: DataFrame, sessions: DataFrame, params: RequestParams = RequestParams()) -> DataFrame:
-    """The base set: requests of foreign user sessions, measures defaulted to zero, statement and signature."""
-    statement = text.one_line(F.col("sql_text"), params.max_text_length)
+    """The base set: requests of foreign user sessions, measures defaulted to zero, statement and signature.
+
+    The signature is that of the whole statement; ``max_text_length`` only cuts what is shown.
+    """
+    shown = text.one_line(F.col("sql_text"), params.max_text_length)
     base = requests.select(
-        *SNAPSHOT, "session_id", F.col("database_name").alias("DatabaseName"), "status", "command", "wait_type",
+        *SNAPSHOT, "session_id", "request_id", F.col("database_name").alias("DatabaseName"), "status", "command", "wait_type",
         *(F.coalesce(m, F.lit(0)).alias(m) for m in MEASURES),
         F.col("sql_text").isNotNull().alias("HasStatement"),
-        text.signature(statement).alias("QuerySignature"), statement.alias("SqlText"),
+        text.signature(text.one_line(F.col("sql_text"), None)).alias("QuerySignature"), shown.alias("SqlText"),
     )
     return base.join(foreign_sessions(sessions, params.monitor), [*SNAPSHOT, "session_id"])
 
@@ -91,19 +94,11 @@ def is_expensive(params: RequestParams = RequestParams()) -> Column:
     return reduce(or_, over, F.col("blocking_session_id") != 0)
 
 
-def _with_text(chosen: DataFrame, requests: DataFrame, params: RequestParams) -> DataFrame:
-    """Fetch the statements of chosen requests; a session has one request per snapshot."""
-    texts = requests.select(*SNAPSHOT, "session_id", "sql_text")
-    statement = text.one_line(F.col("sql_text"), params.max_text_length)
-    found = chosen.join(texts, [*SNAPSHOT, "session_id"]).withColumn("SqlText", statement)
-    return found.withColumn("QuerySignature", text.signature(F.col("SqlText"))).drop("sql_text")
-
-
-def expensive_requests(base: DataFrame, requests: DataFrame, params: RequestParams = RequestParams()) -> DataFrame:
+def expensive_requests(base: DataFrame, params: RequestParams = RequestParams()) -> DataFrame:
     """The requests over any threshold, the most costly ones of each snapshot first."""
     order = [F.col(c).desc() for c in ("cpu_time", "total_elapsed_time", "logical_reads", "wait_time")]
-    narrow = base.filter(is_expensive(params)).drop("HasStatement", "QuerySignature", "SqlText")
-    return _with_text(top_per(narrow, SNAPSHOT, order, ["session_id"], params.max_requests), requests, params)
+    costly = base.filter(is_expensive(params)).drop("HasStatement")
+    return top_per(costly, SNAPSHOT, order, ["session_id", "request_id"], params.max_requests)
 
 
 def request_attribution(
@@ -121,17 +116,22 @@ def request_attribution(
                  text.empty_to(F.col(sources[k]), text.UNKNOWN).alias("GroupValue"))
         for k in kinds
     ]))
-    groups = combinations.select("*", labels).groupBy(*SNAPSHOT, "DetailType", "GroupValue").agg(
+    labelled, key = combinations.select("*", labels), [*SNAPSHOT, "DetailType", "GroupValue"]
+    groups = labelled.groupBy(*key).agg(
         F.sum("_requests").alias("ActiveRequestCount"),
         *(F.sum(column).alias(name) for name, column in TOTALS.items()),
         F.sum("_blocked").alias("BlockedRequestCount"),
+    )
+    order = [F.col(c).desc() for c in ("TotalCpuMs", "TotalElapsedMs", "TotalLogicalReads")]
+    top = top_per(groups, [*SNAPSHOT, "DetailType"], order, ["GroupValue"], params.max_attribution_rows)
+    # Text maxima need a sort, so only the chosen groups get samples.
+    samples = labelled.join(top.select(*key), key, "left_semi").groupBy(*key).agg(
         F.max("wait_type").alias("SampleWaitType"),
         F.max("DatabaseName").alias("SampleDatabaseName"),
         F.max("HostName").alias("SampleHostName"),
         F.max("ProgramName").alias("SampleProgramName"),
     )
-    order = [F.col(c).desc() for c in ("TotalCpuMs", "TotalElapsedMs", "TotalLogicalReads")]
-    return top_per(groups, [*SNAPSHOT, "DetailType"], order, ["GroupValue"], params.max_attribution_rows)
+    return top.join(samples, key)
 
 
 def repeated_requests(base: DataFrame, requests: DataFrame, params: RequestParams = RequestParams()) -> DataFrame:
@@ -145,14 +145,18 @@ def repeated_requests(base: DataFrame, requests: DataFrame, params: RequestParam
             *(F.sum(column).alias(name) for name, column in TOTALS.items()),
             F.max("DatabaseName").alias("SampleDatabaseName"), F.max("LoginName").alias("SampleLoginName"),
             F.max("HostName").alias("SampleHostName"), F.max("ProgramName").alias("SampleProgramName"),
-            F.min("session_id").alias("session_id"),
+            F.min(F.struct("session_id", "request_id")).alias("_first"),
         )
         .filter("ActiveRequestCount > 1")
     )
     order = [F.col(c).desc() for c in ("ActiveRequestCount", "TotalCpuMs", "TotalElapsedMs")]
     top = top_per(groups, SNAPSHOT, order, ["QuerySignature"], params.max_repeated_rows)
-    sampled = _with_text(top.drop("QuerySignature"), requests, params)
-    return sampled.drop("session_id").withColumnRenamed("SqlText", "SampleSqlText")
+    # The statement of one request of each chosen group; session and request identify it.
+    key = [*SNAPSHOT, "session_id", "request_id"]
+    sampled = top.select("*", "_first.*").drop("_first")
+    shown = text.one_line(F.col("sql_text"), params.max_text_length).alias("SampleSqlText")
+    texts = requests.filter(F.col("sql_text").isNotNull()).select(*key, shown)
+    return sampled.join(texts, key).drop("session_id", "request_id")
 
 
 def request_metrics(summary: DataFrame) -> DataFrame:

@@ -16,8 +16,9 @@ COUNTERS = [
 ]
 
 
-def wait_snapshot(raw: DataFrame, params: WaitParams = WaitParams()) -> DataFrame:
-    waits = raw.filter(~F.col("wait_type").isin(fv.BENIGN_WAITS) & (F.col("wait_time_ms") > 0)).select(
+def waits(raw: DataFrame) -> DataFrame:
+    """All waits that are not benign; what the time series stores."""
+    return raw.filter(~F.col("wait_type").isin(fv.BENIGN_WAITS) & (F.col("wait_time_ms") > 0)).select(
         *SNAPSHOT,
         F.col("wait_type").alias("WaitType"),
         F.col("waiting_tasks_count").alias("WaitingTasksCount"),
@@ -26,11 +27,15 @@ def wait_snapshot(raw: DataFrame, params: WaitParams = WaitParams()) -> DataFram
         (F.col("wait_time_ms") - F.col("signal_wait_time_ms")).alias("ResourceWaitTimeMs"),
         F.col("max_wait_time_ms").alias("MaxWaitTimeMs"),
     )
-    return top_per(waits, SNAPSHOT, [F.col("WaitTimeMs").desc()], ["WaitType"], params.max_types)
 
 
-def wait_metrics(snapshot: DataFrame) -> DataFrame:
+def wait_snapshot(raw: DataFrame, params: WaitParams = WaitParams()) -> DataFrame:
+    """The waits of each snapshot with the longest times."""
+    return top_per(waits(raw), SNAPSHOT, [F.col("WaitTimeMs").desc()], ["WaitType"], params.max_types)
+
+
+def wait_metrics(found: DataFrame) -> DataFrame:
     return to_metrics(
-        snapshot, COUNTERS, collector=fv.WAIT_STATS, category="WaitStats", object_name="SQLWaitStats",
+        found, COUNTERS, collector=fv.WAIT_STATS, category="WaitStats", object_name="SQLWaitStats",
         metric_type="Cumulative", sub_instance="WaitType",
     )

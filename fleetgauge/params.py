@@ -1,8 +1,11 @@
-"""Defaults and limits of the snapshot transforms."""
+"""Defaults and limits of the snapshot transforms.
+
+A text length cuts what is shown; None, the default, shows the whole text.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from fleetgauge import fixed_values as fv
 
@@ -28,7 +31,7 @@ class ConnectionParams:
 @dataclass(frozen=True)
 class BlockingParams:
     max_rows: int = 50
-    max_text_length: int | None = 4000
+    max_text_length: int | None = None
     monitor: MonitorIdentity = field(default_factory=MonitorIdentity)
 
 
@@ -55,7 +58,7 @@ class RequestParams:
     max_requests: int = 50
     max_attribution_rows: int = 25
     max_repeated_rows: int = 25
-    max_text_length: int | None = 4000
+    max_text_length: int | None = None
     monitor: MonitorIdentity = field(default_factory=MonitorIdentity)
 
 
@@ -63,20 +66,15 @@ class RequestParams:
 class QueryStatsParams:
     top_n: int = 25
     lookback_minutes: int = 60
-    max_text_length: int | None = 1000
+    max_text_length: int | None = None
     min_executions: int = 1
     monitor: MonitorIdentity = field(default_factory=MonitorIdentity)
 
     def __post_init__(self) -> None:
-        def put(name: str, value: int) -> None:
-            object.__setattr__(self, name, value)
-
-        put("top_n", min(max(self.top_n, 1), 100))
-        if self.lookback_minutes < 1:
-            put("lookback_minutes", 60)
-        if self.max_text_length is not None:
-            put("max_text_length", min(max(self.max_text_length, 100), 4000))
-        put("min_executions", max(self.min_executions, 1))
+        for name in ("top_n", "lookback_minutes", "min_executions", "max_text_length"):
+            value = getattr(self, name)
+            if value is not None and value < 1:
+                raise ValueError(f"{name} must be at least 1")
 
 
 @dataclass(frozen=True)
@@ -109,3 +107,22 @@ class RetentionParams:
     def __post_init__(self) -> None:
         if self.metric_days < 7 or self.text_days < 7 or self.history_days < 30:
             raise ValueError("retention is below the safety minimum of 7, 7 and 30 days")
+
+
+@dataclass(frozen=True)
+class CycleParams:
+    """The params of every collector of a cycle."""
+
+    connections: ConnectionParams = field(default_factory=ConnectionParams)
+    blocking: BlockingParams = field(default_factory=BlockingParams)
+    file_io: FileIoParams = field(default_factory=FileIoParams)
+    requests: RequestParams = field(default_factory=RequestParams)
+    query_stats: QueryStatsParams = field(default_factory=QueryStatsParams)
+    backups: BackupParams = field(default_factory=BackupParams)
+    jobs: JobParams = field(default_factory=JobParams)
+    alerts: AlertParams = field(default_factory=AlertParams)
+
+    def watched_by(self, monitor: MonitorIdentity) -> CycleParams:
+        """The same params, with the monitoring's own work left out of every collector that sees it."""
+        return replace(self, blocking=replace(self.blocking, monitor=monitor), requests=replace(self.requests, monitor=monitor),
+                       query_stats=replace(self.query_stats, monitor=monitor))

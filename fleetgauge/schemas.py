@@ -23,6 +23,10 @@ COLLECTION_RUN_HISTORY = _schema("""
     FinishedAt timestamp_ntz, Status string, RowsCollected int, DurationMs int, ErrorMessage string,
     CreatedAt timestamp_ntz""")
 
+COLLECTION_RUN_EVENT = _schema("""
+    CollectionRunId bigint, EventType string, EventTime timestamp_ntz, CollectorName string, InstanceId int,
+    Status string, RowsCollected int, ErrorMessage string""")
+
 METRIC_SNAPSHOT = _schema("""
     MetricSnapshotId bigint, InstanceId int, CaptureTime timestamp_ntz, DatabaseName string, ObjectName string,
     CounterName string, InstanceName string, MetricCategory string, MetricValue decimal(28,6),
@@ -55,7 +59,7 @@ LANDING_TABLES = {
         "raw_ring_buffer": "ring_buffer_type string, ts bigint, record string",
         "raw_sessions": """session_id bigint, login_name string, host_name string, program_name string,
             database_id int, database_name string, is_user_process boolean""",
-        "raw_requests": """session_id bigint, blocking_session_id bigint, database_name string, status string,
+        "raw_requests": """session_id bigint, request_id int, blocking_session_id bigint, database_name string, status string,
             command string, wait_type string, wait_time bigint, cpu_time bigint, total_elapsed_time bigint,
             logical_reads bigint, reads bigint, writes bigint, percent_complete double, sql_text string""",
         "raw_waits": """wait_type string, waiting_tasks_count bigint, wait_time_ms bigint,

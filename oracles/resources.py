@@ -75,23 +75,23 @@ _FOREIGN = """foreign_sessions AS (
   WHERE is_user_process AND NOT regexp_matches(coalesce(program_name, ''), 'dbatools|PowerShell'))"""
 
 _BLOCKED = "WITH " + _FOREIGN + """,
-blocked AS (
+all_blocked AS (
   SELECT *, (coalesce(wait_time, 0)::DECIMAL(18,2) * 0.001::DECIMAL(4,3))::DECIMAL(25,8) AS sec,
-         (row_number() OVER (PARTITION BY InstanceId, CaptureTime ORDER BY wait_time DESC NULLS LAST, session_id))::INT AS rn
+         (row_number() OVER (PARTITION BY InstanceId, CaptureTime ORDER BY wait_time DESC NULLS LAST, session_id, request_id))::INT AS rn
   FROM {raw_requests} JOIN foreign_sessions USING (InstanceId, CaptureTime, session_id)
-  WHERE blocking_session_id <> 0 QUALIFY rn <= 50)
+  WHERE blocking_session_id <> 0),
+blocked AS (SELECT * FROM all_blocked WHERE rn <= 50)
 """
 ORACLES["c11_blocked_requests"] = _BLOCKED + """
 SELECT InstanceId, CaptureTime, session_id AS BlockedSessionId, blocking_session_id AS BlockingSessionId,
        database_name AS DatabaseName, wait_type AS WaitType, coalesce(wait_time, 0) AS WaitTimeMs, sec AS WaitSeconds,
-       status AS Status, command AS Command, left(sql_text, 4000) AS SqlText, login_name AS LoginName,
+       status AS Status, command AS Command, sql_text AS SqlText, login_name AS LoginName,
        host_name AS HostName, program_name AS ProgramName, rn FROM blocked"""
-ORACLES["c11_blocked_requests_whole_text"] = ORACLES["c11_blocked_requests"].replace("left(sql_text, 4000)", "sql_text")
 ORACLES["c12_blocking_summary"] = _BLOCKED + """
 SELECT r.InstanceId, r.CaptureTime, count(b.session_id) AS BlockedSessionCount,
        count(DISTINCT b.blocking_session_id) AS DistinctBlockingSessionCount,
        coalesce(max(b.sec), 0)::DECIMAL(28,8) AS MaxWaitSeconds, coalesce(sum(b.sec), 0)::DECIMAL(28,8) AS TotalWaitSeconds
-FROM {capture_roster} r LEFT JOIN blocked b ON b.InstanceId = r.InstanceId AND b.CaptureTime = r.CaptureTime GROUP BY ALL"""
+FROM {capture_roster} r LEFT JOIN all_blocked b ON b.InstanceId = r.InstanceId AND b.CaptureTime = r.CaptureTime GROUP BY ALL"""
 ORACLES["c13_blocking_evidence"] = _BLOCKED + """
 SELECT InstanceId, CaptureTime, coalesce(database_name, '(unknown)') AS DatabaseName, 'Blocking' AS MetricCategory,
        'BlockingDetail' AS DetailType, 'Warning' AS Severity, sec::DECIMAL(28,6) AS NumericValue1,
@@ -102,25 +102,25 @@ SELECT InstanceId, CaptureTime, coalesce(database_name, '(unknown)') AS Database
          'Command: ' || coalesce(command, '(unknown)'), 'LoginName: ' || coalesce(login_name, '(unknown)'),
          'HostName: ' || coalesce(nullif(host_name, ''), '(unknown)'),
          'ProgramName: ' || coalesce(nullif(program_name, ''), '(unknown)'),
-         'SQL text: ' || if(regexp_matches(left(sql_text, 4000), '\\S'), left(sql_text, 4000), '(unavailable)')) AS Details,
+         'SQL text: ' || if(regexp_matches(sql_text, '\\S'), sql_text, '(unavailable)')) AS Details,
        'Collect-Blocking' AS SourceCollector FROM blocked"""
 
 # --- waits ---------------------------------------------------------------------------------------
 
-_WAITS = """WITH top AS (
+_WAITS = """WITH ranked AS (
   SELECT InstanceId, CaptureTime, wait_type AS WaitType, waiting_tasks_count AS WaitingTasksCount,
          wait_time_ms AS WaitTimeMs, signal_wait_time_ms AS SignalWaitTimeMs,
          wait_time_ms - signal_wait_time_ms AS ResourceWaitTimeMs, max_wait_time_ms AS MaxWaitTimeMs,
          (row_number() OVER (PARTITION BY InstanceId, CaptureTime ORDER BY wait_time_ms DESC, wait_type))::INT AS rn
-  FROM {raw_waits} WHERE wait_time_ms > 0 AND wait_type NOT IN ('SLEEP_TASK', 'XE_TIMER_EVENT') QUALIFY rn <= 20)
+  FROM {raw_waits} WHERE wait_time_ms > 0 AND wait_type NOT IN ('SLEEP_TASK', 'XE_TIMER_EVENT'))
 """
-ORACLES["c14_wait_snapshot"] = _WAITS + "SELECT * FROM top"
+ORACLES["c14_wait_snapshot"] = _WAITS + "SELECT * FROM ranked WHERE rn <= 20"
 _WAIT_LONG = _WAITS + """
 SELECT InstanceId, CaptureTime, NULL::VARCHAR AS DatabaseName, 'SQLWaitStats' AS ObjectName, CounterName,
        WaitType AS InstanceName, 'WaitStats' AS MetricCategory, v::DECIMAL(28,6) AS MetricValue,
        'Cumulative' AS MetricType, if(CounterName = 'WaitingTasksCount', 'count', 'ms') AS Unit,
        'Collect-WaitStats' AS SourceCollector
-FROM top UNPIVOT (v FOR CounterName IN (WaitingTasksCount, WaitTimeMs, SignalWaitTimeMs, ResourceWaitTimeMs, MaxWaitTimeMs))"""
+FROM ranked UNPIVOT (v FOR CounterName IN (WaitingTasksCount, WaitTimeMs, SignalWaitTimeMs, ResourceWaitTimeMs, MaxWaitTimeMs))"""
 ORACLES["c15_wait_metrics"] = _WAIT_LONG
 ORACLES["s6_wide_to_long"] = """
 SELECT InstanceId, CaptureTime, CounterName, v::DECIMAL(28,6) AS MetricValue,
@@ -187,7 +187,7 @@ ORACLES["s5_evidence_sink"] = (
 
 _FLAT = "WITH " + _FOREIGN + """,
 texts AS (SELECT DISTINCT sql_text FROM {raw_requests} WHERE sql_text IS NOT NULL),
-flat AS (SELECT sql_text, left(replace(replace(sql_text, chr(13), ' '), chr(10), ' '), 4000) AS t FROM texts),
+flat AS (SELECT sql_text, replace(replace(sql_text, chr(13), ' '), chr(10), ' ') AS t FROM texts),
 """
 # The signature is SHA-1 over UTF-16LE; where only equality matters, the text stands for itself.
 _HASHED = """signed AS (
@@ -197,7 +197,7 @@ _HASHED = """signed AS (
 """
 _UNHASHED = "signed AS (SELECT sql_text, t AS SqlText, t AS QuerySignature FROM flat),\n"
 _BASE = """active AS (
-  SELECT r.InstanceId, r.CaptureTime, r.session_id, r.database_name AS DatabaseName, s.login_name AS LoginName,
+  SELECT r.InstanceId, r.CaptureTime, r.session_id, r.request_id, r.database_name AS DatabaseName, s.login_name AS LoginName,
          s.host_name AS HostName, s.program_name AS ProgramName, r.status, r.command, r.wait_type,
          coalesce(r.wait_time, 0) AS wait_time, coalesce(r.blocking_session_id, 0) AS blocking_session_id,
          r.cpu_time, r.total_elapsed_time, r.logical_reads, r.reads, r.writes, r.percent_complete,
@@ -208,9 +208,6 @@ _BASE = """active AS (
 _ACTIVE = _FLAT + _HASHED + _BASE
 _PLAIN = _FLAT + _UNHASHED + _BASE
 ORACLES["c20_request_base"] = _ACTIVE + "SELECT * FROM active"
-ORACLES["c20_request_base_whole_text"] = "WITH " + _FOREIGN + """
-SELECT InstanceId, CaptureTime, session_id, translate(sql_text, chr(13) || chr(10), '  ') AS SqlText
-FROM {raw_requests} SEMI JOIN foreign_sessions USING (InstanceId, CaptureTime, session_id)"""
 
 _SUMMED = _PLAIN + """, summed AS (
   SELECT r.InstanceId, r.CaptureTime, count(a.session_id) AS ActiveRequestCount,
@@ -230,7 +227,7 @@ ORACLES["c21_request_summary"] = _SUMMED + "SELECT * FROM summed"
 
 _EXPENSIVE = _ACTIVE + """, expensive AS (
   SELECT * EXCLUDE (HasStatement), (row_number() OVER (PARTITION BY InstanceId, CaptureTime
-     ORDER BY cpu_time DESC, total_elapsed_time DESC, logical_reads DESC, wait_time DESC, session_id))::INT AS rn
+     ORDER BY cpu_time DESC, total_elapsed_time DESC, logical_reads DESC, wait_time DESC, session_id, request_id))::INT AS rn
   FROM active WHERE greatest(total_elapsed_time / 30000, cpu_time / 10000, logical_reads / 100000, reads / 10000,
                              writes / 10000, wait_time / 10000, abs(blocking_session_id)) >= 1
   QUALIFY rn <= 50)
@@ -267,9 +264,6 @@ _REPEATED = _ACTIVE + """, repeated AS (
 """
 ORACLES["c27_repeated_requests"] = _REPEATED + "SELECT * FROM repeated"
 
-ORACLES["c27_repeated_requests_whole_text"] = ORACLES["c27_repeated_requests"].replace(
-    "left(replace(replace(sql_text, chr(13), ' '), chr(10), ' '), 4000)", "replace(replace(sql_text, chr(13), ' '), chr(10), ' ')")
-
 _EVIDENCE = """SELECT InstanceId, CaptureTime, {0} AS DatabaseName, 'ActiveRequest' AS MetricCategory, {1} AS DetailType,
        {2} AS Severity, ({3})::DECIMAL(28,6) AS NumericValue1, ({4})::DECIMAL(28,6) AS NumericValue2,
        array_to_string([{5}], chr(10)) AS Details, 'Collect-ActiveRequests' AS SourceCollector FROM {6}"""

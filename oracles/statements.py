@@ -56,12 +56,10 @@ _ENRICHED = _DEDUPED + """, enriched AS (
 """
 ORACLES["c35_enriched"] = _ENRICHED + "SELECT * FROM enriched"
 _KEPT = _ENRICHED + """, kept AS (
-  SELECT * EXCLUDE (RawSqlText), left(translate(RawSqlText, chr(13) || chr(10), '  '), 1000) AS SqlText FROM enriched
+  SELECT * EXCLUDE (RawSqlText), translate(RawSqlText, chr(13) || chr(10), '  ') AS SqlText FROM enriched
   WHERE NOT regexp_matches(RawSqlText, 'MetricSnapshot|MetricTextSnapshot|CollectionRunHistory|sys[.]dm_exec_query_stats'))
 """
 ORACLES["c36_without_monitor_statements"] = _KEPT + "SELECT * FROM kept"
-ORACLES["c36_without_monitor_statements_whole_text"] = ORACLES["c36_without_monitor_statements"].replace(
-    "left(translate(RawSqlText, chr(13) || chr(10), '  '), 1000)", "translate(RawSqlText, chr(13) || chr(10), '  ')")
 ORACLES["c37_query_summary"] = _KEPT + """
 SELECT r.InstanceId, r.CaptureTime, count(*) FILTER (RankingCategory = 'CPU') AS TopCpuQueryCount,
        count(*) FILTER (RankingCategory = 'Duration') AS TopDurationQueryCount,
@@ -149,7 +147,7 @@ ORACLES["c45_issue_severity"] = _JUDGED + "SELECT InstanceId, CaptureTime, Datab
 _TOP_ISSUES = _JUDGED + """, top_issues AS (
   SELECT * EXCLUDE (mismatch, no_full, old_full, no_log, old_log), (row_number() OVER (PARTITION BY InstanceId, CaptureTime
      ORDER BY list_position([mismatch, no_full, no_log, old_log, old_full], true), DatabaseName))::INT AS rn
-  FROM rated WHERE mismatch OR no_full OR old_full OR no_log OR old_log QUALIFY rn <= 40)
+  FROM rated WHERE mismatch OR no_full OR old_full OR no_log OR old_log QUALIFY rn <= 200)
 """
 ORACLES["c46_compliance_issues"] = _TOP_ISSUES + "SELECT * FROM top_issues"
 _SHOWN = ", ".join(

@@ -81,19 +81,19 @@ def test_the_monitoring_leaves_itself_out(spark, columns, kept):
     assert found.count() == int(kept)
 
 
-def test_blocking_keeps_the_longest_waits_and_summarises_only_them(spark):
+def test_blocking_keeps_the_longest_waits_and_summarises_all(spark):
     rows = [{"session_id": s, "blocking_session_id": b, "wait_time": w, "sql_text": "q" * 5000}
             for s, b, w in ((1, 9, 10), (2, 9, 30), (3, 8, 20), (4, 0, 99), (5, None, 99), (6, 7, None))]
-    blocked = blocking.blocked_requests(
-        landing(spark, "raw_requests", rows), sessions(spark, 1, 2, 3, 4, 5, 6), BlockingParams(max_rows=3))
+    every = blocking.all_blocked(landing(spark, "raw_requests", rows), sessions(spark, 1, 2, 3, 4, 5, 6))
+    blocked = blocking.longest_blocked(every, BlockingParams(max_rows=3))
     assert [(r.BlockedSessionId, r.rn) for r in blocked.orderBy("rn").collect()] == [(2, 1), (3, 2), (1, 3)]
-    summary = by(blocking.blocking_summary(blocked, roster(spark, 1, 2)))
-    assert tuple(summary[1])[2:] == (3, 2, Decimal("0.03000000"), Decimal("0.06000000"))
+    summary = by(blocking.blocking_summary(every, roster(spark, 1, 2)))
+    assert tuple(summary[1])[2:] == (4, 3, Decimal("0.03000000"), Decimal("0.06000000"))
     assert tuple(summary[2])[2:] == (0, 0, 0, 0)
     evidence = blocking.blocking_evidence(blocked).filter("NumericValue2 = 8").first()
     assert evidence.Details.startswith("BlockedSessionId: 3\nBlockingSessionId: 8\nDatabaseName: (unknown)\n")
-    assert evidence.Details.endswith("SQL text: " + "q" * 4000)
-    assert blocking.blocking_metrics(blocking.blocking_summary(blocked, roster(spark, 1, 2))).count() == 8
+    assert evidence.Details.endswith("SQL text: " + "q" * 5000)
+    assert blocking.blocking_metrics(blocking.blocking_summary(every, roster(spark, 1, 2))).count() == 8
 
 
 LIMITS = {"total_elapsed_time": 30000, "cpu_time": 10000, "logical_reads": 100000, "reads": 10000, "writes": 10000, "wait_time": 10000}
@@ -104,7 +104,7 @@ def test_each_threshold_is_inclusive(spark, measure):
     limit = LIMITS[measure]
     raw = landing(spark, "raw_requests", [{"session_id": 1, measure: limit - 1}, {"session_id": 2, measure: limit}])
     base = requests.active_requests(raw, sessions(spark, 1, 2))
-    assert [r.session_id for r in requests.expensive_requests(base, raw).collect()] == [2]
+    assert [r.session_id for r in requests.expensive_requests(base).collect()] == [2]
     summary = requests.request_summary(base, roster(spark, 1)).first().asDict()
     counted = {"total_elapsed_time": "LongRunningRequestCount", "cpu_time": "HighCpuRequestCount",
                "logical_reads": "HighLogicalReadRequestCount", "reads": "HighPhysicalReadRequestCount",
@@ -121,19 +121,31 @@ def test_requests_without_rows_give_zeros_for_the_roster(spark):
 
 def test_repeated_statements_group_on_the_stored_text(spark):
     texts = ["a\nb", "a b", "c", None, None]
-    raw = landing(spark, "raw_requests", [{"session_id": n, "sql_text": t, "cpu_time": n} for n, t in enumerate(texts)])
+    raw = landing(spark, "raw_requests", [{"session_id": n, "request_id": 0, "sql_text": t, "cpu_time": n} for n, t in enumerate(texts)])
     base = requests.active_requests(raw, sessions(spark, *range(5)))
     [row] = requests.repeated_requests(base, raw).collect()
     assert (row.ActiveRequestCount, row.SampleSqlText, row.TotalCpuMs) == (2, "a b", 1)
     assert row.QuerySignature == base.filter("session_id = 1").first().QuerySignature
 
 
-def test_whole_text_tells_long_statements_apart(spark):
-    raw = landing(spark, "raw_requests", [{"session_id": n, "sql_text": "x" * 4000 + str(n)} for n in (1, 2)])
-    cut = requests.repeated_requests(requests.active_requests(raw, sessions(spark, 1, 2)), raw)
-    whole_params = RequestParams(max_text_length=None)
-    whole = requests.repeated_requests(requests.active_requests(raw, sessions(spark, 1, 2), whole_params), raw, whole_params)
-    assert (cut.count(), whole.count()) == (1, 0)
+def test_statements_equal_in_their_first_characters_stay_apart(spark):
+    raw = landing(spark, "raw_requests", [{"session_id": n, "request_id": 0, "sql_text": "x" * 4000 + str(n % 2)} for n in (1, 2, 3)])
+    for params in (RequestParams(), RequestParams(max_text_length=10)):
+        base = requests.active_requests(raw, sessions(spark, 1, 2, 3), params)
+        [row] = requests.repeated_requests(base, raw, params).collect()
+        assert (row.ActiveRequestCount, len(row.SampleSqlText)) == (2, params.max_text_length or 4001)
+
+
+def test_requests_of_one_session_are_not_mixed(spark):
+    rows = [{"session_id": 1, "request_id": r, "cpu_time": 10000 + r, "sql_text": f"text {r // 2}"} for r in range(4)]
+    raw = landing(spark, "raw_requests", rows)
+    base = requests.active_requests(raw, sessions(spark, 1))
+    expensive = requests.expensive_requests(base).orderBy("rn").collect()
+    assert [(r.request_id, r.SqlText) for r in expensive] == [(3, "text 1"), (2, "text 1"), (1, "text 0"), (0, "text 0")]
+    repeated = requests.repeated_requests(base, raw).orderBy("rn").collect()
+    assert [(r.SampleSqlText, r.ActiveRequestCount) for r in repeated] == [("text 1", 2), ("text 0", 2)]
+    blocked = blocking.all_blocked(raw.withColumn("blocking_session_id", F.lit(9).cast("bigint")), sessions(spark, 1))
+    assert blocking.longest_blocked(blocked).count() == blocking.blocking_summary(blocked, roster(spark, 1)).first()[2] == 4
 
 
 def test_attribution_has_one_row_per_label_and_kind(spark):
@@ -229,10 +241,12 @@ def test_enrichment_averages_and_own_statements(spark):
     assert [r.RankingCategory for r in ordered] == ["CPU", "Duration", "LogicalReads", "Executions"]
 
 
-def test_query_parameters_are_clamped():
-    low, high = QueryStatsParams(0, 0, 1, 0), QueryStatsParams(999, 5, 99999, 2)
-    assert (low.top_n, low.lookback_minutes, low.max_text_length, low.min_executions) == (1, 60, 100, 1)
-    assert (high.top_n, high.lookback_minutes, high.max_text_length) == (100, 5, 4000)
+@pytest.mark.parametrize("wrong", [{"top_n": 0}, {"lookback_minutes": 0}, {"max_text_length": 0}, {"min_executions": 0}])
+def test_query_parameters_are_checked_and_never_changed(wrong):
+    with pytest.raises(ValueError):
+        QueryStatsParams(**wrong)
+    params = QueryStatsParams(999, 5, 99999, 2)
+    assert (params.top_n, params.max_text_length) == (999, 99999)
 
 
 # --- backups ---

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -44,7 +45,7 @@ LANDED = [
 
 def store(inputs: Inputs) -> Inputs:
     """Write the derived inputs once and read them back from storage."""
-    spark, root = inputs.spark, tables.scratch_path(inputs.spark, "bench")
+    spark, root = inputs.spark, tempfile.mkdtemp(prefix="bench-")
     stored = Inputs(spark, inputs.sf_dir)
     for name, table in STORED.items():
         tables.append(getattr(inputs, name), f"{root}/{name}", "capture_date")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
-from dataclasses import replace
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from fleetgauge.operators import (
     retention, runs, waits,
 )
 from fleetgauge.params import (
-    AlertParams, BackupParams, BlockingParams, JobParams, QueryStatsParams, RequestParams, RetentionParams,
+    AlertParams, BackupParams, JobParams, QueryStatsParams, RetentionParams,
 )
 from fleetgauge.plans import cycle
 from fleetgauge.plans import reporting_views as rv
@@ -26,8 +26,7 @@ from fleetgauge.sources import tables
 
 YEAR_HOURS = 24 * 365
 QUERY_PARAMS = QueryStatsParams(lookback_minutes=YEAR_HOURS * 60, min_executions=2)
-WHOLE_TEXT = RequestParams(max_text_length=None)
-BACKUP_PARAMS = BackupParams(full_hours=YEAR_HOURS, diff_hours=YEAR_HOURS, log_hours=24 * 30, max_rows=40)
+BACKUP_PARAMS = BackupParams(full_hours=YEAR_HOURS, diff_hours=YEAR_HOURS, log_hours=24 * 30)
 JOB_PARAMS = JobParams(lookback_hours=YEAR_HOURS)
 ALERT_PARAMS = AlertParams(lookback_hours=YEAR_HOURS)
 PURGE_AS_OF = datetime(2024, 1, 29, 12)
@@ -44,6 +43,13 @@ def query(name: str):
     return register
 
 
+def scratch(i: Inputs, purpose: str) -> str:
+    """A new shared folder; a local session that names none gets a temporary one."""
+    if not i.spark.conf.get("spark.checkpoint.dir", None) and i.spark.sparkContext.master.startswith("local["):
+        return f"{tempfile.mkdtemp(prefix='scratch-')}/{purpose}"
+    return tables.scratch_path(i.spark, purpose)
+
+
 def put(**queries: Callable[[Inputs], DataFrame]) -> None:
     QUERIES.update(queries)
 
@@ -53,21 +59,21 @@ def put(**queries: Callable[[Inputs], DataFrame]) -> None:
 
 @query("s3_landing_scan")
 def _landing_scan(i: Inputs) -> DataFrame:
-    path = tables.scratch_path(i.spark, "landing")
+    path = scratch(i, "landing")
     i.raw_waits.write.parquet(path)
     return tables.read_landing(i.spark, path, "raw_waits")
 
 
 @query("s4_metric_sink")
 def _metric_sink(i: Inputs) -> DataFrame:
-    path = tables.scratch_path(i.spark, "metrics")
+    path = scratch(i, "metrics")
     tables.write_metrics(_wait_metrics(i), path)
     return tables.read_table(i.spark, path, "MetricSnapshot").drop("MetricSnapshotId")
 
 
 @query("s5_evidence_sink")
 def _evidence_sink(i: Inputs) -> DataFrame:
-    path = tables.scratch_path(i.spark, "evidence")
+    path = scratch(i, "evidence")
     tables.write_evidence(file_io.file_evidence(_busy_files(i)), path)
     return tables.read_table(i.spark, path, "MetricTextSnapshot").drop("MetricTextSnapshotId")
 
@@ -83,8 +89,9 @@ def _rendering(i: Inputs) -> DataFrame:
 
 @query("s8_fan_out")
 def _fan_out(i: Inputs) -> DataFrame:
-    metrics, evidence = tables.scratch_path(i.spark, "fan-metrics"), tables.scratch_path(i.spark, "fan-evidence")
-    cycle.collect_requests(i.raw_requests, i.raw_sessions, i.capture_roster).write(metrics, evidence)
+    metrics, evidence = scratch(i, "fan-metrics"), scratch(i, "fan-evidence")
+    collected = cycle.collect_requests(i.raw_requests, i.raw_sessions, i.capture_roster)
+    collected.write(i.spark, metrics, evidence, date(1, 1, 1), date(9999, 12, 31))
     stored = tables.read_table(i.spark, metrics, "MetricSnapshot").select(F.col("ObjectName").alias("Output"))
     texts = tables.read_table(i.spark, evidence, "MetricTextSnapshot").select(F.col("DetailType").alias("Output"))
     return stored.union(texts).groupBy("Output").agg(F.count(F.lit(1)).alias("RowCount"))
@@ -140,7 +147,7 @@ put(
 
 @query("m2_purged_table")
 def _purged(i: Inputs) -> DataFrame:
-    path = tables.scratch_path(i.spark, "evidence")
+    path = scratch(i, "evidence")
     tables.append(i.metric_text_snapshot, path, "capture_date")
     retention.purge(i.spark, path, "MetricTextSnapshot", PURGE_AS_OF, RetentionParams(text_days=14))
     return tables.read_table(i.spark, path, "MetricTextSnapshot").select("CaptureTime", "InstanceId", "Details")
@@ -158,7 +165,7 @@ def _blocked(i: Inputs) -> DataFrame:
 
 
 def _wait_metrics(i: Inputs) -> DataFrame:
-    return waits.wait_metrics(waits.wait_snapshot(i.raw_waits))
+    return waits.wait_metrics(waits.waits(i.raw_waits))
 
 
 def _busy_files(i: Inputs) -> DataFrame:
@@ -179,9 +186,8 @@ put(
     c9_sessions_by_application=lambda i: connections.session_breakdown(_groups(i), ("Application",)),
     c10_sessions_by_database=lambda i: connections.session_breakdown(_groups(i), ("Database",)),
     c11_blocked_requests=_blocked,
-    c11_blocked_requests_whole_text=lambda i: blocking.blocked_requests(
-        i.raw_requests, i.raw_sessions, BlockingParams(max_text_length=None)),
-    c12_blocking_summary=lambda i: blocking.blocking_summary(_blocked(i), i.capture_roster),
+    c12_blocking_summary=lambda i: blocking.blocking_summary(
+        blocking.all_blocked(i.raw_requests, i.raw_sessions), i.capture_roster),
     c13_blocking_evidence=lambda i: blocking.blocking_evidence(_blocked(i)),
     c14_wait_snapshot=lambda i: waits.wait_snapshot(i.raw_waits),
     c15_wait_metrics=_wait_metrics,
@@ -199,7 +205,7 @@ def _base(i: Inputs) -> DataFrame:
 
 
 def _expensive(i: Inputs) -> DataFrame:
-    return requests.expensive_requests(_base(i), i.raw_requests)
+    return requests.expensive_requests(_base(i))
 
 
 def _repeated(i: Inputs) -> DataFrame:
@@ -208,8 +214,6 @@ def _repeated(i: Inputs) -> DataFrame:
 
 put(
     c20_request_base=_base,
-    c20_request_base_whole_text=lambda i: requests.active_requests(
-        i.raw_requests, i.raw_sessions, WHOLE_TEXT).select(*SNAPSHOT, "session_id", "SqlText"),
     c21_request_summary=lambda i: requests.request_summary(_base(i), i.capture_roster),
     c22_expensive_requests=_expensive,
     c23_requests_by_database=lambda i: requests.request_attribution(_base(i), ("Database",)),
@@ -217,8 +221,6 @@ put(
     c25_requests_by_program=lambda i: requests.request_attribution(_base(i), ("Program",)),
     c26_requests_by_login=lambda i: requests.request_attribution(_base(i), ("Login",)),
     c27_repeated_requests=_repeated,
-    c27_repeated_requests_whole_text=lambda i: requests.repeated_requests(
-        requests.active_requests(i.raw_requests, i.raw_sessions, WHOLE_TEXT), i.raw_requests, WHOLE_TEXT),
     c28_expensive_evidence=lambda i: requests.expensive_evidence(_expensive(i)),
     c28_attribution_evidence=lambda i: requests.attribution_evidence(requests.request_attribution(_base(i))),
     c28_repeated_evidence=lambda i: requests.repeated_evidence(_repeated(i)),
@@ -261,8 +263,6 @@ put(
     c34_deduplicated=lambda i: query_stats.deduplicate(_candidates(i)),
     c35_enriched=_enriched,
     c36_without_monitor_statements=_kept,
-    c36_without_monitor_statements_whole_text=lambda i: query_stats.query_details(
-        i.raw_query_stats, i.raw_query_text, params=replace(QUERY_PARAMS, max_text_length=None)),
     c37_query_summary=lambda i: query_stats.query_summary(_kept(i), i.landing_roster),
     c38_detail_order=lambda i: query_stats.detail_order(_kept(i)),
     c38_query_evidence=lambda i: query_stats.query_evidence(_kept(i)),
@@ -369,5 +369,4 @@ put(
         i.metric_snapshot, i.collection_run_history, i.monitored_instances, ORDERS_AS_OF),
     v20_wait_pressure_current=_view(rv.wait_pressure_current),
     v21_agent_health_current=_view(rv.agent_health_current),
-    v22_repository_storage=lambda i: rv.repository_storage(i.spark, i.sf_dir, "repository", EVENTS_AS_OF),
 )

@@ -45,7 +45,10 @@ def top_per(
 
 
 def top_overall(df: DataFrame, order: Sequence[Column], tie: Sequence[str], n: int, slices: int = 256) -> DataFrame:
-    """The first ``n`` rows of the whole frame, in order."""
+    """The first ``n`` rows of the whole frame, in order; rows that repeat ``tie`` count once."""
     total = [*order, *(F.col(t).asc() for t in tie)]
     sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*tie), F.lit(slices)))
-    return newest_per(sliced, ["_slice"], total, n).drop("rn", "_slice").orderBy(*total).limit(n)
+    # Repeats share a rank, so they crowd nothing else out of their slice.
+    place = F.dense_rank().over(Window.partitionBy("_slice").orderBy(*total))
+    survivors = sliced.withColumn("rn", place).filter(F.col("rn") <= n).drop("rn", "_slice")
+    return survivors.dropDuplicates(list(tie)).orderBy(*total).limit(n)

@@ -50,16 +50,30 @@ def list_instances(instances: DataFrame, status: str = "All") -> DataFrame:
     return instances.filter(conditions[status]).select(*_COLUMNS).orderBy("EnvironmentName", "InstanceName")
 
 
+def same_name(name: Column) -> Column:
+    """What names are compared by: case and blanks at the end do not tell them apart."""
+    return F.lower(F.rtrim(name))
+
+
+def _named_once(rows: DataFrame) -> DataFrame:
+    """The rows with what their name is compared by in ``_name``; a name that occurs twice is an error."""
+    keyed = rows.withColumn("_name", same_name(F.col("InstanceName")))
+    count = F.count(F.lit(1)).over(Window.partitionBy("_name"))
+    repeated = F.raise_error(F.concat(F.lit("name occurs more than once: "), F.col("_name")))
+    return keyed.withColumn("_name", F.when(count > 1, repeated).otherwise(F.col("_name")))
+
+
 def register(instances: DataFrame, registrations: DataFrame, now: datetime) -> DataFrame:
-    """The new inventory after an upsert by name; ``registrations`` holds each name once.
+    """The new inventory after an upsert by name; a name that ``registrations`` hold twice is an error.
 
     A known instance takes the registered values, is enabled and stamped, and keeps its id and
     creation time.  A new one gets the next ids.
     """
-    checked = _check_profiles(registrations)
-    updates = checked.withColumnsRenamed({c: f"_{c}" for c in _REGISTERED}).withColumn("_registered", F.lit(True))
+    checked = _check_profiles(_named_once(registrations))
+    updates = checked.drop("InstanceName").withColumnsRenamed({c: f"_{c}" for c in _REGISTERED}).withColumn(
+        "_registered", F.lit(True))
     found = F.col("_registered").isNotNull()
-    known = instances.join(updates, "InstanceName", "left").select(
+    known = instances.withColumn("_name", same_name(F.col("InstanceName"))).join(updates, "_name", "left").select(
         "InstanceId", "InstanceName",
         *(F.when(found, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in _REGISTERED),
         (found | F.col("IsEnabled")).alias("IsEnabled"),
@@ -70,7 +84,7 @@ def register(instances: DataFrame, registrations: DataFrame, now: datetime) -> D
 
 def seed(instances: DataFrame, seeds: DataFrame, now: datetime) -> DataFrame:
     """The inventory with the seeds that were absent; known instances stay as they are."""
-    added = _new_instances(instances, _check_profiles(seeds), now, F.lit(None).cast("timestamp_ntz"))
+    added = _new_instances(instances, _check_profiles(_named_once(seeds)), now, F.lit(None).cast("timestamp_ntz"))
     return instances.select(*_COLUMNS).unionByName(added)
 
 
@@ -86,7 +100,8 @@ def _new_instances(instances: DataFrame, registrations: DataFrame, now: datetime
 
     Names are spread over 256 buckets by hash; a bucket starts where the ones before it end.
     """
-    absent = registrations.join(instances.select("InstanceName"), "InstanceName", "left_anti").withColumn(
+    known = instances.select(same_name(F.col("InstanceName")).alias("_name"))
+    absent = registrations.join(known, "_name", "left_anti").withColumn(
         "_bucket", F.substring(F.md5("InstanceName"), 1, 2)
     )
     highest = instances.agg(F.lit("").alias("_bucket"), F.coalesce(F.max("InstanceId"), F.lit(0)).alias("_n"))
@@ -103,20 +118,22 @@ def _new_instances(instances: DataFrame, registrations: DataFrame, now: datetime
 
 
 def unknown_names(instances: DataFrame, changes: DataFrame) -> DataFrame:
-    return changes.join(instances, "InstanceName", "left_anti").select("InstanceName")
+    known = instances.select(same_name(F.col("InstanceName")).alias("_name"))
+    return changes.withColumn("_name", same_name(F.col("InstanceName"))).join(known, "_name", "left_anti").select("InstanceName")
 
 
 def set_state(instances: DataFrame, changes: DataFrame, now: datetime) -> DataFrame:
-    """The inventory after enabling and disabling; a name that is not registered is an error."""
+    """The inventory after enabling and disabling; a name that is not registered, or given twice, is an error."""
     changed, reason, notes = F.col("State").isNotNull(), F.col("Reason"), F.col("Notes")
     appended = (
         F.when(F.coalesce(reason, F.lit("")) == "", notes)
         .when(F.coalesce(notes, F.lit("")) == "", reason)
         .otherwise(F.concat(notes, F.lit(" | "), reason))
     )
-    unknown = F.raise_error(F.concat(F.lit("instance is not registered: "), F.col("InstanceName")))
+    unknown = F.raise_error(F.concat(F.lit("instance is not registered: "), F.col("_name")))
+    known = instances.withColumn("_name", same_name(F.col("InstanceName")))
     return (
-        instances.join(changes.select("InstanceName", "State", "Reason"), "InstanceName", "full")
+        known.join(_named_once(changes).select("_name", "State", "Reason"), "_name", "full")
         .withColumns({
             "InstanceId": F.when(F.col("InstanceId").isNull(), unknown).otherwise(F.col("InstanceId")),
             "IsEnabled": F.when(changed, F.col("State") == "Enable").otherwise(F.col("IsEnabled")),

@@ -73,8 +73,4 @@ def _rewrite_day(spark: SparkSession, path: str, table: str, partition: str, cut
             if found == day:
                 tables.drop_folder(spark, folder)
         return
-    # Never read and overwrite one path in one plan: the kept rows pass through a written copy.
-    staged = tables.scratch_path(spark, "retention")
-    kept.write.parquet(staged)
-    copy = spark.read.schema(kept.schema).parquet(staged)
-    copy.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    tables.rewrite_days(spark, kept, path, partition)

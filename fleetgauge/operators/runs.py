@@ -6,12 +6,13 @@ from collections.abc import Mapping
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgauge import fixed_values as fv
-from fleetgauge.functions.ranking import top_overall
+from fleetgauge.functions.ranking import newest_per, top_overall
 from fleetgauge.functions.timing import millis_crossed, ntz, rows_before, rows_from
+from fleetgauge.sources import tables
 
 EVENT_COLUMNS = ["CollectionRunId", "EventType", "EventTime", "CollectorName", "InstanceId", "Status",
                  "RowsCollected", "ErrorMessage"]
@@ -45,25 +46,29 @@ def finish_events(outcomes: DataFrame, collector: str, finished_at: datetime) ->
 
 
 def fold_runs(events: DataFrame) -> DataFrame:
-    """The current state of each run from its start and finish events, in one shuffle."""
-    started, finished = F.col("EventType") == "start", F.col("EventType") == "finish"
-    outcome = F.struct("EventTime", "Status", "RowsCollected", "ErrorMessage")
-    folded = events.groupBy("CollectionRunId").agg(
-        F.max(F.when(started, F.col("CollectorName"))).alias("CollectorName"),
-        F.max(F.when(started, F.col("InstanceId"))).alias("InstanceId"),
-        F.max(F.when(started, F.col("EventTime"))).alias("StartedAt"),
-        F.max(F.when(finished, outcome)).alias("_last"),
-    )
-    end = F.col("_last.EventTime")
-    return folded.select(
-        "CollectionRunId", "CollectorName", "InstanceId", "StartedAt", end.alias("FinishedAt"),
-        F.coalesce("_last.Status", F.lit("Running")).alias("Status"),
-        F.col("_last.RowsCollected").alias("RowsCollected"),
-        millis_crossed(F.col("StartedAt"), end).cast("int").alias("DurationMs"),
-        F.col("_last.ErrorMessage").alias("ErrorMessage"), F.col("StartedAt").alias("CreatedAt"),
+    """The current state of each run from its start and finish events, in one shuffle.
+
+    Each run has a handful of events, so ranking them is narrow; of repeated events the last one counts.
+    """
+    order = [F.col(c).desc() for c in ("EventTime", "Status", "RowsCollected", "ErrorMessage")]
+    latest = newest_per(events, ["CollectionRunId", "EventType"], order).drop("rn")
+    started = latest.filter("EventType = 'start'").select(
+        "CollectionRunId", "CollectorName", "InstanceId", F.col("EventTime").alias("StartedAt"))
+    finished = latest.filter("EventType = 'finish'").select(
+        "CollectionRunId", F.col("EventTime").alias("FinishedAt"), "Status", "RowsCollected", "ErrorMessage")
+    return started.join(finished, "CollectionRunId", "full").select(
+        "CollectionRunId", "CollectorName", "InstanceId", "StartedAt", "FinishedAt",
+        F.coalesce("Status", F.lit("Running")).alias("Status"), "RowsCollected",
+        millis_crossed(F.col("StartedAt"), F.col("FinishedAt")).cast("int").alias("DurationMs"),
+        "ErrorMessage", F.col("StartedAt").alias("CreatedAt"),
     )
 
 
+def stored_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The runs whose events a cycle has stored below a path."""
+    return fold_runs(tables.read_table(spark, path, "CollectionRunEvent"))
+
+
 def isolate_failures(
     raw: DataFrame, rules: Mapping[str, str], keys: list[str] = ["InstanceId"],
 ) -> tuple[DataFrame, DataFrame]:
@@ -128,8 +133,8 @@ def recent_history(runs: DataFrame, instances: DataFrame, top: int = 100) -> Dat
     return top_overall(joined, [F.col("StartedAt").desc()], ["CollectionRunId"], top)
 
 
-def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table with its row count."""
     counts = [df.agg(F.count(F.lit(1)).alias("RowCount")).select(F.lit(name).alias("TableName"), "RowCount")
-              for name, df in tables.items()]
+              for name, df in frames.items()]
     return reduce(DataFrame.unionByName, counts).orderBy("TableName")

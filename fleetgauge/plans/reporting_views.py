@@ -6,7 +6,7 @@ from datetime import date, datetime, timedelta
 from functools import reduce
 from operator import add, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetgauge import fixed_values as fv
@@ -14,7 +14,7 @@ from fleetgauge.functions.ranking import SLICES, newest_per
 from fleetgauge.functions.timing import minutes_crossed, ntz, seconds_crossed
 from fleetgauge.plans import signals
 from fleetgauge.plans.signals import Signal, latest_signals
-from fleetgauge.sources.tables import dataset_files
+from fleetgauge.sources.tables import since
 
 _NAMES = ["InstanceId", "InstanceName", "EnvironmentName"]
 _PROFILES = [*_NAMES, "CollectionProfile", "ComplianceProfile"]
@@ -22,11 +22,6 @@ _SERIES = ["CaptureTime", "DatabaseName", "ObjectName", "CounterName", "CounterI
            "MetricValue", "MetricType", "Unit", "SourceCollector"]
 
 
-def since(metrics: DataFrame, first_day: date | None) -> DataFrame:
-    """Bound a history-wide view to recent date partitions."""
-    return metrics if first_day is None else metrics.filter(F.col("capture_date") >= F.lit(first_day))
-
-
 def _zero(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0).cast("decimal(28,6)"))
 
@@ -48,16 +43,16 @@ def _with_inventory(metrics: DataFrame, instances: DataFrame) -> DataFrame:
     return named.join(instances.select(*_PROFILES), "InstanceId").select(*_PROFILES, *_SERIES)
 
 
-def metric_latest(metrics: DataFrame, instances: DataFrame) -> DataFrame:
+def metric_latest(metrics: DataFrame, instances: DataFrame, first_day: date | None = None) -> DataFrame:
     """The newest row of each series, NULL and empty names being the same, with its instance."""
     names = ["DatabaseName", "ObjectName", "CounterName", "InstanceName", "MetricCategory", "SourceCollector"]
     series = ["InstanceId", *(F.coalesce(n, F.lit("")) for n in names)]
-    newest = newest_per(metrics, series, [F.col("CaptureTime").desc(), F.col("MetricSnapshotId").desc()])
+    newest = newest_per(since(metrics, first_day), series, [F.col("CaptureTime").desc(), F.col("MetricSnapshotId").desc()])
     return _with_inventory(newest, instances)
 
 
-def metric_trend(metrics: DataFrame, instances: DataFrame) -> DataFrame:
-    return _with_inventory(metrics, instances)
+def metric_trend(metrics: DataFrame, instances: DataFrame, first_day: date | None = None) -> DataFrame:
+    return _with_inventory(since(metrics, first_day), instances)
 
 
 # --- Health of single signals --------------------------------------------------------------------
@@ -198,12 +193,19 @@ def collector_health(runs: DataFrame, instances: DataFrame, as_of: datetime) ->
 
 
 def collector_states(runs: DataFrame) -> DataFrame:
-    """Per instance and collector: last start, its status and the last success, in one aggregation."""
-    return runs.groupBy("InstanceId", "CollectorName").agg(
-        F.max("StartedAt").alias("LastStartedAt"),
-        F.max(F.when(F.col("Status").isin(fv.SUCCESS_STATES), F.col("FinishedAt"))).alias("LastSuccessfulAt"),
-        F.max_by("Status", F.struct("StartedAt", "CollectionRunId")).alias("LastStatus"),
-    )
+    """Per instance and collector: last start, its status and the last success.
+
+    The last run is ranked on narrow rows, of which each task sends one per key; the last success is a hash aggregate.
+    """
+    key = ["InstanceId", "CollectorName"]
+    last = newest_per(
+        runs.select(*key, "StartedAt", "CollectionRunId", "Status"), key,
+        [F.col("StartedAt").desc(), F.col("CollectionRunId").desc()],
+    ).select(*key, F.col("StartedAt").alias("LastStartedAt"), F.col("Status").alias("LastStatus"))
+    succeeded = F.max(F.when(F.col("Status").isin(fv.SUCCESS_STATES), F.col("FinishedAt"))).alias("LastSuccessfulAt")
+    success = runs.groupBy(*key).agg(succeeded).withColumnsRenamed({c: f"_{c}" for c in key})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
+    return last.join(success, same).drop(*(f"_{c}" for c in key))
 
 
 def run_signals(runs: DataFrame, as_of: datetime) -> DataFrame:
@@ -254,7 +256,9 @@ def _servers(metrics: DataFrame, runs: DataFrame, instances: DataFrame, as_of: d
     })
 
 
-def server_health_current(metrics: DataFrame, runs: DataFrame, instances: DataFrame, as_of: datetime) -> DataFrame:
+def server_health_current(
+    metrics: DataFrame, runs: DataFrame, instances: DataFrame, as_of: datetime, first_day: date | None = None,
+) -> DataFrame:
     """Backup and collector health of each enabled instance, and the worse of them."""
     backup, configuration = F.col("BackupHealth"), F.col("ConfigurationHealth")
     overall = _levels({
@@ -262,7 +266,7 @@ def server_health_current(metrics: DataFrame, runs: DataFrame, instances: DataFr
         "Warning": (F.col("CollectorWarningCount") > 0) | (backup == "Unknown")
         | configuration.isin("Warning", "Unknown"),
     })
-    return _servers(metrics, runs, instances, as_of, signals.BACKUP).select(
+    return _servers(since(metrics, first_day), runs, instances, as_of, signals.BACKUP).select(
         *_PROFILES, "SqlVersion", "Edition", "BackupCaptureTime", "DatabaseCount", "BackupProtectionIssueCount",
         "ConfigurationViolationCount", "NonCompliantDatabaseCount", "BackupHealth", "ConfigurationHealth",
         "LastCollectionTime", "CollectorCriticalCount", "CollectorWarningCount", overall.alias("OverallHealth"),
@@ -302,10 +306,12 @@ def scorecard_health() -> Column:
     })
 
 
-def server_health_scorecard(metrics: DataFrame, runs: DataFrame, instances: DataFrame, as_of: datetime) -> DataFrame:
+def server_health_scorecard(
+    metrics: DataFrame, runs: DataFrame, instances: DataFrame, as_of: datetime, first_day: date | None = None,
+) -> DataFrame:
     """All signals of each enabled instance with a 0 to 100 score: one scan of metrics, one of runs."""
     used = (signals.PERFORMANCE, signals.BLOCKING, signals.BACKUP, signals.QUERY_PRESSURE)
-    rated = _servers(metrics, runs, instances, as_of, *used).withColumns({
+    rated = _servers(since(metrics, first_day), runs, instances, as_of, *used).withColumns({
         "DeadlocksSincePreviousSample": deadlock_delta(), "CpuHealth": cpu_health(), "MemoryHealth": memory_health(),
         "DeadlockHealth": deadlock_health(), "BlockingHealth": blocking_health(),
         "QueryDataHealth": query_data_health(),
@@ -425,23 +431,3 @@ def _dominant() -> Column:
     for name, prefix in reversed(_PREFIXES.items()):
         chosen = F.when(F.col(f"{prefix}WaitDeltaMs") == largest, name).otherwise(chosen)
     return F.when(largest > 0, chosen).otherwise("None")
-
-
-# --- Storage -------------------------------------------------------------------------------------
-
-
-def repository_storage(spark: SparkSession, path: str, name: str, as_of: datetime) -> DataFrame:
-    """Size and number of the files that hold the repository: data files, and all others as log."""
-    files = dataset_files(spark, path).withColumn("_data", F.col("path").endswith(".parquet"))
-
-    def megabytes(bytes_: Column) -> Column:
-        return (F.coalesce(bytes_, F.lit(0)).cast("decimal(25,0)") / 1048576).cast("decimal(19,2)")
-
-    return files.agg(
-        F.lit(name).alias("DatabaseName"),
-        megabytes(F.sum(F.when(F.col("_data"), F.col("length")))).alias("DataSizeMB"),
-        megabytes(F.sum(F.when(~F.col("_data"), F.col("length")))).alias("LogSizeMB"),
-        megabytes(F.sum("length")).alias("TotalAllocatedMB"),
-        F.count_if("_data").alias("DataFileCount"), F.count_if(~F.col("_data")).alias("LogFileCount"),
-        ntz(as_of).alias("CaptureTime"),
-    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 from operator import or_
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from fleetgauge import fixed_values as fv
 from fleetgauge.functions.ranking import newest_per, top_overall
 from fleetgauge.operators.runs import row_counts
+from fleetgauge.sources.tables import since
 
 _NEWEST = ["CaptureTime", "MetricSnapshotId"]
 _NAMES = ["InstanceId", "InstanceName", "EnvironmentName"]
@@ -32,22 +34,23 @@ _SUMMARY = {
 _WARNING_SIGNS = ["BlockedSessionCount", "FailedJobs", "BackupIssues", "TriggeredAlerts"]
 
 
-def latest_metrics(metrics: DataFrame) -> DataFrame:
+def latest_metrics(metrics: DataFrame, first_day: date | None = None) -> DataFrame:
     """The newest row of each series; a NULL and an empty database or sub-instance are the same series."""
     series = [
         "InstanceId", "MetricCategory", "ObjectName", "CounterName",
         F.coalesce("DatabaseName", F.lit("")), F.coalesce("InstanceName", F.lit("")),
     ]
-    return newest_per(metrics, series, [F.col(c).desc() for c in _NEWEST]).drop("rn", "capture_date")
+    return newest_per(since(metrics, first_day), series, [F.col(c).desc() for c in _NEWEST]).drop("rn", "capture_date")
 
 
 def instance_health_summary(
-    metrics: DataFrame, instances: DataFrame, backup_category: str = "Backup",
+    metrics: DataFrame, instances: DataFrame, backup_category: str = "Backup", first_day: date | None = None,
 ) -> DataFrame:
     """Eight latest metrics per enabled instance and an overall status.
 
     Only the series of those metrics are ranked; the last capture time is a plain maximum over all rows.
     """
+    metrics = since(metrics, first_day)
     summary = {**_SUMMARY, "BackupIssues": (backup_category, _SUMMARY["BackupIssues"][1])}
 
     def matches(category: str, counters: list[str]) -> Column:
@@ -98,8 +101,10 @@ def top_problem_queries(evidence: DataFrame, instances: DataFrame, top: int = 50
     """The newest and most expensive statements of the fleet.
 
     Chosen on narrow rows; the wide text is then fetched for the chosen ids only, which are
-    at most ``top`` rows and so always small enough to broadcast.
+    at most ``top`` rows and so always small enough to broadcast.  A row that is stored twice counts once.
     """
+    if top > 100_000:
+        raise ValueError("top must be at most 100000")
     # Joining on the partition date too lets the scan for the texts skip all other dates.
     key = ["capture_date", "InstanceId", "CaptureTime", "MetricTextSnapshotId"]
     order = ["CaptureTime", "NumericValue1", "NumericValue2"]
@@ -108,7 +113,7 @@ def top_problem_queries(evidence: DataFrame, instances: DataFrame, top: int = 50
     texts = evidence.filter(F.col("SourceCollector") == fv.QUERY_STATS).select(
         *key, "DatabaseName", "DetailType", "Severity", "Details", "SourceCollector",
     )
-    return texts.join(F.broadcast(chosen), key).select(
+    return texts.join(F.broadcast(chosen), key).dropDuplicates(key).select(
         "MetricTextSnapshotId", *_NAMES, "CaptureTime", "DatabaseName", "DetailType", "Severity",
         F.col("NumericValue1").alias("AvgCpuMs"), F.col("NumericValue2").alias("AvgElapsedMs"), "Details",
         "SourceCollector",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from datetime import date, datetime
@@ -19,6 +18,7 @@ _STORED = {
     "CollectionRunHistory": (schemas.COLLECTION_RUN_HISTORY + ", started_date date", "started_date"),
     "MetricSnapshot": (schemas.METRIC_SNAPSHOT, "capture_date"),
     "MetricTextSnapshot": (schemas.METRIC_TEXT_SNAPSHOT, "capture_date"),
+    "CollectionRunEvent": (schemas.COLLECTION_RUN_EVENT + ", event_date date", "event_date"),
     "AnomalyEvents": (schemas.ANOMALY_EVENTS, None),
 }
 PARTITIONS = {name: partition for name, (_, partition) in _STORED.items() if partition}
@@ -31,6 +31,11 @@ def read_table(spark: SparkSession, path: str, table: str, since: date | None =
     return df.filter(F.col(partition) >= F.lit(since)) if since and partition else df
 
 
+def since(rows: DataFrame, first_day: date | None) -> DataFrame:
+    """Bound a view over a history to recent date partitions."""
+    return rows if first_day is None else rows.filter(F.col("capture_date") >= F.lit(first_day))
+
+
 def read_landing(spark: SparkSession, path: str, table: str, file_format: str = "parquet") -> DataFrame:
     """A landed snapshot table, from Parquet, JSON lines or CSV, always with its declared schema."""
     reader = spark.read.schema(schemas.LANDING_TABLES[table])
@@ -67,13 +72,45 @@ def write_runs(runs: DataFrame, path: str) -> None:
     append(runs.withColumn("started_date", F.col("StartedAt").cast("date")), path, "started_date")
 
 
+def append_new(spark: SparkSession, rows: DataFrame, path: str, table: str, first: date, last: date) -> None:
+    """Append the rows of the days ``first`` to ``last`` whose id is not stored yet.
+
+    Ids are hashes of the rows' keys, so a repeated row is found again.  Only the partitions of those
+    days are read for the comparison.
+    """
+    row_id = f"{table}Id"
+    if exists(spark, path):
+        stored = read_table(spark, path, table).filter(F.col("capture_date").between(first, last))
+        rows = rows.join(stored.select("capture_date", row_id), ["capture_date", row_id], "left_anti")
+    append(rows, path, "capture_date")
+
+
+def rewrite_days(spark: SparkSession, rows: DataFrame, path: str, partition: str) -> None:
+    """Replace the date partitions that occur in ``rows``, which may be read from the same table.
+
+    The rows pass through a written copy beside the table, as one plan must not read and overwrite one path; the copy is
+    deleted afterwards.  Its name starts with an underscore, so readers of the table do not see it.
+    """
+    staged = f"{path.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+    try:
+        rows.write.parquet(staged)
+        copy = spark.read.schema(rows.schema).parquet(staged)
+        copy.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    finally:
+        drop_folder(spark, staged)
+
+
+def write_run_events(events: DataFrame, path: str) -> None:
+    """Append run events by date.  Folding takes the last of repeated events, so nothing has to be looked up."""
+    days = events.withColumn("event_date", F.col("EventTime").cast("date"))
+    days.write.mode("append").partitionBy("event_date").parquet(path)
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new folder under the shared directory that ``spark.checkpoint.dir`` names."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="scratch-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -96,12 +133,6 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
     fs.delete(target, True)
 
 
-def dataset_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file below a path: name and size, without reading any content."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "length")
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     target, fs = _file_system(spark, path)
     return fs.exists(target)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetgauge import schemas
-from fleetgauge.functions.shaping import stored_evidence, stored_metrics
+from fleetgauge.functions.shaping import SNAPSHOT, stored_evidence, stored_metrics
 from fleetgauge.plans.cycle import Collection
 from fleetgauge.sources import tables
 
@@ -21,20 +21,26 @@ def collect_landed(
 ) -> StreamingQuery:
     """Process all files landed since the last call, then stop.
 
-    A snapshot must land within one file, as its rankings need all its rows.  The checkpoint belongs in
-    shared storage.  A batch that is repeated after a failure adds nothing that is stored already.
+    A snapshot's rankings and totals need all its rows.  So each snapshot that a batch touches is computed from all
+    its rows landed so far, and replaces what was stored for it: one that lands in several batches ends up as if it
+    had landed at once, and a batch that is repeated after a failure changes nothing.  The checkpoint belongs in
+    shared storage.
     """
-    landed = spark.readStream.schema(schemas.LANDING_TABLES[table]).parquet(landing_path)
+    schema = schemas.LANDING_TABLES[table]
+    landed = spark.readStream.schema(schema).parquet(landing_path)
 
     def process(batch: DataFrame, _: int) -> None:
         captured = F.col("CaptureTime").cast("date")
+        touched = batch.select(*SNAPSHOT).distinct()
         days = batch.agg(F.min(captured), F.max(captured)).first()
         if days[0] is None:
             return
-        collection = build(batch)
-        append_new(spark, stored_metrics(collection.metrics), metrics_path, "MetricSnapshot", *days)
+        whole = spark.read.schema(schema).parquet(landing_path).filter(captured.between(*days))
+        collection = build(whole.join(touched, SNAPSHOT, "left_semi"))
+        replace_snapshots(spark, stored_metrics(collection.metrics), touched, metrics_path, "MetricSnapshot", *days)
         if collection.evidence is not None:
-            append_new(spark, stored_evidence(collection.evidence), evidence_path, "MetricTextSnapshot", *days)
+            replace_snapshots(
+                spark, stored_evidence(collection.evidence), touched, evidence_path, "MetricTextSnapshot", *days)
 
     return (
         landed.writeStream.foreachBatch(process)
@@ -42,14 +48,20 @@ def collect_landed(
     )
 
 
-def append_new(spark: SparkSession, rows: DataFrame, path: str, table: str, first: date, last: date) -> None:
-    """Append the rows of the days ``first`` to ``last`` whose id is not stored yet.
+def replace_snapshots(
+    spark: SparkSession, rows: DataFrame, touched: DataFrame, path: str, table: str, first: date, last: date,
+) -> None:
+    """Store the rows of the touched snapshots; older rows of theirs from the same collectors go.
 
-    Ids are hashes of the rows' keys, so a repeated row is found again.  Only the partitions of those
-    days are read for the comparison.
+    Only the dates ``first`` to ``last`` are read, and they are rewritten only if something is to go.
     """
-    row_id = f"{table}Id"
     if tables.exists(spark, path):
         stored = tables.read_table(spark, path, table).filter(F.col("capture_date").between(first, last))
-        rows = rows.join(stored.select("capture_date", row_id), ["capture_date", row_id], "left_anti")
+        collectors = rows.select("SourceCollector").distinct()
+        old = stored.join(touched, SNAPSHOT, "left_semi").join(collectors, "SourceCollector", "left_semi")
+        if not old.isEmpty():
+            row_id = f"{table}Id"
+            kept = stored.join(old.select("capture_date", row_id), ["capture_date", row_id], "left_anti")
+            tables.rewrite_days(spark, kept.unionByName(rows), path, "capture_date")
+            return
     tables.append(rows, path, "capture_date")

@@ -1,10 +1,14 @@
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
 
 from fleetgauge.operators import inventory, retention, runs
-from fleetgauge.params import RetentionParams
+from fleetgauge.params import (
+    AlertParams, BackupParams, BlockingParams, ConnectionParams, CycleParams, FileIoParams, JobParams, MonitorIdentity,
+    QueryStatsParams, RequestParams, RetentionParams,
+)
 from fleetgauge.plans import cycle
 from fleetgauge.plans import reporting_views as rv
 from fleetgauge.plans import repository_views as pv
@@ -160,17 +164,6 @@ def test_landing_formats_read_with_the_declared_schema(spark, tmp_path, file_for
     assert sorted(tables.read_landing(spark, path, "raw_waits", file_format).collect(), key=str) == sorted(rows.collect(), key=str)
 
 
-def test_storage_view_counts_files_and_bytes(spark, tmp_path):
-    import os
-
-    for name in ("a.parquet", "b.parquet"):
-        (tmp_path / name).write_bytes(b"x" * 1024 * 1024)
-    (tmp_path / "c.log").write_bytes(b"x" * 512 * 1024)
-    row = rv.repository_storage(spark, str(tmp_path), "repo", NOW).first()
-    assert (float(row.DataSizeMB), float(row.LogSizeMB), float(row.TotalAllocatedMB)) == (2.0, 0.5, 2.5)
-    assert (row.DataFileCount, row.LogFileCount) == (2, 1) and os.path.isdir(tmp_path)
-
-
 CAPTURED = datetime(2001, 8, 2)
 
 
@@ -190,13 +183,14 @@ def finished_cycle(spark, inputs, tmp_path_factory):
     # One collector cannot run at all, one instance has a bad row.
     landed["raw_operators"] = landed["raw_operators"].drop("name")
     bad = landed["raw_waits"].limit(0).unionByName(landing(spark, "raw_waits", [
-        {"InstanceId": 2, "CaptureTime": CAPTURED, "wait_type": "X", "wait_time_ms": 1, "signal_wait_time_ms": 2}]))
+        {"InstanceId": 2, "CaptureTime": CAPTURED, "wait_type": "X", "wait_time_ms": 10**18, "signal_wait_time_ms": 2}]))
     landed["raw_waits"] = landed["raw_waits"].unionByName(bad)
-    cycle.run_cycle(spark, landed, inputs.monitored_instances, CAPTURED, f"{root}/m", f"{root}/t", f"{root}/r")
+    cycle.run_cycle(spark, landed, inputs.monitored_instances, CAPTURED, f"{root}/m", f"{root}/t", f"{root}/r",
+                    clock=lambda: CAPTURED + timedelta(seconds=7))
     return {
         "metrics": tables.read_table(spark, f"{root}/m", "MetricSnapshot"),
         "evidence": tables.read_table(spark, f"{root}/t", "MetricTextSnapshot"),
-        "runs": tables.read_table(spark, f"{root}/r", "CollectionRunHistory"),
+        "runs": runs.stored_runs(spark, f"{root}/r"),
     }
 
 
@@ -207,6 +201,7 @@ def test_cycle_records_one_run_per_instance_and_collector(finished_cycle, inputs
     failed = {(r.CollectorName, r.InstanceId) for r in rows if r.Status == "Failed"}
     assert {c for c, _ in failed} == {"Collect-SqlAgentAlerts", "Collect-WaitStats"}
     assert [i for c, i in failed if c == "Collect-WaitStats"] == [2]
+    assert {r.DurationMs for r in rows} == {7000}
     written = finished_cycle["metrics"].count() + finished_cycle["evidence"].count()
     assert sum(r.RowsCollected for r in rows) == written
 
@@ -231,6 +226,158 @@ def test_views_read_what_the_cycle_wrote(finished_cycle, inputs):
     assert pv.database_io_summary(m, i).count() == m.filter("MetricCategory = 'DatabaseIO'").count()
 
 
+LANDED = ["raw_counters", "raw_ring_buffer", "raw_sessions", "raw_requests", "raw_waits", "raw_file_io", "raw_databases",
+          "raw_query_stats", "raw_query_text", "raw_backupset", "raw_backupmedia", "raw_jobs", "raw_job_history",
+          "raw_job_activity", "raw_agent_sessions", "raw_alerts", "raw_notifications", "raw_operators"]
+
+
+def small_landing(spark):
+    rows = {
+        "raw_sessions": [{"session_id": s, "is_user_process": True, "login_name": "me"} for s in (1, 2)],
+        "raw_requests": [{"session_id": s, "request_id": r, "cpu_time": 20000, "blocking_session_id": 2, "wait_time": 5,
+                          "sql_text": "select 1"} for s, r in ((1, 0), (1, 1), (2, 0))],
+        "raw_waits": [{"wait_type": "A", "wait_time_ms": 5, "signal_wait_time_ms": 9, "waiting_tasks_count": 1, "max_wait_time_ms": 1}],
+    }
+    return {name: landing(spark, name, rows.get(name, [])) for name in LANDED}
+
+
+def test_a_repeated_cycle_stores_nothing_twice(spark, tmp_path):
+    paths, landed = [str(tmp_path / n) for n in "mtr"], small_landing(spark)
+
+    def state():
+        history = runs.stored_runs(spark, paths[2])
+        return [sorted(df.collect(), key=str) for df in (
+            tables.read_table(spark, paths[0], "MetricSnapshot"), tables.read_table(spark, paths[1], "MetricTextSnapshot"),
+            history.drop("FinishedAt", "DurationMs"))]
+
+    def run(after):
+        cycle.run_cycle(spark, landed, instances(spark, 1), DAY, *paths, clock=lambda: DAY + timedelta(seconds=after))
+
+    run(1)
+    once = state()
+    # Three requests, two of them of one session, and a wait whose signal part is longer than the wait itself.
+    assert len(once[2]) == 10 and {r.Status for r in once[2]} == {"Success"}
+    assert len([r for r in once[1] if r.DetailType == "ActiveRequestDetail"]) == 3
+    assert len([r for r in once[0] if r.SourceCollector == "Collect-WaitStats"]) == 5
+    run(2)
+    assert state() == once
+    assert {r.DurationMs for r in runs.stored_runs(spark, paths[2]).collect()} == {2000}
+
+
+def test_a_cycle_that_breaks_off_leaves_a_running_run(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in "mtr"]
+
+    def clock():
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        cycle.run_cycle(spark, small_landing(spark), instances(spark, 1), DAY, *paths, clock=clock)
+    [row] = runs.stored_runs(spark, paths[2]).collect()
+    assert (row.Status, row.FinishedAt, row.StartedAt) == ("Running", None, DAY)
+
+
+@pytest.mark.parametrize("table", ["raw_counters", "raw_waits", "raw_file_io", "raw_requests", "raw_sessions", "raw_backupset",
+                                   "raw_query_stats", "raw_job_history", "raw_alerts"])
+def test_every_collector_leaves_out_an_instance_with_impossible_numbers(spark, table):
+    large = [n for n, t in landing(spark, table, []).dtypes if t == "bigint"]
+    if not large:  # nothing in it can be out of range
+        assert cycle.rules(table) == {}
+        return
+    good = dict.fromkeys(large, 1)
+    raw = landing(spark, table, [{"InstanceId": 1, **good}, {"InstanceId": 2, **good, large[-1]: 10**17}, {"InstanceId": 3, **good}])
+    sound, outcomes = runs.isolate_failures(raw, cycle.rules(table))
+    assert {r.InstanceId for r in sound.collect()} == {1, 3}
+    assert {i: r.ErrorMessage for i, r in by(outcomes).items()} == {1: None, 2: f"{large[-1]} is out of range", 3: None}
+
+
+CHANGED = {
+    "Collect-Connections": ("metrics", {"connections": ConnectionParams(max_breakdown_rows=1)}),
+    "Collect-Blocking": ("evidence", {"blocking": BlockingParams(max_rows=1)}),
+    "Collect-DatabaseIO": ("evidence", {"file_io": FileIoParams(max_files=1)}),
+    "Collect-ActiveRequests": ("evidence", {"requests": RequestParams(max_requests=1)}),
+    "Collect-QueryStats": ("evidence", {"query_stats": QueryStatsParams(top_n=1, lookback_minutes=10**7)}),
+    "Collect-Backups": ("evidence", {"backups": BackupParams(full_hours=10**6, log_hours=10**6)}),
+    "Collect-SqlAgentJobs": ("evidence", {"jobs": JobParams(lookback_hours=10**5, max_rows=1)}),
+    "Collect-SqlAgentAlerts": ("evidence", {"alerts": AlertParams(lookback_hours=10**5, max_rows=1)}),
+}
+
+
+@pytest.mark.parametrize("collector", CHANGED)
+def test_params_reach_the_collectors(spark, inputs, collector):
+    output, changed = CHANGED[collector]
+    landed = {n: getattr(inputs, n) for n in LANDED}
+    landed["raw_databases"] = landed["raw_databases"].selectExpr("*", "cast(null as int) AS source_database_id")
+
+    def rows(params):
+        source, build = cycle.collectors(landed, inputs.monitored_instances, inputs.landing_roster, params)[collector]
+        return getattr(build(landed[source]), output).count()
+
+    assert rows(CycleParams(**changed)) != rows(CycleParams())
+
+
+def test_own_login_is_left_out_by_every_collector_that_sees_it(spark):
+    landed, params = small_landing(spark), CycleParams().watched_by(MonitorIdentity(login="me"))
+    for collector in ("Collect-ActiveRequests", "Collect-Blocking"):
+        source, build = cycle.collectors(landed, instances(spark, 1), roster(spark, 1), params)[collector]
+        assert build(landed[source]).evidence.count() == 0
+    assert params.query_stats.monitor.login == "me"
+
+
+def test_repeated_rows_count_once_among_the_problem_queries(spark):
+    rows = core(spark, "metric_text_snapshot", [
+        {"MetricTextSnapshotId": n % 7, "InstanceId": 1, "CaptureTime": DAY, "capture_date": DAY.date(), "NumericValue1": Decimal(n % 7),
+         "MetricCategory": "QueryStats", "DetailType": "QueryStatsDetail", "SourceCollector": "Collect-QueryStats", "Details": "x"}
+        for n in range(21)])
+    found = pv.top_problem_queries(rows, instances(spark, 1), top=5).collect()
+    assert [r.MetricTextSnapshotId for r in found] == [6, 5, 4, 3, 2]
+
+
+def test_names_are_compared_without_case_and_blanks_and_given_once(spark):
+    after = inventory.register(instances(spark, 1), registration(spark, "SRV1 ", "new"), NOW).collect()
+    assert sorted((r.InstanceId, r.InstanceName) for r in after) == [(1, "srv1"), (2, "new")]
+    off = inventory.set_state(instances(spark, 1), changes(spark, ("Srv1  ", "Disable", "")), NOW).collect()
+    assert [(r.InstanceName, r.IsEnabled) for r in off] == [("srv1", False)]
+    for wrong in (lambda: inventory.register(instances(spark, 1), registration(spark, "a", "A "), NOW),
+                  lambda: inventory.seed(instances(spark, 1), registration(spark, "a", "a"), NOW),
+                  lambda: inventory.set_state(instances(spark, 1), changes(spark, ("srv1", "Enable", ""), ("SRV1", "Enable", "")), NOW)):
+        with pytest.raises(PySparkException, match="more than once"):
+            wrong().collect()
+
+
+def test_a_purge_leaves_no_copies(spark, tmp_path):
+    path = str(tmp_path / "metrics")
+    tables.append(metrics(spark, [(i, NOW - timedelta(days=8, hours=h), "c", 1) for i in (1, 2) for h in (-1, 1)], SourceCollector="s"), path, "capture_date")
+    retention.purge(spark, path, "MetricSnapshot", NOW, RetentionParams(metric_days=8))
+    assert tables.read_table(spark, path, "MetricSnapshot").count() == 2
+    assert not [p for p in (tmp_path / "metrics").iterdir() if p.name.startswith("_staged")]
+
+
+def test_scratch_needs_a_shared_folder(spark):
+    class Unset:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    assert tables.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    with pytest.raises(RuntimeError):
+        tables.scratch_path(Unset(), "x")
+
+
+def test_a_snapshot_that_lands_in_parts_ends_up_whole(spark, tmp_path):
+    sessions = landing(spark, "raw_sessions", [{"session_id": n, "is_user_process": True, "login_name": "me"} for n in range(10)])
+
+    def collect(root, parts):
+        paths = [str(tmp_path / root / n) for n in ("in", "m", "t", "cp")]
+        for part in parts:
+            part.write.mode("append").parquet(paths[0])
+            stream.collect_landed(spark, "raw_sessions", paths[0], lambda raw: cycle.collect_connections(raw, roster(spark, 1)),
+                                  *paths[1:]).awaitTermination()
+        return sorted(tables.read_table(spark, paths[1], "MetricSnapshot").drop("CreatedAt").collect(), key=str)
+
+    whole = collect("whole", [sessions])
+    assert collect("parts", [sessions.filter("session_id < 3"), sessions.filter("session_id >= 3")]) == whole
+    assert {int(r.MetricValue) for r in whole} >= {10}
+
+
 def test_stream_adds_each_landed_file_once(spark, tmp_path):
     landed, metrics_path, evidence_path, checkpoint = (str(tmp_path / n) for n in ("in", "m", "t", "cp"))
 

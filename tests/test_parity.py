@@ -9,7 +9,6 @@ from fixtures.registry import QUERIES as REGISTERED
 from tests.conftest import SMALL
 
 QUERIES, ORACLES = {name: entry.queries()[name] for name in REGISTERED}, oracles.oracle_sql()
-WITHOUT_SQL = {"v22_repository_storage"}
 
 
 @pytest.fixture(scope="module")
@@ -23,18 +22,15 @@ def test_query_matches_sql_and_stays_on_the_jvm(spark, duckdb, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "Arrow"):
         assert node not in plan, node
-    if name in WITHOUT_SQL:
-        assert df.count() == 1
-    else:
-        assert check.compare(df, duckdb.sql(ORACLES[name])) == []
+    assert check.compare(df, duckdb.sql(ORACLES[name])) == []
 
 
 def test_every_query_has_sql_and_every_sql_a_query():
-    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL and set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_every_operator_of_the_inventory_is_registered():
-    groups = {"s": 8, "i": 10, "c": 63, "v": 22}
+    groups = {"s": 8, "i": 10, "c": 63, "v": 21}
     wanted = {f"{g}{n}" for g, count in groups.items() for n in range(1, count + 1)} | {"m1", "m2", "m3"}
     assert wanted == {name.split("_")[0] for name in QUERIES}
 

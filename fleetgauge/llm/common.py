@@ -17,15 +17,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+_OWN: dict[str, str] = {}  # application -> folder of a local session that names none
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder ``spark.checkpoint.dir`` names; a local session without one gets its own."""
+    """The folder ``spark.checkpoint.dir`` names; a session of one local process without one gets its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    master, application = spark.sparkContext.master, spark.sparkContext.applicationId
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if application not in _OWN:
+        _OWN[application] = tempfile.mkdtemp(prefix="llm-")
+    return _OWN[application]
 
 
 class Scratch:

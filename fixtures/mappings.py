@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fleetgauge import fixed_values as fv
+
 _DAY = "cast(date_trunc('day', ts) AS {TS})"
 _MONTH = "cast(date_trunc('month', ts) AS {TS})"
 _SECOND = "cast(date_trunc('second', ts) AS {TS})"
@@ -54,6 +56,16 @@ _METRIC_COLUMNS = (
 )
 _FAMILIES = ["metric_performance", *_SUMMARIES, "metric_waits", "metric_file_io"]
 
+# Every member of every wait class, and two locks.
+_CLASSED_WAITS = ["LCK_M_X", "LCK_M_S", *(w for _, exact, _ in fv.WAIT_CLASSES for w in exact), "WRITELOG"]
+
+
+def _one_of(number: str, names: list[str]) -> str:
+    """The name at the number, counted around."""
+    cases = " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(names))
+    return f"CASE {number} % {len(names)} {cases} END"
+
+
 MAPPINGS: dict[str, str] = {name: _summary(*spec) for name, spec in _SUMMARIES.items()}
 
 MAPPINGS["monitored_instances"] = """
@@ -93,8 +105,7 @@ SELECT MetricSnapshotId, InstanceId, CaptureTime, cast(NULL AS string) AS Databa
             ORDER BY CaptureTime) * 100000 AS decimal(28,6)) AS MetricValue,
        'Cumulative' AS MetricType, 'ms' AS Unit, 'Collect-WaitStats' AS SourceCollector
 FROM (SELECT max(event_id) AS MetricSnapshotId, cast(user_id + 2 AS int) AS InstanceId, {_DAY} AS CaptureTime,
-         CASE event_type WHEN 'error' THEN 'LCK_M_X' WHEN 'click' THEN 'PAGEIOLATCH_SH'
-              WHEN 'view' THEN 'CXPACKET' WHEN 'purchase' THEN 'WRITELOG' ELSE 'SOS_SCHEDULER_YIELD' END AS WaitType,
+         {_one_of("event_id", [*_CLASSED_WAITS, "OTHER_WAIT"])} AS WaitType,
          sum(cast(value AS decimal(16,6))) AS v
       FROM {{events}} GROUP BY 2, 3, 4) d"""
 
@@ -241,9 +252,9 @@ MAPPINGS["raw_requests"] = _requests(0, "") + "\nUNION ALL" + _requests(1, "\nWH
 
 MAPPINGS["raw_waits"] = f"""
 SELECT cast(user_id % 10 AS int) AS InstanceId, {_MONTH} AS CaptureTime,
-       CASE event_id % 12 WHEN 0 THEN 'SLEEP_TASK' WHEN 1 THEN 'LCK_M_X' WHEN 2 THEN 'PAGEIOLATCH_SH'
-            WHEN 3 THEN 'CXPACKET' WHEN 4 THEN 'WRITELOG' WHEN 5 THEN 'SOS_SCHEDULER_YIELD'
-            WHEN 6 THEN 'XE_TIMER_EVENT' ELSE concat('WT_', cast(event_id % 61 AS string)) END AS wait_type,
+       CASE WHEN event_id % 3 = 0 THEN {_one_of("cast(floor(event_id / 3) AS bigint)", fv.BENIGN_WAITS)}
+            WHEN event_id % 3 = 1 THEN {_one_of("cast(floor(event_id / 3) AS bigint)", _CLASSED_WAITS)}
+            ELSE concat('WT_', cast(event_id % 61 AS string)) END AS wait_type,
        cast(count(*) AS bigint) AS waiting_tasks_count,
        cast(sum(CASE WHEN value < 2 THEN 0 ELSE cast(floor(value * 100) AS bigint) END) AS bigint) AS wait_time_ms,
        cast(sum(CASE WHEN value < 2 THEN 0 ELSE cast(floor(value * 31) AS bigint) END) AS bigint) AS signal_wait_time_ms,

@@ -252,10 +252,10 @@ summed AS (
   SELECT InstanceId, cur AS CaptureTime, date_diff('second', prev, cur)::INT AS SampleIntervalSeconds,
          coalesce(sum(d), 0)::DECIMAL(38,6) AS TotalWaitDeltaMs,
          coalesce(sum(d) FILTER (starts_with(wait, 'LCK_')), 0)::DECIMAL(38,6) AS LockWaitDeltaMs,
-         coalesce(sum(d) FILTER (starts_with(wait, 'PAGEIOLATCH_')), 0)::DECIMAL(38,6) AS IOWaitDeltaMs,
-         coalesce(sum(d) FILTER (wait = 'CXPACKET'), 0)::DECIMAL(38,6) AS ParallelismWaitDeltaMs,
-         coalesce(sum(d) FILTER (wait = 'RESOURCE_SEMAPHORE'), 0)::DECIMAL(38,6) AS MemoryWaitDeltaMs,
-         coalesce(sum(d) FILTER (wait = 'SOS_SCHEDULER_YIELD'), 0)::DECIMAL(38,6) AS CPUWaitDeltaMs,
+         coalesce(sum(d) FILTER (wait IN ('PAGEIOLATCH_SH', 'PAGEIOLATCH_EX', 'PAGEIOLATCH_UP', 'IO_COMPLETION', 'ASYNC_IO_COMPLETION')), 0)::DECIMAL(38,6) AS IOWaitDeltaMs,
+         coalesce(sum(d) FILTER (wait IN ('CXPACKET', 'CXCONSUMER')), 0)::DECIMAL(38,6) AS ParallelismWaitDeltaMs,
+         coalesce(sum(d) FILTER (wait IN ('RESOURCE_SEMAPHORE', 'CMEMTHREAD')), 0)::DECIMAL(38,6) AS MemoryWaitDeltaMs,
+         coalesce(sum(d) FILTER (wait IN ('SOS_SCHEDULER_YIELD', 'THREADPOOL')), 0)::DECIMAL(38,6) AS CPUWaitDeltaMs,
          coalesce(sum(d) FILTER (starts_with(wait, 'WRITELOG')), 0)::DECIMAL(38,6) AS LogIOWaitDeltaMs,
          count(*) - count(d) AS WaitTypesWithoutBaseline
   FROM deltas GROUP BY InstanceId, cur, prev),

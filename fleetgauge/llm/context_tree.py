@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -207,10 +207,12 @@ def _upper(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Top:
     """Depths 0 and 1: dense arrays over (last byte, prefix) and (prefix)."""
 
-    def __init__(self, rows: list[tuple[int, float, float, float]]):
-        zeros, ones, children = (np.zeros(65536) for _ in range(3))
-        for key, zero, one, below in rows:
-            zeros[key], ones[key], children[key] = zero, one, below
+    def __init__(self, rows: pa.Table):
+        """From (key, zeros, ones, children) per node of depth 1."""
+        key, *sums = (rows.column(i).to_numpy() for i in range(4))
+        zeros, ones, children = (np.zeros(65536) for _ in sums)
+        for held, found in zip((zeros, ones, children), sums, strict=True):
+            held[key] = found
         weighted, self.weight1 = mixed(log_kt(zeros, ones), children)
         self.one1, self.total1 = (ones + 0.5) / (zeros + ones + 1), zeros + ones
         zeros, ones, weighted = (x.reshape(256, 256).sum(0) for x in (zeros, ones, weighted))
@@ -257,9 +259,11 @@ def _frequent(counted: DataFrame, limit: int) -> DataFrame:
     return counted.filter(size >= least) if least is not None else counted.limit(0)
 
 
-def _score(words: dict[bytes, tuple[float, bool]], keys: np.ndarray, logs: np.ndarray):
+def _score(shared: Broadcast):
     def work(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
+        names, counts, keys, logs = shared.value
+        words = dict(zip(names.to_pylist(), zip(np.log10(counts + 1).tolist(), (counts > 0).tolist(), strict=True), strict=True))
         for record in records:
             held = []
             for doc_id, text in zip(record.column("doc_id").to_pylist(), record.column("text").to_pylist(), strict=True):
@@ -280,7 +284,7 @@ def _score(words: dict[bytes, tuple[float, bool]], keys: np.ndarray, logs: np.nd
                 place = np.searchsorted(keys, distinct)
                 place[place == len(keys)] = 0
                 hit = keys[place] == distinct if len(keys) else np.zeros(len(distinct), bool)
-                value = np.where(hit, logs[place], 0.0) if len(keys) else np.zeros(len(distinct))
+                value = np.where(hit, logs[place], 0.0).astype(float) if len(keys) else np.zeros(len(distinct))
                 sums = np.add.reduceat(value[at], starts)
                 missing = np.flatnonzero(~hit[at])
                 owner = np.searchsorted(starts, missing, "right") - 1
@@ -318,18 +322,22 @@ def score(docs: DataFrame, train: Column | None = None, *, id_col: str = "doc_id
         .select("gram", "n_train", "n_all")
     upper = placed.mapInArrow(_upper, "key long, zeros double, ones double, children double").groupBy("key").agg(
         *[F.sum(c).alias(c) for c in ("zeros", "ones", "children")])
-    top = Top([tuple(row) for row in upper.collect()])  # at most 65,280 rows
+    top = Top(upper.toArrow())  # at most 65,280 rows
     valued = scratch.store(placed.mapInArrow(_value(top), "gram long, n_all long, log10 double"), "valued")
 
     totals = words.agg(F.sum("n_train"), F.count(F.when(F.col("n_train") > 0, 1))).first()
     ends = rows.agg(F.sum("train")).first()[0] or 0
     n, v = (totals[0] or 0) + ends, totals[1] + (ends > 0)
     end_log = float(np.log10(ends + 1))
-    some = _frequent(words, max_words).select("word", "n_train").toPandas()
-    frequent = {bytes(w): (float(np.log10(c + 1)), c > 0) for w, c in zip(some["word"], some["n_train"], strict=True)}
-    some = _frequent(valued, max_grams).select("gram", "log10").toPandas().sort_values("gram")
+    top_words = _frequent(words, max_words).select("word", "n_train").toArrow().combine_chunks()
+    top_grams = _frequent(valued, max_grams).select("gram", F.col("log10").cast("float")).toArrow()
+    keys, logs = (top_grams.column(i).to_numpy() for i in (0, 1))
+    order = np.argsort(keys)
+    shared = spark.sparkContext.broadcast((  # at most max_words words and max_grams numbers
+        top_words.column(0).combine_chunks(), top_words.column(1).to_numpy(), keys[order], logs[order]))
+    del top_words, top_grams, keys, logs, order
     scored = scratch.store(rows.select("doc_id", "text").mapInArrow(
-        _score(frequent, some["gram"].to_numpy(np.int64), some["log10"].to_numpy(float)),
+        _score(shared),
         "row long, doc_id long, n_tokens long, n_bytes long, known long, word_logs double, gram_logs double, words array<binary>, "
         "times array<int>, grams array<long>"), "scored")
 

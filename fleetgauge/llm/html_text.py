@@ -38,6 +38,7 @@ _NAMES = re.compile(
     r"consent|cookie|cookies|copyright|disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|"
     r"notice|notices|overlay|pager|pagination|popup|promo|promoted|promotion|recommended|related|replies|respond|share|sharing|"
     r"sidebar|sidenav|social|sponsor|sponsored|subscribe|subscription|toolbar|topbar|widget)(?=$|[\s_-])", re.I)
+_OTHERS = re.compile(r"(?:^|[\s_-])(?:ad|advert|comment|promo|promoted|recommended|related|reply|sponsored|teaser)(?=$|[\s_-])", re.I)
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|"
                   r"<(/?)([a-zA-Z][^\s/>]*)[^<>]*\Z", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -55,6 +56,8 @@ def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
         if name in ("class", "id"):
             if tag not in ("body", "html", "article", "main") and _NAMES.search(value):
                 return True
+            if tag == "article" and _OTHERS.search(value):  # comments and teasers may be articles of their own
+                return True
         elif name == "role":
             if value in ROLES:
                 return True

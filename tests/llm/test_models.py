@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,8 +161,8 @@ def test_a_context_gives_all_bytes_a_probability_of_one_together():
     trees = context_tree._trees(every, times)
     nodes = trees[-1]
     keys, at = np.unique(((nodes.keys >> 8) & 255) << 8 | nodes.keys & 255, return_inverse=True)
-    top = context_tree.Top(list(zip(keys.tolist(), *(np.bincount(at, x, len(keys)).tolist() for x in (
-        nodes.zeros, nodes.ones, nodes.weighted)), strict=True)))
+    top = context_tree.Top(pa.table([keys, *(np.bincount(at, x, len(keys)) for x in (
+        nodes.zeros, nodes.ones, nodes.weighted))], names=["key", "zeros", "ones", "children"]))
     bit, chance = ((every & 255)[:, None] >> (7 - np.arange(8))) & 1 == 1, None
     for nodes in trees:
         chance = nodes.chance(bit, chance)
@@ -200,6 +201,8 @@ BODY = "Long running text that makes up the article and goes on for a while, wit
     (f"<main><p>{BODY}<form><p>{BODY}</p></form><aside>{BODY}</aside><p>Short.</main><footer>{BODY}</footer>", f"{BODY}\n\nShort."),
     (f"<article><p>{BODY}</p><p>broken off <a hre", f"{BODY}\n\nbroken off"),
     ("<div id='cookie-notice'>We use cookies</div><script>if (a<b) {'</p>'}</script><!-- <p>no</p> --><p>Just this</p>", "Just this"),
+    (f"<article><p>{BODY}</p><section id='discussion-comments'><article class='comment'>{BODY}</article></section></article>"
+     f"<article class='comment odd'><p>{BODY}</p></article>", BODY),
     (None, ""), ("", ""), ("plain words", "plain words"), ("<p></p><ul></ul>", ""), ("<<>>< <p", "<<>><"),
 ])
 def test_main_text_of_odd_pages(spark, page, text):

@@ -37,47 +37,49 @@ class Model:
 
     def __init__(self, languages: list[str], word_counts: dict[str, list[int]], gram_counts: dict[str, list[int]]):
         self.languages = languages
-        self.words, self.grams = self._logs(word_counts), self._logs(gram_counts)
-        self.unknown = np.zeros(len(languages))
+        self.words, self.word_logs = self._logs(word_counts)
+        self.grams, self.gram_logs = self._logs(gram_counts)
         self.seen: dict[str, np.ndarray] = {}
 
-    @staticmethod
-    def _logs(counts: dict[str, list[int]]) -> dict[str, np.ndarray]:
+    def _logs(self, counts: dict[str, list[int]]) -> tuple[dict[str, int], np.ndarray]:
+        """Rows of one table, and the names' places in it."""
         if not counts:
-            return {}
+            return {}, np.zeros((0, len(self.languages)))
         seen = np.array(list(counts.values()), float)
         # One more observation per language, spread as all languages together are.
         spread = seen.sum(1, keepdims=True) / seen.sum()
-        return dict(zip(counts, np.log((seen + spread) / (seen.sum(0) + 1)), strict=True))
+        return {name: i for i, name in enumerate(counts)}, np.log((seen + spread) / (seen.sum(0) + 1))
 
-    def score(self, word: str) -> np.ndarray:
-        """A word's log score per language; remembered, as words repeat."""
+    def backoff(self, word: str) -> np.ndarray:
+        """An unknown word's log score per language; remembered, as words repeat."""
         found = self.seen.get(word)
         if found is None:
-            if len(self.seen) > 300_000:
+            if len(self.seen) > 100_000:
                 self.seen.clear()
-            found = self.words.get(word)
-            if found is None:
-                found = self._backoff(f"<{word}>")
-            self.seen[word] = found
+            marked, places, at = f"<{word}>", [], 0
+            while at < len(marked):
+                for size in range(min(LONGEST, len(marked) - at), 0, -1):
+                    place = self.grams.get(marked[at:at + size])
+                    if place is not None:
+                        places.append(place)
+                        break
+                at += size
+            found = self.seen[word] = self.gram_logs[places].sum(0)
         return found
 
-    def _backoff(self, marked: str) -> np.ndarray:
-        total, at = self.unknown, 0
-        while at < len(marked):
-            for size in range(min(LONGEST, len(marked) - at), 0, -1):
-                found = self.grams.get(marked[at:at + size])
-                if found is not None:
-                    total = total + found
-                    break
-            at += size
-        return total
-
     def predict(self, text: str) -> tuple[str, float]:
         counted = Counter(words(text))
         if not counted or not self.languages:
             return UNDETERMINED, 0.0
-        total = np.array([self.score(w) for w in counted]).T @ np.array(list(counted.values()), float)
+        total, places, times = np.zeros(len(self.languages)), [], []
+        for word, n in counted.items():
+            place = self.words.get(word)
+            if place is None:
+                total += n * self.backoff(word)
+            else:
+                places.append(place)
+                times.append(n)
+        total += np.array(times, float) @ self.word_logs[places]
         best = int(total.argmax())  # ties go to the first language in code-point order
         return self.languages[best], float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum())
 
@@ -108,14 +110,16 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     grams = found.select("lang", "n", F.explode(F.array_distinct(pieces)).alias("gram")).groupBy("lang", "gram").agg(
         F.sum("n").alias("n"))
 
+    place = {lang: i for i, lang in enumerate(languages)}
+
     def most(frame: DataFrame, key: str, limit: int) -> dict[str, list[int]]:
         """The keys most frequent in any language with all their counts; at most ``limit`` of them."""
         order = Window.partitionBy("lang").orderBy(F.desc("n"), key)
-        kept = frame.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit // len(languages))
+        kept = frame.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit // len(languages))
         out: dict[str, list[int]] = {}
-        rows = kept.select(key, "lang", "n").toPandas()
-        for name, lang, n in zip(rows[key], rows["lang"], rows["n"], strict=True):
-            out.setdefault(name, [0] * len(languages))[languages.index(lang)] = int(n)
+        for part in kept.select(key, "lang", "n").toArrow().to_batches():
+            for name, lang, n in columns(part, key, "lang", "n"):
+                out.setdefault(name, [0] * len(languages))[place[lang]] = n
         return out
 
     return Model(languages, most(found, "word", max_words), most(grams, "gram", max_grams))

@@ -5,15 +5,18 @@
    list of lines, one per block of running text.
 2. Distribute: a line's height is the sum of the text lengths over a window of lines around it, links not counted.  Lines
    that stand inside ``article`` or ``main`` carry the page's own statement that they are text.
-3. Surge and dive: the text begins where the height rises above the threshold and ends where it falls below it.  A
-   region grows over neighbouring lines of the same container, so headings and one-word paragraphs at its edges stay.
+3. Surge and dive: the text begins where the height rises above the threshold and ends where it falls below it, low
+   lines between included.  It grows at both ends over the lines of the containers that hold its high lines, so
+   headings and one-word paragraphs at its edges stay.
 """
 
 from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +30,9 @@ RAW = set("script style textarea title noscript template iframe svg math select
 BLOCK = set("""address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr
 ul""".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+# Elements that hold lines together.  Inside article and main, sections and cells are parts of the one text.
+GROUPS, OUTER_GROUPS = set("div center".split()), set("div center section article main td th".split())
 # Elements that are no part of an article, wherever they stand.
 ASIDE = set("nav footer aside form button label menu dialog head".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alert menu menubar form alertdialog".split())
@@ -68,26 +74,41 @@ def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def lines(page: str) -> list[tuple[str, int, bool]]:
-    """(text, link length, stands inside article or main) per block of running text outside unwanted elements."""
-    out: list[tuple[str, int, bool]] = []
-    stack: list[tuple[str, bool]] = []  # open elements; whether unwanted
+class Line(NamedTuple):
+    """A block of running text."""
+
+    text: str
+    links: int  # length of its links
+    inside: bool  # stands inside article or main
+    heading: str  # the heading's tag, else empty
+    path: tuple[int, ...]  # the groups around it, outermost first
+
+
+def lines(page: str) -> list[Line]:
+    """The blocks of running text outside unwanted elements.  A group of a single line is that line's own block."""
+    out: list[Line] = []
+    stack: list[tuple[str, bool, bool]] = []  # open elements; whether unwanted; whether a group
+    path: list[int] = []
     parts: list[str] = []
-    links = at = unwanted = inside = linked = 0
+    links = at = unwanted = inside = linked = groups = 0
 
     def flush() -> None:
         nonlocal links
         text = " ".join(references.unescape("".join(parts)).split())
         if text:
-            out.append((text, links, inside > 0))
+            heading = next((tag for tag, _, _ in reversed(stack) if tag in HEADINGS), "")
+            out.append(Line(text, links, inside > 0, heading, tuple(path)))
         parts.clear()
         links = 0
 
     def pop() -> None:
         nonlocal unwanted, inside, linked
-        tag, bad = stack.pop()
+        tag, bad, group = stack[-1]
         if tag in BLOCK:
             flush()
+        stack.pop()
+        if group:
+            path.pop()
         unwanted -= bad
         inside -= tag in ("article", "main")
         linked -= tag == "a"
@@ -109,7 +130,7 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
             break  # the page ends within a tag
         tag = tag.lower()
         if close:
-            if any(name == tag for name, _ in stack):
+            if any(name == tag for name, _, _ in stack):
                 while stack[-1][0] != tag:
                     pop()
                 pop()
@@ -136,15 +157,19 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
                 break
         if tag in BLOCK:
             flush()
-        bad = _unwanted(tag, attributes, inside > 0)
-        stack.append((tag, bad))
+        bad, group = _unwanted(tag, attributes, inside > 0), tag in (GROUPS if inside else OUTER_GROUPS)
+        stack.append((tag, bad, group))
+        if group:
+            groups += 1
+            path.append(groups)
         unwanted += bad
         inside += tag in ("article", "main")
         linked += tag == "a"
     while stack:
         pop()
     flush()
-    return out
+    held = Counter(group for line in out for group in line.path)
+    return [line._replace(path=tuple(group for group in line.path if held[group] > 1)) for line in out]
 
 
 def main_text(page: str) -> str:
@@ -152,21 +177,32 @@ def main_text(page: str) -> str:
     found = lines(page)
     if not found:
         return ""
-    declared = sum(len(text) for text, _, inside in found if inside)
-    container = 2 * declared >= sum(len(text) - link for text, link, _ in found)
-    own = [0 if container and not inside else len(text) - link for text, link, inside in found]
-    height = [sum(own[max(0, i - WINDOW // 2):i + WINDOW // 2 + 1]) for i in range(len(own))]
-    kept = [h >= THRESHOLD and o > 0 for h, o in zip(height, own, strict=True)]
+    declared = sum(len(line.text) for line in found if line.inside)
+    container = 2 * declared >= sum(len(line.text) - line.links for line in found)
+    own = [0 if container and not line.inside else len(line.text) - line.links for line in found]
+
+    def heights(within: bool) -> list[int]:
+        """Sums over the window; within: of lines in the line's own group only, nested groups included."""
+        return [sum(own[j] for j in range(max(0, i - WINDOW // 2), min(len(own), i + WINDOW // 2 + 1))
+                    if not within or found[j].path[:len(line.path)] == line.path) for i, line in enumerate(found)]
+
+    firm = [h >= THRESHOLD and o > 0 for h, o in zip(heights(True), own, strict=True)]
+    kept = [h >= THRESHOLD and o > 0 for h, o in zip(heights(False), own, strict=True)]
     if container:
         # Inside the container nothing is cut away but lines of links.
-        kept = [inside and (o > 0 or k) for (_, _, inside), o, k in zip(found, own, kept, strict=True)]
+        kept = [line.inside and (o > 0 or k) for line, o, k in zip(found, own, kept, strict=True)]
     elif not any(kept):
         kept = [o > 0 for o in own]
     else:
+        # Low lines belong to the text if their group holds high ones; headings also if a group within theirs does.
+        same = {line.path for line, high in zip(found, firm, strict=True) if high}
+        around = {path[:n] for path in same for n in range(1, len(path))}
+        kept = [o > 0 and (k or line.path in same or line.heading != "" and line.path in around)
+                for line, o, k in zip(found, own, kept, strict=True)]
         # From the first surge to the last dive, over low lines between.
         first, last = kept.index(True), len(kept) - 1 - kept[::-1].index(True)
         kept = [first <= i <= last and o > 0 for i, o in enumerate(own)]
-    return "\n\n".join(text for (text, _, _), k in zip(found, kept, strict=True) if k)
+    return "\n\n".join(line.text for line, k in zip(found, kept, strict=True) if k)
 
 
 _OUT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])

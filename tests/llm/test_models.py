@@ -210,6 +210,15 @@ def test_main_text_of_odd_pages(spark, page, text):
     assert [tuple(r) for r in rows.collect()] == [(1, None, text, len(text))]
 
 
+def test_short_lines_at_both_edges_of_the_text():
+    page = (f"<div><p>Site</p><p>Slogan</p></div><div><h1>Title</h1><p>By A</p><p>May 1</p><p>{BODY}</p><p>{BODY}</p><p>So.</p>"
+            "<p>It goes.</p><p>End.</p></div><div><p>x</p><p>One</p><p>Two</p></div>")
+    got = html_text.main_text(page).split("\n\n")
+    assert got == ["Title", "By A", "May 1", BODY, BODY, "So.", "It goes.", "End."]
+    nested = f"<div><h1>Title</h1><p>By A</p><div><p>{BODY}</p><p>{BODY}</p></div></div>"
+    assert html_text.main_text(nested).split("\n\n") == ["Title", "By A", BODY, BODY]
+
+
 def test_no_pages(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 

@@ -4,7 +4,8 @@
    sidebars, forms, notices, adverts, comment sections), by tag, role, or a name in their class or id.  What is left is a
    list of lines, one per block of running text.
 2. Distribute: a line's height is the sum of the text lengths over a window of lines around it, links not counted.  Lines
-   that stand inside ``article`` or ``main`` carry the page's own statement that they are text.
+   that stand inside ``article`` or ``main`` carry the page's own statement that they are text: if they are half of the
+   text, only they can be chosen, and a line's window ends where its group does.
 3. Surge and dive: the text begins where the height rises above the threshold and ends where it falls below it, low
    lines between included.  It grows at both ends over the lines of the containers that hold its high lines, so
    headings and one-word paragraphs at its edges stay.
@@ -187,21 +188,19 @@ def main_text(page: str) -> str:
                     if not within or found[j].path[:len(line.path)] == line.path) for i, line in enumerate(found)]
 
     firm = [h >= THRESHOLD and o > 0 for h, o in zip(heights(True), own, strict=True)]
-    kept = [h >= THRESHOLD and o > 0 for h, o in zip(heights(False), own, strict=True)]
-    if container:
-        # Inside the container nothing is cut away but lines of links.
-        kept = [line.inside and (o > 0 or k) for line, o, k in zip(found, own, kept, strict=True)]
-    elif not any(kept):
-        kept = [o > 0 for o in own]
-    else:
-        # Low lines belong to the text if their group holds high ones; headings also if a group within theirs does.
+    kept = firm if container else [h >= THRESHOLD and o > 0 for h, o in zip(heights(False), own, strict=True)]
+    if any(kept):
+        # Low lines belong to the text if their group holds high ones.  Inside article and main so do lines whose group
+        # has such a group within and the page's title; elsewhere headings above such a group.
         same = {line.path for line, high in zip(found, firm, strict=True) if high}
-        around = {path[:n] for path in same for n in range(1, len(path))}
-        kept = [o > 0 and (k or line.path in same or line.heading != "" and line.path in around)
-                for line, o, k in zip(found, own, kept, strict=True)]
+        around = {path[:n] for path in same for n in range(0 if container else 1, len(path))}
+        kept = [o > 0 and (k or line.path in same or (container or line.heading != "") and line.path in around
+                           or container and line.heading == "h1") for line, o, k in zip(found, own, kept, strict=True)]
         # From the first surge to the last dive, over low lines between.
         first, last = kept.index(True), len(kept) - 1 - kept[::-1].index(True)
         kept = [first <= i <= last and o > 0 for i, o in enumerate(own)]
+    else:
+        kept = [o > 0 for o in own]
     return "\n\n".join(line.text for line, k in zip(found, kept, strict=True) if k)
 
 

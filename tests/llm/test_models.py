@@ -219,6 +219,15 @@ def test_short_lines_at_both_edges_of_the_text():
     assert html_text.main_text(nested).split("\n\n") == ["Title", "By A", BODY, BODY]
 
 
+def test_line_blocks_cut_adverts_at_the_edges_of_an_article():
+    advert = "<div class='x1'><p>Buy now</p><p>Cheap shoes</p><p>Only today</p></div>"
+    page = (f"<article>{advert}<h1>Title</h1><p>By A</p><p>May 1</p><div><p>{BODY}</p><p>{BODY}</p></div><p>So.</p>"
+            f"<section><h2>Last</h2><p>Words.</p></section>{advert}</article>")
+    assert html_text.main_text(page).split("\n\n") == ["Title", "By A", "May 1", BODY, BODY, "So.", "Last", "Words."]
+    split = f"<main><div><h1>Title</h1><p>By A</p></div><div><p>{BODY}</p><p>{BODY}</p><p>So.</p><p>End.</p></div></main>"
+    assert html_text.main_text(split).split("\n\n") == ["Title", "By A", BODY, BODY, "So.", "End."]
+
+
 def test_no_pages(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 

@@ -45,6 +45,13 @@ _NAMES = re.compile(
     r"consent|cookie|cookies|copyright|disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|"
     r"notice|notices|overlay|pager|pagination|popup|promo|promoted|promotion|recommended|related|replies|respond|share|sharing|"
     r"sidebar|sidenav|social|sponsor|sponsored|subscribe|subscription|toolbar|topbar|widget)(?=$|[\s_-])", re.I)
+# Inside article and main only names that are no words of an article count by their parts, the others as whole classes.
+_SURE = re.compile(
+    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|breadcrumb|breadcrumbs|disqus|gdpr|navbar|newsletter|"
+    r"pager|pagination|popup|promo|promoted|sidebar|sidenav|sponsored|topbar)(?=$|[\s_-])", re.I)
+_WHOLE = set("""banner comment comments consent cookie cookies copyright footer menu modal nav navigation notice notices overlay
+promotion recommended related replies respond share sharing social sponsor subscribe subscription toolbar widget""".split())
+PHRASES = set("a abbr b bdi bdo cite code dfn em i kbd mark q s samp small span strong sub sup time u var".split())
 _OTHERS = re.compile(r"(?:^|[\s_-])(?:ad|advert|comment|promo|promoted|recommended|related|reply|sponsored|teaser)(?=$|[\s_-])", re.I)
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|"
                   r"<(/?)([a-zA-Z][^\s/>]*)[^<>]*\Z", re.S)
@@ -52,6 +59,20 @@ _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\
 WINDOW, THRESHOLD = 3, 60
 
 
+def _named(tag: str, name: str, value: str, inside: bool) -> bool:
+    """Whether a class or id tells that an element is no part of the article."""
+    if tag in ("body", "html", "article", "main"):
+        return False
+    if not inside:
+        return _NAMES.search(value) is not None
+    # Headings and their sections are named after their words.
+    if tag in HEADINGS or tag == "header" or name == "id" and tag == "section":
+        return False
+    if name == "class":
+        return _SURE.search(value) is not None or tag not in PHRASES and not _WHOLE.isdisjoint(value.split())
+    return value in ("comments", "disqus_thread") or _SURE.fullmatch(value) is not None
+
+
 def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
     """Whether an element is no part of the article."""
     if tag in ASIDE or tag == "header" and not inside:
@@ -61,7 +82,7 @@ def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next((v for v in values if v), "").lower()
         if name in ("class", "id"):
-            if tag not in ("body", "html", "article", "main") and _NAMES.search(value):
+            if _named(tag, name, value, inside):
                 return True
             if tag == "article" and _OTHERS.search(value):  # comments and teasers may be articles of their own
                 return True

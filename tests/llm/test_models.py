@@ -228,6 +228,17 @@ def test_line_blocks_cut_adverts_at_the_edges_of_an_article():
     assert html_text.main_text(split).split("\n\n") == ["Title", "By A", BODY, BODY, "So.", "End."]
 
 
+def test_names_inside_an_article_drop_only_what_is_no_text():
+    page = (f"<article><header class='entry-header'><h1>Title</h1></header><p>{BODY}</p><p class='notice-text'>Take note.</p>"
+            "<section id='related-work'><h2>Related work</h2><p>Older.</p></section><section id='social-history'><p>Past.</p>"
+            "</section><h2 id='notice-periods'>Notice periods</h2><div id='comment-syntax'><p>Lines of signs.</p></div>"
+            f"<pre>x <span class='token comment'># why</span></pre><p>{BODY}</p><div class='ad-box'><p>{BODY}</p></div>"
+            f"<div class='wide related'><p>{BODY}</p></div><div class='social'><p>{BODY}</p></div></article>")
+    assert html_text.main_text(page).split("\n\n") == [
+        "Title", BODY, "Take note.", "Related work", "Older.", "Past.", "Notice periods", "Lines of signs.", "x # why", BODY]
+    assert html_text.main_text(f"<div class='page-header'><p>{BODY}</p></div><p>{BODY} {BODY}</p>") == f"{BODY} {BODY}"
+
+
 def test_no_pages(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 

@@ -3,7 +3,8 @@
 1. Strip: markup goes, and with it elements that never hold the article (scripts, styles, menus, headers, footers,
    sidebars, forms, notices, adverts, comment sections), by tag, role, or a name in their class or id.  What is left is a
    list of lines, one per block of running text.
-2. Distribute: a line's height is the sum of the text lengths over a window of lines around it, links not counted.  Lines
+2. Distribute: a line's height is the sum of the text lengths over a window of lines around it, links not counted.
+   Several lines in a row that are nothing but links are a menu and go; headings and single such lines stay.  Lines
    that stand inside ``article`` or ``main`` carry the page's own statement that they are text: if they are half of the
    text, only they can be chosen, and a line's window ends where its group does.
 3. Surge and dive: the text begins where the height rises above the threshold and ends where it falls below it, low
@@ -100,7 +101,8 @@ class Line(NamedTuple):
     """A block of running text."""
 
     text: str
-    links: int  # length of its links
+    links: int  # length of its links, as in the text
+    bare: bool  # nothing but links
     inside: bool  # stands inside article or main
     heading: str  # the heading's tag, else empty
     path: tuple[int, ...]  # the groups around it, outermost first
@@ -112,16 +114,23 @@ def lines(page: str) -> list[Line]:
     stack: list[tuple[str, bool, bool]] = []  # open elements; whether unwanted; whether a group
     path: list[int] = []
     parts: list[str] = []
-    links = at = unwanted = inside = linked = groups = 0
+    spans: list[tuple[int, int]] = []  # the parts within each link
+    at = unwanted = inside = linked = groups = 0
+
+    def folded(some: list[str]) -> str:
+        return " ".join(references.unescape("".join(some)).split())
 
     def flush() -> None:
-        nonlocal links
-        text = " ".join(references.unescape("".join(parts)).split())
+        text = folded(parts)
         if text:
+            links = [folded(parts[start:end]) for start, end in spans]
+            rest = "".join(folded(parts[end:start]) for (_, end), (start, _) in
+                           zip([(0, 0), *spans], [*spans, (len(parts), 0)], strict=True)) if any(links) else text
+            bare = any(links) and not any(c.isalnum() for c in rest)
             heading = next((tag for tag, _, _ in reversed(stack) if tag in HEADINGS), "")
-            out.append(Line(text, links, inside > 0, heading, tuple(path)))
+            out.append(Line(text, min(len(text), sum(map(len, links))), bare, inside > 0, heading, tuple(path)))
         parts.clear()
-        links = 0
+        spans.clear()
 
     def pop() -> None:
         nonlocal unwanted, inside, linked
@@ -140,8 +149,10 @@ def lines(page: str) -> list[Line]:
         text = page[at:found.start() if found else len(page)]
         if text and not unwanted:
             parts.append(text)
-            if linked:
-                links += len(text.strip())
+            if linked and spans and spans[-1][1] == len(parts) - 1:
+                spans[-1] = spans[-1][0], len(parts)
+            elif linked:
+                spans.append((len(parts) - 1, len(parts)))
         if not found:
             break
         at = found.end()
@@ -194,6 +205,12 @@ def lines(page: str) -> list[Line]:
     return [line._replace(path=tuple(group for group in line.path if held[group] > 1)) for line in out]
 
 
+def _menus(found: list[Line]) -> list[bool]:
+    """Whether each line is one of several in a row that are nothing but links.  Headings are none."""
+    links = [line.bare and not line.heading for line in found]
+    return [x and (i > 0 and links[i - 1] or i + 1 < len(links) and links[i + 1]) for i, x in enumerate(links)]
+
+
 def main_text(page: str) -> str:
     """The lines between surge and dive, joined by an empty line."""
     found = lines(page)
@@ -201,6 +218,7 @@ def main_text(page: str) -> str:
         return ""
     declared = sum(len(line.text) for line in found if line.inside)
     container = 2 * declared >= sum(len(line.text) - line.links for line in found)
+    free = [not menu and (line.inside or not container) for line, menu in zip(found, _menus(found), strict=True)]
     own = [0 if container and not line.inside else len(line.text) - line.links for line in found]
 
     def heights(within: bool) -> list[int]:
@@ -208,20 +226,21 @@ def main_text(page: str) -> str:
         return [sum(own[j] for j in range(max(0, i - WINDOW // 2), min(len(own), i + WINDOW // 2 + 1))
                     if not within or found[j].path[:len(line.path)] == line.path) for i, line in enumerate(found)]
 
-    firm = [h >= THRESHOLD and o > 0 for h, o in zip(heights(True), own, strict=True)]
-    kept = firm if container else [h >= THRESHOLD and o > 0 for h, o in zip(heights(False), own, strict=True)]
+    firm = [h >= THRESHOLD and o > 0 and f for h, o, f in zip(heights(True), own, free, strict=True)]
+    kept = firm if container else [h >= THRESHOLD and o > 0 and f for h, o, f in zip(heights(False), own, free, strict=True)]
     if any(kept):
         # Low lines belong to the text if their group holds high ones.  Inside article and main so do lines whose group
         # has such a group within and the page's title; elsewhere headings above such a group.
         same = {line.path for line, high in zip(found, firm, strict=True) if high}
         around = {path[:n] for path in same for n in range(0 if container else 1, len(path))}
-        kept = [o > 0 and (k or line.path in same or (container or line.heading != "") and line.path in around
-                           or container and line.heading == "h1") for line, o, k in zip(found, own, kept, strict=True)]
+        kept = [f and (k or line.path in same and (container or not line.bare or line.heading != "")
+                       or (container or line.heading != "") and line.path in around
+                       or container and line.heading == "h1") for line, f, k in zip(found, free, kept, strict=True)]
         # From the first surge to the last dive, over low lines between.
         first, last = kept.index(True), len(kept) - 1 - kept[::-1].index(True)
-        kept = [first <= i <= last and o > 0 for i, o in enumerate(own)]
+        kept = [first <= i <= last and f for i, f in enumerate(free)]
     else:
-        kept = [o > 0 for o in own]
+        kept = free
     return "\n\n".join(line.text for line, k in zip(found, kept, strict=True) if k)
 
 

@@ -239,6 +239,16 @@ def test_names_inside_an_article_drop_only_what_is_no_text():
     assert html_text.main_text(f"<div class='page-header'><p>{BODY}</p></div><p>{BODY} {BODY}</p>") == f"{BODY} {BODY}"
 
 
+def test_links_that_are_text():
+    page = (f"<h1><a href='/'>Title</a></h1><p>{BODY}</p><p><a href='x'>A linked paragraph.</a></p><p>see <a>A&nbsp;&amp;&nbsp;B</a></p>"
+            f"<p>{BODY}</p><ul><li><a>One</a></li><li>&middot; <a>Two</a></li><li><a>Three</a></li></ul><p>{BODY}</p>")
+    want = ["Title", BODY, "A linked paragraph.", "see A & B", BODY, BODY]
+    for around in ("article", "div"):
+        assert html_text.main_text(f"<{around}>{page}</{around}>").split("\n\n") == want
+    line = html_text.lines("<p>see <a>A&nbsp;&amp;&nbsp;<b>B</b></a> and <a> C </a></p>")[0]
+    assert (line.text, line.links, line.bare) == ("see A & B and C", 6, False)
+
+
 def test_no_pages(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 

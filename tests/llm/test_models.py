@@ -313,6 +313,33 @@ def test_near_copies_in_large_groups_and_slices(spark, monkeypatch):
     check_near(near_dedup.near_duplicates(frame).collect(), texts)
 
 
+def test_unlike_texts_of_one_passage_meet_by_two_slices(spark, monkeypatch):
+    rng, texts, cross = np.random.default_rng(6), {}, near_dedup._cross
+    shared = [f"s{i}" for i in range(60)]
+    for i in range(200):
+        words = [*shared, *(f"u{i}n{j}" for j in range(40))]
+        texts[len(texts)] = " ".join(words)
+        if i % 8 == 0:
+            for n in range(3):
+                words[int(rng.integers(0, 100))] = f"x{i}n{n}"
+                texts[len(texts)] = " ".join(words)
+
+    def bounded(percent):
+        merge = cross(percent)
+
+        def rows(records):
+            held = list(records)
+            sizes = Counter(pair for r in held for pair in zip(r["token"].to_pylist(), r["slice"].to_pylist(), strict=True))
+            assert max(sizes.values(), default=0) <= 64, "a group of more than two slices"
+            return merge(iter(held))
+
+        return rows
+
+    monkeypatch.setattr(near_dedup, "_cross", bounded)
+    monkeypatch.setattr(near_dedup, "SLICE", 16)
+    check_near(near_dedup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect(), texts)
+
+
 def test_near_copies_of_odd_rows(spark):
     rows = near_dedup.near_duplicates(odd(spark)).collect()
     assert len(rows) == len(ROWS)

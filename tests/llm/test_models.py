@@ -63,6 +63,18 @@ def test_restoring_noisy_words():
     assert restorer.words("") == set() and restorer.words("12 34 !? ...") == set()
 
 
+def test_restoring_signs_at_the_edges_of_words():
+    counts = Counter()
+    for word in ["idiot", "loser", "trash", "clown", "shit", "ass", "as", "the", "and", "a", "of", "that", "stupid"] * 20:
+        marked = f" {word} "
+        counts.update(marked[i:i + n] for n in range(1, toxicity.ORDER + 1) for i in range(len(marked) - n + 1))
+    restorer = toxicity.Restorer(toxicity.CharacterModel(counts))
+    for noisy, words in {"sh!+": {"shit"}, "(lown": {"clown"}, "!diot": {"idiot"}, "+rash": {"trash"}, "|oser": {"loser"}, "tra$#": {"trash"},
+                         "@$$": {"ass"}, "455": {"ass"}, "<l0wn!": {"clown"}, "(that": {"that"}, "loser!": {"loser"}, "###and": {"and"},
+                         "(and)": {"and"}, "1990": set(), "!!": set(), "12": set(), "": set()}.items():
+        assert restorer.words(noisy) == words, noisy
+
+
 def test_toxicity_of_held_out_texts(spark):
     sf = "/root/testdata/sf0.01"
     toxic = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}

@@ -352,6 +352,18 @@ def test_unlike_texts_of_one_passage_meet_by_two_slices(spark, monkeypatch):
     check_near(near_dedup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect(), texts)
 
 
+def test_sketches_of_few_hashes_do_not_refuse_pairs_at_the_threshold():
+    def missed(hashes):  # fewer than the least number of shared hashes, of so many kept at 0.75
+        least = math.ceil((0.75 - near_dedup.MARGIN) * hashes)
+        return sum(math.comb(hashes, n) * 0.75**n * 0.25**(hashes - n) for n in range(least))
+
+    assert missed(near_dedup.SKETCH // 2) < 1e-7
+    hashes = np.arange(0, 200, 2, dtype="<u4")  # 64 shared of a union of 100, both thinned out once
+    sketches = [hashes[:82].tobytes(), hashes[18:].tobytes()]
+    members = near_dedup.Members([1, 2], [b"\0" * 64] * 2, [1, 1], sketches, 75)
+    assert members.like(0)[0][1] == pytest.approx(0.64) and members.like(0)[2].tolist() == [False, True]
+
+
 def test_near_copies_of_odd_rows(spark):
     rows = near_dedup.near_duplicates(odd(spark)).collect()
     assert len(rows) == len(ROWS)

@@ -261,7 +261,8 @@ summed AS (
   FROM deltas GROUP BY InstanceId, cur, prev),
 rates AS (SELECT *, """ + ", ".join(_rate(n) for n in ["Total", *_CLASSES]) + """ FROM summed)
 SELECT i.InstanceId, i.InstanceName, i.EnvironmentName, r.* EXCLUDE (InstanceId),
-       CASE WHEN r.InstanceId IS NULL THEN 'Unknown' WHEN TotalWaitDeltaMs = 0 THEN 'None'
+       CASE WHEN r.InstanceId IS NULL THEN 'Unknown'
+            WHEN greatest(LockWaitDeltaMs, IOWaitDeltaMs, ParallelismWaitDeltaMs, MemoryWaitDeltaMs, CPUWaitDeltaMs, LogIOWaitDeltaMs) = 0 THEN 'None'
             ELSE list_extract(['Locking', 'IO', 'Parallelism', 'Memory', 'CPU', 'LogIO'],
               list_position([LockWaitDeltaMs, IOWaitDeltaMs, ParallelismWaitDeltaMs, MemoryWaitDeltaMs, CPUWaitDeltaMs, LogIOWaitDeltaMs],
                 greatest(LockWaitDeltaMs, IOWaitDeltaMs, ParallelismWaitDeltaMs, MemoryWaitDeltaMs, CPUWaitDeltaMs, LogIOWaitDeltaMs)))

@@ -11,8 +11,11 @@ from fleetgauge.llm import (
     mixing,
     near_dedup,
     packing,
+    simhash,
+    target_sampling,
     token_files,
     toxicity,
+    vector_codes,
 )
 
 QUERIES = {
@@ -26,7 +29,12 @@ QUERIES = {
     "op8_token_files": token_files.op8_token_files,
     "op9_near_dedup": near_dedup.op9_near_dedup,
     "op10_html_text": html_text.op10_html_text,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_target_sampling": target_sampling.op12_target_sampling,
+    "op13_simhash": simhash.op13_simhash,
 }
 ORACLES = {
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op11_vector_codes": vector_codes.ORACLE,
+    "op12_target_sampling": target_sampling.ORACLE,
 }

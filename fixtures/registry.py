@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,7 +91,7 @@ def _rendering(i: Inputs) -> DataFrame:
 def _fan_out(i: Inputs) -> DataFrame:
     metrics, evidence = scratch(i, "fan-metrics"), scratch(i, "fan-evidence")
     collected = cycle.collect_requests(i.raw_requests, i.raw_sessions, i.capture_roster)
-    collected.write(i.spark, metrics, evidence, date(1, 1, 1), date(9999, 12, 31))
+    collected.write(metrics, evidence, "fan-out")
     stored = tables.read_table(i.spark, metrics, "MetricSnapshot").select(F.col("ObjectName").alias("Output"))
     texts = tables.read_table(i.spark, evidence, "MetricTextSnapshot").select(F.col("DetailType").alias("Output"))
     return stored.union(texts).groupBy("Output").agg(F.count(F.lit(1)).alias("RowCount"))

@@ -1,9 +1,9 @@
-"""Retention: cutoffs, what a purge removes, and the purge of a dataset partitioned by date."""
+"""Retention: cutoffs, what a purge removes, and the purge of a stored table."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from fleetgauge.functions.timing import ntz, rows_before, rows_from
 from fleetgauge.operators.runs import row_counts
 from fleetgauge.params import RetentionParams
 from fleetgauge.sources import tables
+from fleetgauge.sources.versions import Part, Snapshot
 
 TIME_COLUMNS = {
     "MetricSnapshot": "CaptureTime", "MetricTextSnapshot": "CaptureTime", "CollectionRunHistory": "StartedAt",
@@ -50,27 +51,27 @@ def purge_summary(
 def purge(
     spark: SparkSession, path: str, table: str, as_of: datetime, params: RetentionParams = RetentionParams(),
 ) -> None:
-    """Drop the expired rows of a stored table.
+    """Drop the expired rows of a stored table, all at one moment: a purge that breaks off has dropped nothing.
 
-    Whole expired dates are dropped as directories; only the date the cutoff falls into is rewritten.
+    Whole expired dates leave the table without being read; of the date the cutoff falls into, only batches with expired
+    rows are rewritten.  The files go with ``VersionedTable.vacuum``.
     """
-    cutoff, partition = cutoffs(as_of, params)[table], tables.PARTITIONS[table]
-    for day, folder in tables.date_folders(spark, path, partition):
-        if day < cutoff.date():
-            tables.drop_folder(spark, folder)
-    _rewrite_day(spark, path, table, partition, cutoff)
-
-
-def _rewrite_day(spark: SparkSession, path: str, table: str, partition: str, cutoff: datetime) -> None:
-    day: date = cutoff.date()
-    boundary = tables.read_table(spark, path, table).filter(F.col(partition) == F.lit(day))
+    cutoff, schema = cutoffs(as_of, params)[table], tables.schema_of(table)
+    stored, boundary = tables.open_table(spark, path, table), cutoff.date().isoformat()
     expired = F.col(TIME_COLUMNS[table]) < ntz(cutoff)
-    if boundary.filter(expired).isEmpty():
-        return
-    kept = boundary.filter(~expired)
-    if kept.isEmpty():
-        for found, folder in tables.date_folders(spark, path, partition):
-            if found == day:
-                tables.drop_folder(spark, folder)
-        return
-    tables.rewrite_days(spark, kept, path, partition)
+    rewritten: dict[str | None, Part] = {}
+
+    def edit(base: Snapshot) -> dict[str, Part | None]:
+        out: dict[str, Part | None] = {day: None for day in base.days(last=cutoff.date()) if day < boundary}
+        state = base.files.get(boundary)
+        if state not in rewritten:
+            rows = base.read(schema, [boundary] if state else [], with_batch=True)
+            old = [r["batch"] for r in rows.filter(expired).select("batch").distinct().collect()]  # batches of one day
+            kept = base.read(schema, batches=[(boundary, b) for b in old]).filter(~F.coalesce(expired, F.lit(False)))
+            staged = stored.stage(kept) if old else {}
+            rewritten[state] = base.part(boundary).replaced(old, staged.values())
+        if rewritten[state] != base.part(boundary):
+            out[boundary] = rewritten[state]
+        return out
+
+    stored.change(edit)

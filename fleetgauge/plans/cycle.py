@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from fleetgauge import fixed_values as fv
 from fleetgauge import schemas
 from fleetgauge.functions.shaping import SNAPSHOT, stored_evidence, stored_metrics
-from fleetgauge.functions.timing import ntz
 from fleetgauge.operators import (
     agent_alerts, agent_jobs, backups, blocking, connections, counters, file_io, inventory, query_stats, requests,
     runs, waits,
@@ -34,18 +33,19 @@ from fleetgauge.sources import tables
 class Collection:
     """The outputs of one collector, and the frames more than one of them is built from."""
 
+    collector: str
     metrics: DataFrame
     evidence: DataFrame | None = None
     shared: tuple[DataFrame, ...] = ()
 
-    def write(self, spark: SparkSession, metrics_path: str, evidence_path: str, first: date, last: date) -> None:
-        """Store the rows of the captures of these days that are not stored yet."""
+    def write(self, metrics_path: str, evidence_path: str, key: str, days: list[date] | None = None) -> None:
+        """Store the rows of the captures of these days that this commit key has not stored yet."""
         for frame in self.shared:
             frame.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            tables.append_new(spark, stored_metrics(self.metrics), metrics_path, "MetricSnapshot", first, last)
+            tables.append_once(stored_metrics(self.metrics), metrics_path, "MetricSnapshot", key, days)
             if self.evidence is not None:
-                tables.append_new(spark, stored_evidence(self.evidence), evidence_path, "MetricTextSnapshot", first, last)
+                tables.append_once(stored_evidence(self.evidence), evidence_path, "MetricTextSnapshot", key, days)
         finally:
             for frame in self.shared:
                 frame.unpersist()
@@ -53,7 +53,7 @@ class Collection:
 
 def collect_counters(raw: DataFrame, ring: DataFrame) -> Collection:
     cpu = counters.cpu_metrics(counters.cpu_samples(ring))
-    return Collection(counters.counter_metrics(raw).unionByName(cpu))
+    return Collection(fv.PERFORMANCE_COUNTERS, counters.counter_metrics(raw).unionByName(cpu))
 
 
 def collect_connections(
@@ -61,7 +61,7 @@ def collect_connections(
 ) -> Collection:
     groups = connections.session_groups(sessions)
     summary, large = connections.session_summary(groups, roster), connections.session_breakdown(groups, params=params)
-    return Collection(connections.connection_metrics(summary, large), None, (groups,))
+    return Collection(fv.CONNECTIONS, connections.connection_metrics(summary, large), None, (groups,))
 
 
 def collect_blocking(
@@ -69,16 +69,16 @@ def collect_blocking(
 ) -> Collection:
     blocked = blocking.all_blocked(active, sessions, params)
     evidence = blocking.blocking_evidence(blocking.longest_blocked(blocked, params))
-    return Collection(blocking.blocking_metrics(blocking.blocking_summary(blocked, roster)), evidence)
+    return Collection(fv.BLOCKING, blocking.blocking_metrics(blocking.blocking_summary(blocked, roster)), evidence)
 
 
 def collect_waits(raw: DataFrame) -> Collection:
-    return Collection(waits.wait_metrics(waits.waits(raw)))
+    return Collection(fv.WAIT_STATS, waits.wait_metrics(waits.waits(raw)))
 
 
 def collect_file_io(raw: DataFrame, databases: DataFrame, params: FileIoParams = FileIoParams()) -> Collection:
     files = file_io.busiest_files(file_io.file_stats(raw, databases), params)
-    return Collection(file_io.file_metrics(files), file_io.file_evidence(files, params), (files,))
+    return Collection(fv.DATABASE_IO, file_io.file_metrics(files), file_io.file_evidence(files, params), (files,))
 
 
 def collect_requests(
@@ -93,7 +93,7 @@ def collect_requests(
         .unionByName(requests.repeated_evidence(requests.repeated_requests(narrow, active, params)))
     )
     summary = requests.request_summary(narrow, roster, params)
-    return Collection(requests.request_metrics(summary), evidence, (narrow,))
+    return Collection(fv.ACTIVE_REQUESTS, requests.request_metrics(summary), evidence, (narrow,))
 
 
 def collect_query_stats(
@@ -101,7 +101,7 @@ def collect_query_stats(
 ) -> Collection:
     kept = query_stats.query_details(stats, texts, params=params)
     summary = query_stats.query_summary(kept, roster)
-    return Collection(query_stats.query_metrics(summary), query_stats.query_evidence(kept), (kept,))
+    return Collection(fv.QUERY_STATS, query_stats.query_metrics(summary), query_stats.query_evidence(kept), (kept,))
 
 
 def collect_backups(
@@ -111,6 +111,7 @@ def collect_backups(
     policy = backups.backup_policy(inventory.enabled_profiles(instances))
     base = backups.compliance_base(databases, backupset, media, policy)
     return Collection(
+        fv.BACKUPS,
         backups.compliance_metrics(backups.compliance_summary(base, roster, params)),
         backups.compliance_evidence(backups.compliance_issues(base, params)), (base,),
     )
@@ -129,7 +130,7 @@ def collect_jobs(
     evidence = agent_jobs.failure_evidence(agent_jobs.failed_runs(recent, params)).unionByName(
         agent_jobs.running_evidence(agent_jobs.longest_running(running, params))
     )
-    return Collection(metrics, evidence, (recent, running))
+    return Collection(fv.AGENT_JOBS, metrics, evidence, (recent, running))
 
 
 def collect_alerts(
@@ -140,7 +141,7 @@ def collect_alerts(
     issues = agent_alerts.configuration_issues(flagged, notifications, operators, params)
     triggered = agent_alerts.triggered_alerts(flagged, notifications, operators, params)
     evidence = agent_alerts.alert_evidence(issues).unionByName(agent_alerts.alert_evidence(triggered))
-    return Collection(agent_alerts.alert_metrics(agent_alerts.alert_summary(flagged, roster)), evidence, (flagged,))
+    return Collection(fv.AGENT_ALERTS, agent_alerts.alert_metrics(agent_alerts.alert_summary(flagged, roster)), evidence, (flagged,))
 
 
 # The narrowest number a collector computes with has 16 digits before the point.
@@ -203,7 +204,7 @@ def run_cycle(
         try:
             sound, checked = runs.isolate_failures(current[source], rules(source), SNAPSHOT)
             outcomes = roster.join(checked.drop("RowsCollected"), SNAPSHOT, "left")
-            build(sound).write(spark, metrics_path, evidence_path, captured_at.date(), captured_at.date())
+            build(sound).write(metrics_path, evidence_path, commit_key(collector, captured_at), [captured_at.date()])
         except Exception as error:  # noqa: BLE001 - one collector must not stop the others
             outcomes = outcomes.withColumn("ErrorMessage", F.lit(str(error)))
         rows = _rows_written(spark, collector, captured_at, metrics_path, evidence_path)
@@ -214,16 +215,13 @@ def run_cycle(
 def _rows_written(
     spark: SparkSession, collector: str, captured_at: datetime, metrics_path: str, evidence_path: str,
 ) -> DataFrame:
-    """Stored rows per instance of one collector and cycle; only the partition of its date is read."""
-    stored = [
-        tables.read_table(spark, path, table)
-        .filter((F.col("capture_date") == F.lit(captured_at.date())) & (F.col("SourceCollector") == collector)
-                & (F.col("CaptureTime") == ntz(captured_at)))
-        .select(*SNAPSHOT)
-        for path, table in ((metrics_path, "MetricSnapshot"), (evidence_path, "MetricTextSnapshot"))
-        if tables.exists(spark, path)
-    ]
-    if not stored:
-        return spark.createDataFrame([], "InstanceId int, CaptureTime timestamp_ntz, RowsCollected bigint")
-    union = stored[0].unionByName(stored[1]) if len(stored) == 2 else stored[0]
-    return union.groupBy(*SNAPSHOT).agg(F.count(F.lit(1)).alias("RowsCollected"))
+    """Stored rows per instance of one collector and cycle; only what its commit key stored is read."""
+    key, day = commit_key(collector, captured_at), [captured_at.date()]
+    stored = tables.read_commit(spark, metrics_path, "MetricSnapshot", key, day).select(*SNAPSHOT).unionByName(
+        tables.read_commit(spark, evidence_path, "MetricTextSnapshot", key, day).select(*SNAPSHOT))
+    return stored.groupBy(*SNAPSHOT).agg(F.count(F.lit(1)).alias("RowsCollected"))
+
+
+def commit_key(collector: str, captured_at: datetime) -> str:
+    """What one collector stores for one capture time goes under this key, once however often the cycle is repeated."""
+    return f"{collector}@{captured_at.isoformat()}"

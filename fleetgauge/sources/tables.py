@@ -1,4 +1,8 @@
-"""Stored tables: reading with explicit schemas, appending partitioned by date, scratch space."""
+"""Stored tables: reading with explicit schemas, appending partitioned by date, scratch space.
+
+Every stored table is kept in versions (``sources.versions``): readers see whole writes, and writers that repeat, break off
+or meet leave nothing twice and nothing out.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fleetgauge import schemas
 from fleetgauge.functions.shaping import stored_evidence, stored_metrics
+from fleetgauge.sources.versions import VersionedTable
 
 # Table name -> (schema, date partition column).
 _STORED = {
@@ -24,11 +29,29 @@ _STORED = {
 PARTITIONS = {name: partition for name, (_, partition) in _STORED.items() if partition}
 
 
+def open_table(spark: SparkSession, path: str, table: str) -> VersionedTable:
+    return _clustered_table(spark, path, _STORED[table][1])
+
+
+def _clustered_table(spark: SparkSession, path: str, partition: str | None) -> VersionedTable:
+    return VersionedTable(spark, path, partition, (lambda rows: clustered(rows, partition)) if partition else (lambda rows: rows))
+
+
+def schema_of(table: str) -> str:
+    return _STORED[table][0]
+
+
 def read_table(spark: SparkSession, path: str, table: str, since: date | None = None) -> DataFrame:
-    """A stored core table; ``since`` prunes whole date partitions."""
+    """The newest version of a stored core table; ``since`` leaves out whole date partitions."""
     schema, partition = _STORED[table]
-    df = spark.read.schema(schema).parquet(path)
-    return df.filter(F.col(partition) >= F.lit(since)) if since and partition else df
+    rows = open_table(spark, path, table).latest().read(schema)
+    return rows.filter(F.col(partition) >= F.lit(since)) if since and partition else rows
+
+
+def read_commit(spark: SparkSession, path: str, table: str, key: str, days: list[date]) -> DataFrame:
+    """The rows stored under a commit key, of which nothing else is read."""
+    latest, names = open_table(spark, path, table).latest(), [d.isoformat() for d in days]
+    return latest.read(_STORED[table][0], batches=[(d, b) for d in names for b in latest.part(d).keys.get(key, ())])
 
 
 def since(rows: DataFrame, first_day: date | None) -> DataFrame:
@@ -44,20 +67,28 @@ def read_landing(spark: SparkSession, path: str, table: str, file_format: str =
     return reader.format(file_format).load(path)
 
 
+def land(rows: DataFrame, path: str) -> None:
+    """Land snapshot rows by capture date, so that collecting reads only the dates it needs."""
+    rows.withColumn("capture_date", F.col("CaptureTime").cast("date")).write.mode("append").partitionBy("capture_date").parquet(path)
+
+
 # Rows of a file are sorted by what readers filter and rank by, so that row groups can be skipped.
 _SORTED_BY = ["SourceCollector", "CollectorName", "InstanceId", "CounterName", "DetailType", "DatabaseName",
               "InstanceName", "CaptureTime", "StartedAt"]
 
 
-def append(df: DataFrame, path: str, partition: str) -> None:
-    """Append rows, clustered by date and sorted within files.
+def clustered(df: DataFrame, partition: str) -> DataFrame:
+    """Rows as they are stored: by date and sorted within files.
 
     The rebalance lets adaptive execution split a date that holds most rows and merge small ones,
     so neither one task nor many tiny files result.
     """
     order = [partition, *(c for c in _SORTED_BY if c in df.columns)]
-    clustered = df.hint("rebalance", partition).sortWithinPartitions(*order)
-    clustered.write.mode("append").partitionBy(partition).parquet(path)
+    return df.hint("rebalance", partition).sortWithinPartitions(*order)
+
+
+def append(df: DataFrame, path: str, partition: str) -> None:
+    _clustered_table(df.sparkSession, path, partition).append(df)
 
 
 def write_metrics(metrics: DataFrame, path: str, created_at: datetime | None = None) -> None:
@@ -72,38 +103,22 @@ def write_runs(runs: DataFrame, path: str) -> None:
     append(runs.withColumn("started_date", F.col("StartedAt").cast("date")), path, "started_date")
 
 
-def append_new(spark: SparkSession, rows: DataFrame, path: str, table: str, first: date, last: date) -> None:
-    """Append the rows of the days ``first`` to ``last`` whose id is not stored yet.
-
-    Ids are hashes of the rows' keys, so a repeated row is found again.  Only the partitions of those
-    days are read for the comparison.
-    """
-    row_id = f"{table}Id"
-    if exists(spark, path):
-        stored = read_table(spark, path, table).filter(F.col("capture_date").between(first, last))
-        rows = rows.join(stored.select("capture_date", row_id), ["capture_date", row_id], "left_anti")
-    append(rows, path, "capture_date")
-
-
-def rewrite_days(spark: SparkSession, rows: DataFrame, path: str, partition: str) -> None:
-    """Replace the date partitions that occur in ``rows``, which may be read from the same table.
+def append_once(rows: DataFrame, path: str, table: str, key: str, days: list[date] | None = None) -> None:
+    """Append the rows that have not been stored under this commit key, which may be of the given days.
 
-    The rows pass through a written copy beside the table, as one plan must not read and overwrite one path; the copy is
-    deleted afterwards.  Its name starts with an underscore, so readers of the table do not see it.
+    Ids are hashes of the rows' keys, so a repeated row is found again.  The first time nothing is read; a repetition is
+    compared with what its own key stored, not with the day.
     """
-    staged = f"{path.rstrip('/')}/_staged-{uuid.uuid4().hex}"
-    try:
-        rows.write.parquet(staged)
-        copy = spark.read.schema(rows.schema).parquet(staged)
-        copy.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    finally:
-        drop_folder(spark, staged)
+    schema, partition = _STORED[table]
+    names = None if days is None else [d.isoformat() for d in days]
+    open_table(rows.sparkSession, path, table).append_once(
+        rows, key, [partition, f"{table}Id"], schema, names)
 
 
 def write_run_events(events: DataFrame, path: str) -> None:
     """Append run events by date.  Folding takes the last of repeated events, so nothing has to be looked up."""
     days = events.withColumn("event_date", F.col("EventTime").cast("date"))
-    days.write.mode("append").partitionBy("event_date").parquet(path)
+    VersionedTable(events.sparkSession, path, "event_date").append(days)
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
@@ -114,25 +129,13 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def _file_system(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def date_folders(spark: SparkSession, path: str, partition: str) -> Iterator[tuple[date, str]]:
-    """The date partitions of a stored table, from the directory names alone."""
-    root, fs = _file_system(spark, path)
-    for status in fs.listStatus(root):
-        key, _, text = status.getPath().getName().partition("=")
-        if key == partition and text[:4].isdigit():
-            yield date.fromisoformat(text), status.getPath().toString()
-
-
-def drop_folder(spark: SparkSession, folder: str) -> None:
-    target, fs = _file_system(spark, folder)
-    fs.delete(target, True)
+    """The dates of a stored table and the folders they are kept in, newest first; no file is opened."""
+    latest = VersionedTable(spark, path, partition).latest()
+    for day in latest.days():
+        if day[:4].isdigit():
+            yield from ((date.fromisoformat(day), f"{path.rstrip('/')}/data/batch={b}/{partition}={day}") for b in latest.part(day).batches)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    target, fs = _file_system(spark, path)
-    return fs.exists(target)
+    return VersionedTable(spark, path).exists()

@@ -19,7 +19,7 @@ from fleetgauge.operators import (
 from fleetgauge.params import (
     AlertParams, BackupParams, JobParams, QueryStatsParams, RetentionParams,
 )
-from fleetgauge.plans import cycle
+from fleetgauge.plans import cycle, latest_state
 from fleetgauge.plans import reporting_views as rv
 from fleetgauge.plans import repository_views as pv
 from fleetgauge.sources import tables
@@ -64,6 +64,22 @@ def _landing_scan(i: Inputs) -> DataFrame:
     return tables.read_landing(i.spark, path, "raw_waits")
 
 
+@query("s3_quarantined_rows")
+def _quarantined(i: Inputs) -> DataFrame:
+    """JSON lines with values of another type, broken lines and lines without an instance among them."""
+    path, line = scratch(i, "lines"), F.to_json(F.struct(*i.raw_waits.columns))
+    tasks = F.col("waiting_tasks_count")
+    spoiled = (
+        F.when(tasks % 5 == 0, F.regexp_replace(line, '"wait_time_ms":-?[0-9]+', '"wait_time_ms":"n/a"'))
+        .when(tasks % 7 == 0, F.regexp_replace(line, ".$", "")).when(tasks % 11 == 0, F.regexp_replace(line, "InstanceId", "Id"))
+        .otherwise(line))
+    i.raw_waits.select(spoiled.alias("value")).write.text(path)
+    sound, bad = tables.read_checked(i.spark, path, "raw_waits", "json")
+    kept = sound.groupBy("InstanceId").agg(F.count(F.lit(1)).alias("RowCount"))
+    return kept.select("InstanceId", F.lit("sound").alias("Outcome"), "RowCount").unionByName(
+        bad.groupBy("InstanceId", F.col("Reason").alias("Outcome")).agg(F.count(F.lit(1)).alias("RowCount")))
+
+
 @query("s4_metric_sink")
 def _metric_sink(i: Inputs) -> DataFrame:
     path = scratch(i, "metrics")
@@ -145,6 +161,48 @@ put(
 )
 
 
+@query("i1_stored_register")
+def _stored_register(i: Inputs) -> DataFrame:
+    path = scratch(i, "inventory")
+    tables.open_table(i.spark, path, "MonitoredInstances").append(i.monitored_instances)
+    inventory.store_registration(i.spark, path, i.registrations, EVENTS_AS_OF)
+    return inventory.stored_instances(i.spark, path)
+
+
+@query("i2_stored_state")
+def _stored_state(i: Inputs) -> DataFrame:
+    path = scratch(i, "inventory")
+    tables.open_table(i.spark, path, "MonitoredInstances").append(i.monitored_instances)
+    inventory.store_state(i.spark, path, i.state_changes, EVENTS_AS_OF)
+    return inventory.stored_instances(i.spark, path)
+
+
+def _stored_runs(i: Inputs) -> str:
+    """Runs folded from events that came in two portions, finishes of half the runs in the second."""
+    events, path = scratch(i, "events"), scratch(i, "runs")
+    first = (F.col("EventType") == "start") | (F.col("CollectionRunId") % 2 == 0)
+    for portion in (i.run_events.filter(first), i.run_events.filter(~first)):
+        tables.write_run_events(portion, events)
+        runs.refresh_runs(i.spark, events, path)
+    return path
+
+
+put(i5_incremental_runs=lambda i: runs.read_runs(i.spark, _stored_runs(i)))
+
+
+def _stored_history(i: Inputs) -> str:
+    path = scratch(i, "history")
+    tables.open_table(i.spark, path, _HISTORY).append(i.collection_run_history.withColumn(
+        "started_date", F.when(F.col("FinishedAt").isNotNull(), F.col("StartedAt").cast("date"))))
+    return path
+
+
+put(
+    i8_stored_failures=lambda i: runs.stored_failures(i.spark, _stored_history(i), i.monitored_instances, ORDERS_AS_OF),
+    i9_stored_history=lambda i: runs.stored_history(i.spark, _stored_history(i), i.monitored_instances),
+)
+
+
 @query("m2_purged_table")
 def _purged(i: Inputs) -> DataFrame:
     path = scratch(i, "evidence")
@@ -370,3 +428,28 @@ put(
     v20_wait_pressure_current=_view(rv.wait_pressure_current),
     v21_agent_health_current=_view(rv.agent_health_current),
 )
+
+
+def _state(i: Inputs) -> DataFrame:
+    """The maintained state after three cycles' worth of captures, the last of them late."""
+    history, state, day = scratch(i, "history"), scratch(i, "state"), F.dayofmonth("capture_date")
+    for portion in (day < 10, day >= 20, (day >= 10) & (day < 20)):
+        tables.append(i.metric_snapshot.filter(portion), history, "capture_date")
+        latest_state.refresh(i.spark, history, state)
+    return latest_state.state_rows(i.spark, state)
+
+
+def _problem_queries(i: Inputs) -> DataFrame:
+    path = scratch(i, "evidence")
+    tables.append(i.metric_text_snapshot, path, "capture_date")
+    return pv.stored_problem_queries(i.spark, path, i.monitored_instances)
+
+
+put(
+    v1_from_state=lambda i: pv.latest_metrics(_state(i)),
+    v4_newest_first=_problem_queries,
+    v10_from_state=lambda i: rv.metric_latest(_state(i), i.monitored_instances),
+    v19_from_state=lambda i: rv.server_health_scorecard(
+        _state(i), i.collection_run_history, i.monitored_instances, ORDERS_AS_OF),
+    v20_from_state=lambda i: rv.wait_pressure_current(_state(i), i.monitored_instances),
+)

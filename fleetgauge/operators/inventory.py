@@ -6,14 +6,18 @@ The inventory is never joined with a broadcast hint: Spark broadcasts it while i
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetgauge import fixed_values as fv
 from fleetgauge.functions.timing import ntz
+from fleetgauge.sources import tables
+from fleetgauge.sources.versions import Snapshot
 
+_TABLE = "MonitoredInstances"
 _REGISTERED = ["EnvironmentName", "CollectionProfile", "ComplianceProfile", "SqlVersion", "Edition", "Notes"]
 _COLUMNS = ["InstanceId", "InstanceName", "EnvironmentName", "IsEnabled", "CollectionProfile", "ComplianceProfile",
             "SqlVersion", "Edition", "Notes", "CreatedAt", "ModifiedAt"]
@@ -142,3 +146,30 @@ def set_state(instances: DataFrame, changes: DataFrame, now: datetime) -> DataFr
         })
         .select(*_COLUMNS)
     )
+
+
+# --- The stored inventory ------------------------------------------------------------------------
+
+
+def stored_instances(spark: SparkSession, path: str) -> DataFrame:
+    return tables.read_table(spark, path, _TABLE)
+
+
+def store_registration(spark: SparkSession, path: str, registrations: DataFrame, now: datetime) -> Snapshot:
+    """Register in the stored inventory.  The new version is computed from the newest one and published only if that still
+    is the newest; otherwise it is computed again, so of two writers neither loses a name or numbers one twice."""
+    return _store(spark, path, lambda instances: register(instances, registrations, now))
+
+
+def store_seeds(spark: SparkSession, path: str, seeds: DataFrame, now: datetime) -> Snapshot:
+    return _store(spark, path, lambda instances: seed(instances, seeds, now))
+
+
+def store_state(spark: SparkSession, path: str, changes: DataFrame, now: datetime) -> Snapshot:
+    """Enable and disable in the stored inventory; an unknown name is an error and nothing is stored."""
+    return _store(spark, path, lambda instances: set_state(instances, changes, now))
+
+
+def _store(spark: SparkSession, path: str, change: Callable[[DataFrame], DataFrame]) -> Snapshot:
+    schema = tables.schema_of(_TABLE)
+    return tables.open_table(spark, path, _TABLE).replace_all(lambda base: change(base.read(schema)))

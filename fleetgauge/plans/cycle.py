@@ -185,13 +185,15 @@ def run_cycle(
     spark: SparkSession, landed: Mapping[str, DataFrame], instances: DataFrame, captured_at: datetime,
     metrics_path: str, evidence_path: str, events_path: str, params: CycleParams = CycleParams(),
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc).replace(tzinfo=None),
+    quarantined: Mapping[str, DataFrame] | None = None,
 ) -> None:
     """Run all collectors for the snapshots landed at ``captured_at``; every run's start and finish are stored as events.
 
     The start is stored before a collector works, so a run that never ends is seen as running.  An instance that
     fails its checks is recorded and leaves the others alone, and a collector that fails is recorded for all its
     instances and leaves the other collectors alone.  Repeating a cycle stores no row twice.  ``clock`` is the
-    zone-free time that finishes are stamped with; ``runs.stored_runs`` reads the runs back.
+    zone-free time that finishes are stamped with; ``runs.stored_runs`` reads the runs back.  ``quarantined`` has the rows
+    of landing tables that ``tables.read_checked`` could not read: their instances fail, with the number of such rows.
     """
     roster = inventory.capture_roster(instances, captured_at)
     current = {
@@ -202,7 +204,7 @@ def run_cycle(
         tables.write_run_events(runs.start_events(roster, collector), events_path)
         outcomes = roster.select(*SNAPSHOT, F.lit(None).cast("string").alias("ErrorMessage"))
         try:
-            sound, checked = runs.isolate_failures(current[source], rules(source), SNAPSHOT)
+            sound, checked = runs.isolate_failures(current[source], rules(source), SNAPSHOT, (quarantined or {}).get(source))
             outcomes = roster.join(checked.drop("RowsCollected"), SNAPSHOT, "left")
             build(sound).write(metrics_path, evidence_path, commit_key(collector, captured_at), [captured_at.date()])
         except Exception as error:  # noqa: BLE001 - one collector must not stop the others

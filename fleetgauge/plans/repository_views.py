@@ -6,13 +6,15 @@ from datetime import date
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetgauge import fixed_values as fv
 from fleetgauge.functions.ranking import newest_per, top_overall
 from fleetgauge.operators.runs import row_counts
+from fleetgauge.sources import tables
 from fleetgauge.sources.tables import since
+from fleetgauge.sources.versions import newest_first
 
 _NEWEST = ["CaptureTime", "MetricSnapshotId"]
 _NAMES = ["InstanceId", "InstanceName", "EnvironmentName"]
@@ -120,6 +122,18 @@ def top_problem_queries(evidence: DataFrame, instances: DataFrame, top: int = 50
     ).orderBy(F.col("CaptureTime").desc(), F.col("AvgCpuMs").desc(), F.col("AvgElapsedMs").desc(), key[-1])
 
 
+def stored_problem_queries(spark: SparkSession, evidence_path: str, instances: DataFrame, top: int = 500) -> DataFrame:
+    """``top_problem_queries`` of the stored evidence.  The order starts with the capture time, so dates are added from the
+    newest on until they hold enough statements; older dates are neither listed nor opened."""
+    evidence = tables.open_table(spark, evidence_path, "MetricTextSnapshot").latest()
+
+    def matching(rows: DataFrame) -> DataFrame:
+        return _evidence_of(fv.QUERY_STATS, rows, instances).select("MetricTextSnapshotId").distinct()
+
+    newest = newest_first(evidence, tables.schema_of("MetricTextSnapshot"), top, matching)
+    return top_problem_queries(newest, instances, top)
+
+
 def wait_stats_summary(evidence: DataFrame, instances: DataFrame) -> DataFrame:
     return _evidence_of(fv.WAIT_STATS, evidence, instances).select(
         "MetricTextSnapshotId", *_NAMES, "CaptureTime", "DetailType", "Severity", "NumericValue1", "NumericValue2",

@@ -9,9 +9,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from datetime import date, datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fleetgauge import schemas
 from fleetgauge.functions.shaping import stored_evidence, stored_metrics
@@ -67,6 +70,41 @@ def read_landing(spark: SparkSession, path: str, table: str, file_format: str =
     return reader.format(file_format).load(path)
 
 
+_UNREADABLE = "_unreadable"
+
+
+def read_checked(spark: SparkSession, path: str, table: str, file_format: str = "parquet") -> tuple[DataFrame, DataFrame]:
+    """A landed snapshot table as (sound rows, quarantined rows).
+
+    Quarantined are JSON lines and CSV rows that are malformed or hold a value of another type, and rows of any format
+    without instance or capture time: LandingTable, InstanceId and CaptureTime as far as they could be read, Reason, and the
+    row as it came.  A quarantined row is never among the sound ones, not even in part.
+    """
+    schema = schemas.LANDING_TABLES[table]
+    checked, options = f"{schema}, {_UNREADABLE} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNREADABLE}
+    # Every field is parsed, whichever are asked for: readers that leave fields out do not see what is wrong with them.
+    if file_format == "json":
+        lines = spark.read.text(path).filter(F.trim("value") != "")
+        rows = lines.select(F.from_json("value", checked, options).alias("row")).select("row.*")
+    elif file_format == "csv":
+        fields = StructType.fromDDL(schema).fields
+        texts = ", ".join(f"{f.name} string" for f in fields)
+        read = spark.read.schema(f"{texts}, {_UNREADABLE} string").options(**options, header=True, enforceSchema=False).csv(path)
+        typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in fields}
+        wrong = reduce(or_, (F.col(n).isNotNull() & value.isNull() for n, value in typed.items()))
+        row = F.coalesce(_UNREADABLE, F.when(wrong, F.to_json(F.struct(*typed))))
+        rows = read.select(*(value.alias(n) for n, value in typed.items()), row.alias(_UNREADABLE))
+    else:
+        rows = spark.read.schema(schema).format(file_format).load(path).withColumn(_UNREADABLE, F.lit(None).cast("string"))
+    names = [c for c in rows.columns if c != _UNREADABLE]
+    unnamed = F.col("InstanceId").isNull() | F.col("CaptureTime").isNull()
+    reason = F.when(F.col(_UNREADABLE).isNotNull(), "row cannot be read").when(unnamed, "instance or capture time is missing")
+    quarantined = rows.filter(F.col(_UNREADABLE).isNotNull() | unnamed).select(
+        F.lit(table).alias("LandingTable"), "InstanceId", "CaptureTime", reason.alias("Reason"),
+        F.coalesce(_UNREADABLE, F.to_json(F.struct(*names))).alias("Row"))
+    return rows.filter(F.col(_UNREADABLE).isNull() & ~unnamed).select(*names), quarantined
+
+
 def land(rows: DataFrame, path: str) -> None:
     """Land snapshot rows by capture date, so that collecting reads only the dates it needs."""
     rows.withColumn("capture_date", F.col("CaptureTime").cast("date")).write.mode("append").partitionBy("capture_date").parquet(path)

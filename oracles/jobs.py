@@ -12,6 +12,13 @@ ORACLES["s2_enabled_profiles"] = (
     f"SELECT InstanceId, InstanceName, {_EFFECTIVE} AS ComplianceProfile FROM {{monitored_instances}} WHERE IsEnabled"
 )
 ORACLES["s3_landing_scan"] = "SELECT * FROM {raw_waits}"
+ORACLES["s3_quarantined_rows"] = """
+WITH landed AS (
+  SELECT InstanceId, CASE WHEN waiting_tasks_count % 5 = 0 THEN 1 WHEN waiting_tasks_count % 7 = 0 THEN 2
+                          WHEN waiting_tasks_count % 11 = 0 THEN 3 ELSE 0 END AS spoiled FROM {raw_waits})
+SELECT if(spoiled > 1, NULL, InstanceId) AS InstanceId, count(*) AS RowCount,
+       CASE spoiled WHEN 0 THEN 'sound' WHEN 3 THEN 'instance or capture time is missing' ELSE 'row cannot be read' END AS Outcome
+FROM landed GROUP BY ALL"""
 ORACLES["i1_register"] = """
 WITH r AS (SELECT * FROM {registrations}), m AS (SELECT * FROM {monitored_instances}),
 added AS (
@@ -247,3 +254,9 @@ SELECT InstanceId, CaptureTime, NULL::VARCHAR AS DatabaseName, 'SqlAgentAlert' A
        'Collect-SqlAgentAlerts' AS SourceCollector FROM reported"""
 ORACLES["c63_issue_evidence"] = _ISSUES + _ALERT_EVIDENCE
 ORACLES["c63_trigger_evidence"] = _FIRED + _ALERT_EVIDENCE
+
+# --- the same from stored tables -----------------------------------------------------------------
+
+for stored, plain in (("i1_stored_register", "i1_register"), ("i2_stored_state", "i2_set_state"), ("i5_incremental_runs", "i5_run_lifecycle"),
+                      ("i8_stored_failures", "i8_collection_failures"), ("i9_stored_history", "i9_recent_history")):
+    ORACLES[stored] = ORACLES[plain]

@@ -275,3 +275,9 @@ SELECT i.InstanceId, i.InstanceName, i.EnvironmentName, r.* EXCLUDE (InstanceId)
               OR greatest(CPUWaitMsPerSecond, IOWaitMsPerSecond, LogIOWaitMsPerSecond) >= 100 THEN 'Warning'
             ELSE 'Healthy' END AS WaitHealth
 FROM {monitored_instances} i LEFT JOIN rates r ON r.InstanceId = i.InstanceId WHERE i.IsEnabled"""
+
+# --- the same from the maintained state and from stored tables ------------------------------------
+
+for stored, plain in (("v1_from_state", "v1_latest_metrics"), ("v4_newest_first", "v4_top_problem_queries"), ("v10_from_state", "v10_metric_latest"),
+                      ("v19_from_state", "v19_server_health_scorecard"), ("v20_from_state", "v20_wait_pressure_current")):
+    ORACLES[stored] = ORACLES[plain]

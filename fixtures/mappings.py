@@ -218,10 +218,13 @@ FROM {{events}}"""
 
 MAPPINGS["raw_sessions"] = f"""
 SELECT cast(user_id % 10 AS int) AS InstanceId, {_MONTH} AS CaptureTime, event_id AS session_id,
-       CASE WHEN event_id % 41 = 0 THEN NULL ELSE event_type END AS login_name,
-       CASE WHEN event_id % 137 = 0 THEN '' ELSE concat('host', cast(event_id % 137 AS string)) END AS host_name,
-       CASE event_id % 6 WHEN 0 THEN 'dbatools module' WHEN 1 THEN 'PowerShell' WHEN 2 THEN '' WHEN 3 THEN NULL
-            ELSE concat('app', cast(event_id % 11 AS string)) END AS program_name,
+       CASE WHEN event_id % 41 = 0 THEN NULL WHEN event_id % 4 = 1 THEN upper(event_type) WHEN event_id % 7 = 2 THEN concat(event_type, ' ')
+            ELSE event_type END AS login_name,
+       CASE WHEN event_id % 137 = 0 THEN '' WHEN event_id % 139 = 0 THEN '  '
+            ELSE concat(CASE WHEN event_id % 3 = 0 THEN 'HOST' ELSE 'host' END, cast(event_id % 137 AS string)) END AS host_name,
+       CASE event_id % 6 WHEN 0 THEN CASE WHEN event_id % 4 = 0 THEN 'DbaTools Module' ELSE 'dbatools module' END
+            WHEN 1 THEN 'PowerShell' WHEN 2 THEN '' WHEN 3 THEN NULL
+            ELSE concat('app', cast(event_id % 11 AS string), CASE WHEN event_id % 5 = 2 THEN '  ' ELSE '' END) END AS program_name,
        cast(event_id % 12 AS int) AS database_id,
        CASE WHEN event_id % 12 > 9 THEN NULL ELSE concat('db', cast(event_id % 12 AS string)) END AS database_name,
        event_id % 9 <> 0 AS is_user_process
@@ -234,7 +237,8 @@ SELECT cast(e.user_id % 10 AS int) AS InstanceId, {_MONTH} AS CaptureTime,
        {request} AS request_id,
        CASE WHEN e.event_id % 8 = 3 THEN e.event_id - 1 - e.event_id % 3
             WHEN e.event_id % 8 = 5 THEN NULL ELSE 0 END AS blocking_session_id,
-       CASE WHEN e.event_id % 12 > 9 THEN NULL ELSE concat('db', cast(e.event_id % 12 AS string)) END AS database_name,
+       CASE WHEN e.event_id % 12 > 9 THEN NULL
+            ELSE concat(CASE WHEN e.event_id % 7 = 3 THEN 'DB' ELSE 'db' END, cast(e.event_id % 12 AS string)) END AS database_name,
        CASE WHEN e.event_id % 3 = 0 THEN 'suspended' ELSE 'running' END AS status,
        CASE WHEN e.event_id % 13 = 0 THEN NULL ELSE 'SELECT' END AS command,
        CASE WHEN e.event_id % 5 < 3 THEN NULL ELSE 'LCK_M_S' END AS wait_type,

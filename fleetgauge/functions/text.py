@@ -23,6 +23,11 @@ def empty_to(value: Column, default: str) -> Column:
     return F.coalesce(F.nullif(value, F.lit("")), F.lit(default))
 
 
+def name_key(name: Column) -> Column:
+    """What names are compared by: as under the servers' usual collation, case and blanks at the end do not count."""
+    return F.lower(F.rtrim(name))
+
+
 def one_line(statement: Column, limit: int | None) -> Column:
     """Carriage returns and line feeds become blanks; ``limit`` bounds the stored text, None keeps it whole."""
     # One character replaces one, so cutting first gives the same text for less work.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fleetgauge import fixed_values as fv
 from fleetgauge.functions.ranking import top_per
 from fleetgauge.functions.shaping import SNAPSHOT, metric_rows, to_metrics
-from fleetgauge.functions.text import UNKNOWN, empty_to
+from fleetgauge.functions.text import UNKNOWN, name_key
 from fleetgauge.params import ConnectionParams
 
 CATEGORY = "Connection"
@@ -16,7 +16,11 @@ BREAKDOWNS = ("Login", "Host", "Application", "Database")
 
 
 def session_groups(sessions: DataFrame) -> DataFrame:
-    """Session count per snapshot, breakdown type and raw key: the one shuffle all results share."""
+    """Session count per snapshot, breakdown type and key, which all results share.
+
+    Names are one key whatever their case and blanks at the end; the label is the first of their spellings.  Sessions are
+    counted by spelling first, in a hash aggregation; only the spellings are then brought together.
+    """
     keys = [
         ("Login", F.col("login_name"), F.col("login_name")),
         ("Host", F.col("host_name"), F.col("host_name")),
@@ -27,14 +31,14 @@ def session_groups(sessions: DataFrame) -> DataFrame:
         F.struct(F.lit(kind).alias("BreakdownType"), key.alias("GroupKey"), label.alias("Label"))
         for kind, key, label in keys
     ]))
-    # The label is a function of the key within a snapshot, so grouping by both keeps the grain
-    # and lets the count stay a hash aggregate.
-    return (
+    spelled = (
         sessions.filter("is_user_process")
         .select(*SNAPSHOT, long)
         .groupBy(*SNAPSHOT, "BreakdownType", "GroupKey", "Label")
         .agg(F.count(F.lit(1)).alias("SessionCount"))
     )
+    return spelled.groupBy(*SNAPSHOT, "BreakdownType", name_key(F.col("GroupKey")).alias("GroupKey")).agg(
+        F.min("Label").alias("Label"), F.sum("SessionCount").alias("SessionCount"))
 
 
 def session_summary(groups: DataFrame, roster: DataFrame) -> DataFrame:
@@ -55,10 +59,10 @@ def session_summary(groups: DataFrame, roster: DataFrame) -> DataFrame:
 def session_breakdown(
     groups: DataFrame, kinds: tuple[str, ...] = BREAKDOWNS, params: ConnectionParams = ConnectionParams(),
 ) -> DataFrame:
-    """The largest groups of each kind, blanks labelled after grouping on the raw key."""
+    """The largest groups of each kind, blanks labelled after grouping."""
     large = groups.filter(F.col("BreakdownType").isin(*kinds) & (F.col("SessionCount") >= params.min_sessions))
     label = F.when(F.col("BreakdownType") == "Database", F.coalesce("Label", F.lit(UNKNOWN))).otherwise(
-        empty_to(F.col("Label"), "(blank)")
+        F.when(F.col("GroupKey") != "", F.col("Label")).otherwise("(blank)")
     )
     top = top_per(
         large, [*SNAPSHOT, "BreakdownType"], [F.col("SessionCount").desc()], ["GroupKey"], params.max_breakdown_rows,

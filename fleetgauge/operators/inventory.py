@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetgauge import fixed_values as fv
+from fleetgauge.functions.text import name_key
 from fleetgauge.functions.timing import ntz
 from fleetgauge.sources import tables
 from fleetgauge.sources.versions import Snapshot
@@ -54,14 +55,9 @@ def list_instances(instances: DataFrame, status: str = "All") -> DataFrame:
     return instances.filter(conditions[status]).select(*_COLUMNS).orderBy("EnvironmentName", "InstanceName")
 
 
-def same_name(name: Column) -> Column:
-    """What names are compared by: case and blanks at the end do not tell them apart."""
-    return F.lower(F.rtrim(name))
-
-
 def _named_once(rows: DataFrame) -> DataFrame:
     """The rows with what their name is compared by in ``_name``; a name that occurs twice is an error."""
-    keyed = rows.withColumn("_name", same_name(F.col("InstanceName")))
+    keyed = rows.withColumn("_name", name_key(F.col("InstanceName")))
     count = F.count(F.lit(1)).over(Window.partitionBy("_name"))
     repeated = F.raise_error(F.concat(F.lit("name occurs more than once: "), F.col("_name")))
     return keyed.withColumn("_name", F.when(count > 1, repeated).otherwise(F.col("_name")))
@@ -77,7 +73,7 @@ def register(instances: DataFrame, registrations: DataFrame, now: datetime) -> D
     updates = checked.drop("InstanceName").withColumnsRenamed({c: f"_{c}" for c in _REGISTERED}).withColumn(
         "_registered", F.lit(True))
     found = F.col("_registered").isNotNull()
-    known = instances.withColumn("_name", same_name(F.col("InstanceName"))).join(updates, "_name", "left").select(
+    known = instances.withColumn("_name", name_key(F.col("InstanceName"))).join(updates, "_name", "left").select(
         "InstanceId", "InstanceName",
         *(F.when(found, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in _REGISTERED),
         (found | F.col("IsEnabled")).alias("IsEnabled"),
@@ -104,7 +100,7 @@ def _new_instances(instances: DataFrame, registrations: DataFrame, now: datetime
 
     Names are spread over 256 buckets by hash; a bucket starts where the ones before it end.
     """
-    known = instances.select(same_name(F.col("InstanceName")).alias("_name"))
+    known = instances.select(name_key(F.col("InstanceName")).alias("_name"))
     absent = registrations.join(known, "_name", "left_anti").withColumn(
         "_bucket", F.substring(F.md5("InstanceName"), 1, 2)
     )
@@ -122,8 +118,8 @@ def _new_instances(instances: DataFrame, registrations: DataFrame, now: datetime
 
 
 def unknown_names(instances: DataFrame, changes: DataFrame) -> DataFrame:
-    known = instances.select(same_name(F.col("InstanceName")).alias("_name"))
-    return changes.withColumn("_name", same_name(F.col("InstanceName"))).join(known, "_name", "left_anti").select("InstanceName")
+    known = instances.select(name_key(F.col("InstanceName")).alias("_name"))
+    return changes.withColumn("_name", name_key(F.col("InstanceName"))).join(known, "_name", "left_anti").select("InstanceName")
 
 
 def set_state(instances: DataFrame, changes: DataFrame, now: datetime) -> DataFrame:
@@ -135,7 +131,7 @@ def set_state(instances: DataFrame, changes: DataFrame, now: datetime) -> DataFr
         .otherwise(F.concat(notes, F.lit(" | "), reason))
     )
     unknown = F.raise_error(F.concat(F.lit("instance is not registered: "), F.col("_name")))
-    known = instances.withColumn("_name", same_name(F.col("InstanceName")))
+    known = instances.withColumn("_name", name_key(F.col("InstanceName")))
     return (
         known.join(_named_once(changes).select("_name", "State", "Reason"), "_name", "full")
         .withColumns({

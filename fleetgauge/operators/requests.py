@@ -37,10 +37,10 @@ TOTALS = {
 
 def foreign_sessions(sessions: DataFrame, monitor: MonitorIdentity = MonitorIdentity()) -> DataFrame:
     """User sessions that are not the monitoring's own."""
-    program = F.coalesce("program_name", F.lit(""))
-    others = [~program.contains(p) for p in monitor.programs]
+    program = F.lower(F.coalesce("program_name", F.lit("")))
+    others = [~program.contains(p.lower()) for p in monitor.programs]
     if monitor.login is not None:
-        others.append(F.coalesce("login_name", F.lit("")) != monitor.login)
+        others.append(text.name_key(F.coalesce("login_name", F.lit(""))) != text.name_key(F.lit(monitor.login)))
     return sessions.filter(reduce(and_, others, F.col("is_user_process"))).select(
         *SNAPSHOT, "session_id", F.col("login_name").alias("LoginName"), F.col("host_name").alias("HostName"),
         F.col("program_name").alias("ProgramName"),
@@ -104,34 +104,35 @@ def expensive_requests(base: DataFrame, params: RequestParams = RequestParams())
 def request_attribution(
     base: DataFrame, kinds: tuple[str, ...] = ATTRIBUTIONS, params: RequestParams = RequestParams(),
 ) -> DataFrame:
-    """Totals by database, host, program and login, from one pre-aggregated pass."""
+    """Totals by database, host, program and login, from one pre-aggregated pass.  Spellings of a name that differ in case or
+    blanks at the end are one group, shown by the first of them."""
     sources = {"Database": "DatabaseName", "Host": "HostName", "Program": "ProgramName", "Login": "LoginName"}
     combinations = base.groupBy(*SNAPSHOT, *sources.values(), "wait_type").agg(
         F.count(F.lit(1)).alias("_requests"),
         F.count_if(F.col("blocking_session_id") != 0).alias("_blocked"),
         *(F.sum(column).alias(column) for column in TOTALS.values()),
     )
+    shown = {k: F.when(F.rtrim(sources[k]) != "", F.col(sources[k])).otherwise(text.UNKNOWN) for k in kinds}
     labels = F.inline(F.array(*[
-        F.struct(F.lit(f"ActiveRequestBy{k}").alias("DetailType"),
-                 text.empty_to(F.col(sources[k]), text.UNKNOWN).alias("GroupValue"))
-        for k in kinds
+        F.struct(F.lit(f"ActiveRequestBy{k}").alias("DetailType"), text.name_key(name).alias("GroupKey"), name.alias("GroupValue"))
+        for k, name in shown.items()
     ]))
-    labelled, key = combinations.select("*", labels), [*SNAPSHOT, "DetailType", "GroupValue"]
+    labelled, key = combinations.select("*", labels), [*SNAPSHOT, "DetailType", "GroupKey"]
     groups = labelled.groupBy(*key).agg(
         F.sum("_requests").alias("ActiveRequestCount"),
         *(F.sum(column).alias(name) for name, column in TOTALS.items()),
         F.sum("_blocked").alias("BlockedRequestCount"),
     )
     order = [F.col(c).desc() for c in ("TotalCpuMs", "TotalElapsedMs", "TotalLogicalReads")]
-    top = top_per(groups, [*SNAPSHOT, "DetailType"], order, ["GroupValue"], params.max_attribution_rows)
+    top = top_per(groups, [*SNAPSHOT, "DetailType"], order, ["GroupKey"], params.max_attribution_rows)
     # Text maxima need a sort, so only the chosen groups get samples.
     samples = labelled.join(top.select(*key), key, "left_semi").groupBy(*key).agg(
-        F.max("wait_type").alias("SampleWaitType"),
+        F.min("GroupValue").alias("GroupValue"), F.max("wait_type").alias("SampleWaitType"),
         F.max("DatabaseName").alias("SampleDatabaseName"),
         F.max("HostName").alias("SampleHostName"),
         F.max("ProgramName").alias("SampleProgramName"),
     )
-    return top.join(samples, key)
+    return top.join(samples, key).drop("GroupKey")
 
 
 def repeated_requests(base: DataFrame, requests: DataFrame, params: RequestParams = RequestParams()) -> DataFrame:

@@ -46,8 +46,8 @@ UNPIVOT (v FOR CounterName IN (SqlProcessCpuPercent, SystemCpuPercent, SystemIdl
 # --- connections ---------------------------------------------------------------------------------
 
 ORACLES["c6_session_summary"] = """
-WITH s AS (SELECT InstanceId, CaptureTime, count(*) AS n, count(DISTINCT nullif(login_name, '')) AS l,
-                  count(DISTINCT nullif(host_name, '')) AS h, count(DISTINCT nullif(program_name, '')) AS a
+WITH s AS (SELECT InstanceId, CaptureTime, count(*) AS n, count(DISTINCT nullif(lower(rtrim(login_name)), '')) AS l,
+                  count(DISTINCT nullif(lower(rtrim(host_name)), '')) AS h, count(DISTINCT nullif(lower(rtrim(program_name)), '')) AS a
            FROM {raw_sessions} WHERE is_user_process GROUP BY ALL)
 SELECT InstanceId, CaptureTime, coalesce(n, 0)::BIGINT AS TotalUserSessions, coalesce(l, 0)::BIGINT AS DistinctLogins,
        coalesce(h, 0)::BIGINT AS DistinctHosts, coalesce(a, 0)::BIGINT AS DistinctApplications
@@ -58,21 +58,22 @@ def _breakdown(kind: str, key: str, label: str) -> str:
     return f"""
 SELECT InstanceId, CaptureTime, '{kind}' AS BreakdownType, {label} AS BreakdownValue, n::BIGINT AS SessionCount,
        (row_number() OVER (PARTITION BY InstanceId, CaptureTime ORDER BY n DESC, k::VARCHAR NULLS FIRST))::INT AS rn
-FROM (SELECT InstanceId, CaptureTime, {key} AS k, max(database_name) AS d, count(*) AS n FROM {{raw_sessions}}
+FROM (SELECT InstanceId, CaptureTime, lower(rtrim({key}::VARCHAR)) AS k, min({key}::VARCHAR) AS s, max(database_name) AS d,
+             count(*) AS n FROM {{raw_sessions}}
       WHERE is_user_process GROUP BY 1, 2, 3 HAVING count(*) > 1) g
 QUALIFY rn <= 100"""
 
 
-ORACLES["c7_sessions_by_login"] = _breakdown("Login", "login_name", "coalesce(nullif(k, ''), '(blank)')")
-ORACLES["c8_sessions_by_host"] = _breakdown("Host", "host_name", "coalesce(nullif(k, ''), '(blank)')")
-ORACLES["c9_sessions_by_application"] = _breakdown("Application", "program_name", "coalesce(nullif(k, ''), '(blank)')")
+ORACLES["c7_sessions_by_login"] = _breakdown("Login", "login_name", "if(k <> '', s, '(blank)')")
+ORACLES["c8_sessions_by_host"] = _breakdown("Host", "host_name", "if(k <> '', s, '(blank)')")
+ORACLES["c9_sessions_by_application"] = _breakdown("Application", "program_name", "if(k <> '', s, '(blank)')")
 ORACLES["c10_sessions_by_database"] = _breakdown("Database", "database_id", "coalesce(d, '(unknown)')")
 
 # --- blocking ------------------------------------------------------------------------------------
 
 _FOREIGN = """foreign_sessions AS (
   SELECT InstanceId, CaptureTime, session_id, login_name, host_name, program_name FROM {raw_sessions}
-  WHERE is_user_process AND NOT regexp_matches(coalesce(program_name, ''), 'dbatools|PowerShell'))"""
+  WHERE is_user_process AND NOT regexp_matches(lower(coalesce(program_name, '')), 'dbatools|powershell'))"""
 
 _BLOCKED = "WITH " + _FOREIGN + """,
 all_blocked AS (
@@ -100,8 +101,8 @@ SELECT InstanceId, CaptureTime, coalesce(database_name, '(unknown)') AS Database
          'DatabaseName: ' || coalesce(database_name, '(unknown)'), 'WaitType: ' || coalesce(wait_type, '(unknown)'),
          'WaitTimeMs: ' || coalesce(wait_time, 0), 'WaitSeconds: ' || sec, 'Status: ' || status,
          'Command: ' || coalesce(command, '(unknown)'), 'LoginName: ' || coalesce(login_name, '(unknown)'),
-         'HostName: ' || coalesce(nullif(host_name, ''), '(unknown)'),
-         'ProgramName: ' || coalesce(nullif(program_name, ''), '(unknown)'),
+         'HostName: ' || if(regexp_matches(host_name, '\\S'), host_name, '(unknown)'),
+         'ProgramName: ' || if(regexp_matches(program_name, '\\S'), program_name, '(unknown)'),
          'SQL text: ' || if(regexp_matches(sql_text, '\\S'), sql_text, '(unavailable)')) AS Details,
        'Collect-Blocking' AS SourceCollector FROM blocked"""
 
@@ -251,15 +252,16 @@ ORACLES["c22_expensive_requests"] = _EXPENSIVE + "SELECT * FROM expensive"
 
 
 def _attribution(kind: str, column: str) -> str:
+    shown = f"if(rtrim({column}) <> '', {column}, '(unknown)')"
     return f"""
-  SELECT InstanceId, CaptureTime, 'ActiveRequestBy{kind}' AS DetailType, coalesce(nullif({column}, ''), '(unknown)') AS GroupValue,
+  SELECT InstanceId, CaptureTime, 'ActiveRequestBy{kind}' AS DetailType, min({shown}) AS GroupValue,
          count(*) AS ActiveRequestCount, sum(cpu_time)::BIGINT AS TotalCpuMs, sum(total_elapsed_time)::BIGINT AS TotalElapsedMs,
          sum(logical_reads)::BIGINT AS TotalLogicalReads, sum(reads)::BIGINT AS TotalReads, sum(writes)::BIGINT AS TotalWrites,
          count(*) FILTER (blocking_session_id <> 0) AS BlockedRequestCount, max(wait_type) AS SampleWaitType,
          max(DatabaseName) AS SampleDatabaseName, max(HostName) AS SampleHostName, max(ProgramName) AS SampleProgramName,
          (row_number() OVER (PARTITION BY InstanceId, CaptureTime ORDER BY sum(cpu_time) DESC, sum(total_elapsed_time) DESC,
-            sum(logical_reads) DESC, GroupValue))::INT AS rn
-  FROM active GROUP BY InstanceId, CaptureTime, GroupValue QUALIFY rn <= 25"""
+            sum(logical_reads) DESC, lower(rtrim({shown}))))::INT AS rn
+  FROM active GROUP BY InstanceId, CaptureTime, lower(rtrim({shown})) QUALIFY rn <= 25"""
 
 
 _KEYS = {"Database": "DatabaseName", "Host": "HostName", "Program": "ProgramName", "Login": "LoginName"}
@@ -330,9 +332,9 @@ _TWICE = _EVIDENCE.format(
 ORACLES["c28_repeated_evidence"] = _REPEATED + _TWICE
 ORACLES["s7_evidence_rendering"] = """
 SELECT InstanceId, CaptureTime, session_id,
-       'Login: ' || coalesce(nullif(trim(login_name), ''), '(unknown)') || chr(10) ||
-       'Host: ' || coalesce(nullif(trim(host_name), ''), '(unknown)') || chr(10) ||
-       'Program: ' || coalesce(nullif(trim(program_name), ''), '(none)') || chr(10) ||
+       'Login: ' || if(trim(login_name) <> '', login_name, '(unknown)') || chr(10) ||
+       'Host: ' || if(trim(host_name) <> '', host_name, '(unknown)') || chr(10) ||
+       'Program: ' || if(trim(program_name) <> '', program_name, '(none)') || chr(10) ||
        'Database: ' || coalesce(database_name, '') AS Details
 FROM {raw_sessions}"""
 ORACLES["s8_fan_out"] = _ATTRIBUTED.rstrip() + _SUMMED[len(_PLAIN):].rstrip() + _EXPENSIVE[len(_ACTIVE):].rstrip() + (

@@ -389,3 +389,30 @@ def test_alert_lists_issues_and_triggers(spark):
     summary = by(agent_alerts.alert_summary(flagged, roster(spark, 1, 2)))
     assert (summary[1].TotalAlerts, summary[1].AlertsTriggeredRecently, summary[1].AlertsWithNotifications) == (4, 2, 1)
     assert summary[2].TotalAlerts == 0 and summary[2].MaxOccurrenceCount == 0
+
+
+def test_names_are_one_whatever_their_case_and_blanks_at_the_end(spark):
+    names = ["App", "app  ", "APP", " app", "", "  ", None, None]
+    rows = [{"session_id": n, "login_name": name, "host_name": name, "program_name": name, "database_id": 1, "database_name": "d",
+             "is_user_process": True} for n, name in enumerate(names)]
+    groups = connections.session_groups(landing(spark, "raw_sessions", rows))
+    summary = by(connections.session_summary(groups, roster(spark, 1)))[1]
+    assert (summary.TotalUserSessions, summary.DistinctLogins, summary.DistinctHosts, summary.DistinctApplications) == (8, 2, 2, 2)
+    for kind in ("Login", "Host", "Application"):
+        large = connections.session_breakdown(groups, (kind,)).collect()
+        assert sorted((r.BreakdownValue, r.SessionCount) for r in large) == [("(blank)", 2), ("(blank)", 2), ("APP", 3)]
+
+
+def test_attribution_and_the_own_sessions_do_not_depend_on_spelling(spark):
+    names = ["Big", "BIG ", "big", " ", None]
+    asked = [{"session_id": n, "request_id": 0, "database_name": name, "cpu_time": 1} for n, name in enumerate(names)]
+    who = [{"session_id": n, "is_user_process": True, "login_name": name, "host_name": name, "program_name": name} for n, name in enumerate(names)]
+    own = [{"session_id": 10, "is_user_process": True, "login_name": "WATCHER "}, {"session_id": 11, "is_user_process": True, "program_name": "powershell 7"}]
+    seen = landing(spark, "raw_sessions", who + own)
+    assert {r.session_id for r in requests.foreign_sessions(seen, MonitorIdentity(login="watcher")).collect()} == set(range(5))
+    base = requests.active_requests(landing(spark, "raw_requests", asked), seen)
+    found = requests.request_attribution(base).collect()
+    assert len(found) == 8
+    for kind in ("Database", "Host", "Program", "Login"):
+        mine = {r.GroupValue: r.ActiveRequestCount for r in found if r.DetailType == f"ActiveRequestBy{kind}"}
+        assert mine == {"BIG ": 3, "(unknown)": 2}

@@ -21,7 +21,7 @@ How it is spread:
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +29,16 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.common import Scratch, batch, id_crc, table
+from fleetgauge.llm.common import Scratch, batch, columns, id_crc, table
 
 DEPTH = 5
 _PAD = b"\n" * DEPTH
-_CHUNK = 2_000_000  # bytes whose grams are sorted at once
+_CHUNK = 250_000  # bytes whose grams are sorted at once
+_HELD = 1_000_000  # grams a task holds before it sends them
+_TREE = 60_000  # grams whose trees are computed at once, beyond which whole two-byte contexts are not put together
 _COUNTED = pa.schema([("word", pa.binary()), ("gram", pa.int64()), ("n_train", pa.int64()), ("n_all", pa.int64())])
 _SCORED = pa.schema([
-    ("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64()), ("known", pa.int64()), ("word_logs", pa.float64()),
+    ("row", pa.int64()), ("whole", pa.bool_()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_bytes", pa.int64()), ("known", pa.int64()), ("word_logs", pa.float64()),
     ("gram_logs", pa.float64()), ("words", pa.list_(pa.binary())), ("times", pa.list_(pa.int32())),
     ("grams", pa.list_(pa.int64()))])
 
@@ -45,15 +47,21 @@ def stream(words: list[bytes]) -> bytes:
     return b" ".join(words) + b"\n"
 
 
-def grams(streams: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The (DEPTH + 1)-gram that ends at each byte of the streams, and where each stream's begin."""
-    joined = np.frombuffer(b"".join(x for s in streams for x in (_PAD, s)), np.uint8).astype(np.int64)
-    sizes = np.fromiter(map(len, streams), np.int64, len(streams))
+def pieces(text: bytes, size: int = _CHUNK) -> list[bytes]:
+    """A stream in pieces of at most ``size`` bytes, each after the ``DEPTH`` bytes before it."""
+    padded = _PAD + text
+    return [padded[at:at + size + DEPTH] for at in range(0, len(text), size)]
+
+
+def grams(padded: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The (DEPTH + 1)-gram that ends at each byte of the pieces but their first ``DEPTH``, and where each piece's begin."""
+    joined = np.frombuffer(b"".join(padded), np.uint8).astype(np.int64)
+    sizes = np.fromiter(map(len, padded), np.int64, len(padded)) - DEPTH
     found = np.zeros(len(joined) - DEPTH, np.int64)
     for i in range(DEPTH + 1):
         found <<= 8
         found |= joined[i:len(joined) - DEPTH + i]
-    # The grams that end within the padding of the next stream belong to none.
+    # The grams that end within the first bytes of the next piece belong to none.
     ends = np.cumsum(sizes + DEPTH) - DEPTH
     keep = np.ones(len(found), bool)
     for end in ends[:-1]:
@@ -61,8 +69,8 @@ def grams(streams: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return found[keep], np.cumsum(sizes) - sizes
 
 
-def _chunks(rows: list[tuple], size: int = _CHUNK) -> Iterator[list[tuple]]:
-    """Rows (..., stream) in groups of about as many bytes."""
+def _chunks(rows: Iterable[tuple], size: int = _CHUNK) -> Iterator[list[tuple]]:
+    """Rows (..., piece) in groups of about as many bytes."""
     held, out = 0, []
     for row in rows:
         out.append(row)
@@ -79,8 +87,8 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys, np.bincount(at, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
 
 
-def _count(limit: int):
-    """Distinct words and grams of a task with their counts, sent when ``limit`` of them are held."""
+def _count(limit: int, size: int):
+    """Distinct words and grams of a task with their counts, sent when ``limit`` words or ``_HELD`` grams are held."""
     def out(words: list[Counter], parts: list[list]) -> Iterator[pa.RecordBatch]:
         everything = Counter(words[0])
         everything.update(words[1])
@@ -105,21 +113,28 @@ def _count(limit: int):
 
     def work(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, parts = [Counter(), Counter()], [[], []]
-        for record in records:
-            rows = [(t, x.lower().split()) for t, x in
-                    zip(record.column("train").to_pylist(), record.column("text").to_pylist(), strict=True)]
+
+        def cut() -> Iterator[tuple[int, bytes]]:
+            for record in records:
+                for fold, text in columns(record, "train", "text"):
+                    tokens = text.lower().split()
+                    words[fold].update(tokens)
+                    yield from ((fold, piece) for piece in pieces(stream(tokens), size))
+
+        full = False
+        for some in _chunks(cut(), size):
             for fold in (0, 1):
-                mine = [w for t, w in rows if t == fold]
-                for w in mine:
-                    words[fold].update(w)
-                for some in _chunks([(stream(w),) for w in mine]):
-                    found, n = np.unique(grams([s for s, in some])[0], return_counts=True)
-                    parts[fold].append((found, n))
-                if len(parts[fold]) >= 8:
-                    parts[fold] = [_merged(parts[fold])]
-            if len(words[0]) + len(words[1]) > limit:
+                mine = [piece for f, piece in some if f == fold]
+                if mine:
+                    parts[fold].append(np.unique(grams(mine)[0], return_counts=True))
+            if sum(len(k) for p in parts for k, _ in p) > _HELD + _HELD // 2:
+                parts = [[_merged(p)] if p else [] for p in parts]
+                full = sum(len(p[0][0]) for p in parts if p) > _HELD
+            if full or len(words[0]) + len(words[1]) > limit:
                 yield from out(words, parts)
-                words, parts = [Counter(), Counter()], [[], []]
+                parts, full = [[], []], False
+                words[0].clear()
+                words[1].clear()
         yield from out(words, parts)
 
     return work
@@ -185,9 +200,19 @@ def _trees(found: np.ndarray, n: np.ndarray) -> list[Nodes]:
     return out
 
 
-def _read(records: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    held = [tuple(r.column(c).to_numpy() for c in ("gram", "n_train", "n_all")) for r in records]
-    return tuple(np.concatenate(x) if held else np.empty(0, np.int64) for x in (zip(*held, strict=True) if held else [[]] * 3))
+def _read(records: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows that come sorted by their two-byte context, in groups of whole contexts."""
+    held = [np.empty(0, np.int64)] * 3
+    for record in records:
+        held = [np.concatenate([h, record.column(c).to_numpy()]) for h, c in zip(held, ("gram", "n_train", "n_all"), strict=True)]
+        if len(held[0]) >= _TREE:
+            context = held[0] >> 8 & 65535
+            last = int(np.searchsorted(context, context[-1]))
+            if last:
+                yield tuple(h[:last] for h in held)
+                held = [h[last:] for h in held]
+    if len(held[0]):
+        yield tuple(held)
 
 
 _UPPER = pa.schema([("key", pa.int64()), ("zeros", pa.float64()), ("ones", pa.float64()), ("children", pa.float64())])
@@ -196,8 +221,7 @@ _VALUED = pa.schema([("gram", pa.int64()), ("n_all", pa.int64()), ("log10", pa.f
 
 def _upper(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What the depth-2 nodes of a partition add to the nodes of depth 1."""
-    found, n, _ = _read(records)
-    if len(found):
+    for found, n, _ in _read(records):
         nodes = _trees(found, n)[-1]
         keys, at = np.unique(((nodes.keys >> 8) & 255) << 8 | nodes.keys & 255, return_inverse=True)
         sums = [np.bincount(at, x, len(keys)) for x in (nodes.zeros, nodes.ones, nodes.weighted)]
@@ -231,17 +255,15 @@ class Top:
 
 def _value(top: Top):
     def work(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, n, all_ = _read(records)
-        if not len(found):
-            return
-        trees, chance = _trees(found, n), None
-        bit = ((found & 255)[:, None] >> (7 - np.arange(8))) & 1 == 1
-        for nodes in trees:
-            chance = nodes.chance(bit, chance)
-        logs = np.log10(top.chance(found, bit, trees[-1], chance)).sum(1)
-        for at in range(0, len(found), 50_000):
-            some = slice(at, at + 50_000)
-            yield pa.RecordBatch.from_arrays([pa.array(found[some]), pa.array(all_[some]), pa.array(logs[some])], schema=_VALUED)
+        for found, n, all_ in _read(records):
+            trees, chance = _trees(found, n), None
+            bit = ((found & 255)[:, None] >> (7 - np.arange(8))) & 1 == 1
+            for nodes in trees:
+                chance = nodes.chance(bit, chance)
+            logs = np.log10(top.chance(found, bit, trees[-1], chance)).sum(1)
+            for at in range(0, len(found), 50_000):
+                some = slice(at, at + 50_000)
+                yield pa.RecordBatch.from_arrays([pa.array(found[some]), pa.array(all_[some]), pa.array(logs[some])], schema=_VALUED)
 
     return work
 
@@ -259,67 +281,80 @@ def _frequent(counted: DataFrame, limit: int) -> DataFrame:
     return counted.filter(size >= least) if least is not None else counted.limit(0)
 
 
-def _score(shared: Broadcast):
+def _score(shared: Broadcast, size: int):
     def work(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         names, counts, keys, logs = shared.value
         words = dict(zip(names.to_pylist(), zip(np.log10(counts + 1).tolist(), (counts > 0).tolist(), strict=True), strict=True))
-        for record in records:
-            held = []
-            for doc_id, text in zip(record.column("doc_id").to_pylist(), record.column("text").to_pylist(), strict=True):
-                tokens = text.lower().split()
-                known, total, rare, times = 0, 0.0, [], []
-                for word, n in Counter(tokens).items():
-                    value = words.get(word)
-                    if value is None:
-                        rare.append(word)
-                        times.append(n)
-                    else:
-                        total += n * value[0]
-                        known += n * value[1]
-                held.append((doc_id, len(tokens) + 1, known, total, rare, times, stream(tokens)))
-            for some in _chunks(held):
-                found, starts = grams([x[-1] for x in some])
-                distinct, at = np.unique(found, return_inverse=True)
-                place = np.searchsorted(keys, distinct)
-                place[place == len(keys)] = 0
-                hit = keys[place] == distinct if len(keys) else np.zeros(len(distinct), bool)
-                value = np.where(hit, logs[place], 0.0).astype(float) if len(keys) else np.zeros(len(distinct))
-                sums = np.add.reduceat(value[at], starts)
-                missing = np.flatnonzero(~hit[at])
-                owner = np.searchsorted(starts, missing, "right") - 1
-                cuts = np.searchsorted(owner, np.arange(len(some) + 1))
-                rest = found[missing]
-                out = []
-                for i, (doc_id, n, known, total, rare, times, text) in enumerate(some):
+        def cut() -> Iterator[tuple]:
+            """A tuple per piece; the last piece of a text carries what is known of the text."""
+            nonlocal row
+            for record in records:
+                for doc_id, text in columns(record, "doc_id", "text"):
+                    tokens = text.lower().split()
+                    known, total, rare, times = 0, 0.0, [], []
+                    for word, n in Counter(tokens).items():
+                        value = words.get(word)
+                        if value is None:
+                            rare.append(word)
+                            times.append(n)
+                        else:
+                            total += n * value[0]
+                            known += n * value[1]
                     row += 1
-                    out.append((row, doc_id, n, len(text), known, total, float(sums[i]), rare, times, rest[cuts[i]:cuts[i + 1]].tolist()))
-                yield batch(_SCORED, out)
+                    whole = stream(tokens)
+                    parts = pieces(whole, size)
+                    for piece in parts[:-1]:
+                        yield row, False, doc_id, 0, 0, 0, 0.0, [], [], piece
+                    yield row, True, doc_id, len(tokens) + 1, len(whole), known, total, rare, times, parts[-1]
+
+        sum_before = 0.0  # of the earlier pieces of the text that is being read
+        for some in _chunks(cut(), size):
+            found, starts = grams([x[-1] for x in some])
+            distinct, at = np.unique(found, return_inverse=True)
+            place = np.searchsorted(keys, distinct)
+            place[place == len(keys)] = 0
+            hit = keys[place] == distinct if len(keys) else np.zeros(len(distinct), bool)
+            value = np.where(hit, logs[place], 0.0).astype(float) if len(keys) else np.zeros(len(distinct))
+            sums = np.add.reduceat(value[at], starts)
+            missing = np.flatnonzero(~hit[at])
+            owner = np.searchsorted(starts, missing, "right") - 1
+            cuts = np.searchsorted(owner, np.arange(len(some) + 1))
+            rest, out = found[missing], []
+            for i, (*told, rare, times, _) in enumerate(some):
+                here = rest[cuts[i]:cuts[i + 1]].tolist()
+                sum_before += float(sums[i])
+                out.append((*told, sum_before if told[1] else 0.0, rare, times, here))
+                if told[1]:
+                    sum_before = 0.0
+            yield batch(_SCORED, out)
 
     return work
 
 
 def score(docs: DataFrame, train: Column | None = None, *, id_col: str = "doc_id", text_col: str = "text",
-          max_words: int = 200_000, max_grams: int = 2_000_000, task_words: int = 2_000_000) -> DataFrame:
+          max_words: int = 200_000, max_grams: int = 2_000_000, task_words: int = 200_000,
+          piece_bytes: int = _CHUNK) -> DataFrame:
     """One row per input row: doc_id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     ``train``: which rows the model and the word counts learn from, all by default; null counts as false.  A token is a
     word or the end of a text.  Null and empty texts are an end alone.  Repeated rows are scored each.  If nothing is
-    learned from, every bit has probability one half and ``base_score`` is 0.  No rows give no rows.
+    learned from, every bit has probability one half and ``base_score`` is 0.  No rows give no rows.  Long texts are read in
+    pieces that overlap by ``DEPTH`` bytes, so no more than a piece is sorted at once.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "context-tree")
     fold = F.lit(True) if train is None else F.coalesce(train, F.lit(False))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), fold.cast("int").alias("train"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     counted = scratch.store(rows.select("text", "train").mapInArrow(
-        _count(task_words), "word binary, gram long, n_train long, n_all long"), "counted")
+        _count(task_words, piece_bytes), "word binary, gram long, n_train long, n_all long"), "counted")
     sums = [F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all")]
     words = scratch.store(counted.filter("word IS NOT NULL").groupBy("word").agg(*sums), "words")
     found = scratch.store(counted.filter("gram IS NOT NULL").groupBy("gram").agg(*sums), "grams")
 
     # All grams of a two-byte context in one partition; how many there are follows from the bytes, not from the corpus.
     placed = found.withColumn("context", F.shiftright("gram", 8).bitwiseAND(F.lit(65535))).repartition("context") \
-        .select("gram", "n_train", "n_all")
+        .sortWithinPartitions("context").select("gram", "n_train", "n_all")
     upper = placed.mapInArrow(_upper, "key long, zeros double, ones double, children double").groupBy("key").agg(
         *[F.sum(c).alias(c) for c in ("zeros", "ones", "children")])
     top = Top(upper.toArrow())  # at most 65,280 rows
@@ -337,8 +372,8 @@ def score(docs: DataFrame, train: Column | None = None, *, id_col: str = "doc_id
         top_words.column(0).combine_chunks(), top_words.column(1).to_numpy(), keys[order], logs[order]))
     del top_words, top_grams, keys, logs, order
     scored = scratch.store(rows.select("doc_id", "text").mapInArrow(
-        _score(shared),
-        "row long, doc_id long, n_tokens long, n_bytes long, known long, word_logs double, gram_logs double, words array<binary>, "
+        _score(shared, piece_bytes),
+        "row long, whole boolean, doc_id long, n_tokens long, n_bytes long, known long, word_logs double, gram_logs double, words array<binary>, "
         "times array<int>, grams array<long>"), "scored")
 
     pairs = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", "x.words", "x.times")
@@ -349,7 +384,7 @@ def score(docs: DataFrame, train: Column | None = None, *, id_col: str = "doc_id
         "row", F.lit(0.0).alias("word_log"), F.lit(0).alias("n_more"), F.col("log10").alias("gram_log"))
     added = more.unionByName(rest).groupBy("row").agg(
         F.sum("word_log").alias("word_log"), F.sum("n_more").alias("n_more"), F.sum("gram_log").alias("gram_log"))
-    whole = scored.drop("words", "times", "grams").join(added, "row", "left").fillna(0, ["n_more"]).fillna(
+    whole = scored.filter("whole").drop("words", "times", "grams").join(added, "row", "left").fillna(0, ["n_more"]).fillna(
         0.0, ["word_log", "gram_log"])
     base = F.col("word_logs") + F.col("word_log") + F.lit(end_log) - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))
     log10 = F.col("gram_logs") + F.col("gram_log")

@@ -150,7 +150,7 @@ def test_context_trees_against_the_definition(spark, documents):
     counted = Counter(w for i in learn for w in words[i])
     n, v = sum(counted.values()) + len(learn), len(counted) + 1
     # With room for few grams and words, most take the way through the joins.
-    for limits in ({}, {"max_words": 20, "max_grams": 50, "task_words": 30}):
+    for limits in ({}, {"max_words": 20, "max_grams": 50, "task_words": 30, "piece_bytes": 40}):
         rows = context_tree.score(frame, ~held_out, **limits).collect()
         assert len(rows) == len(short)
         for row in rows:
@@ -163,7 +163,8 @@ def test_context_trees_against_the_definition(spark, documents):
 
 
 def test_a_context_gives_all_bytes_a_probability_of_one_together():
-    grams, _ = context_tree.grams([b"abracadabra\n", b"abba\n"])
+    grams, _ = context_tree.grams([*context_tree.pieces(b"abracadabra\n", 4), *context_tree.pieces(b"abba\n")])
+    assert sorted(grams) == sorted(context_tree.grams([*context_tree.pieces(b"abba\n"), *context_tree.pieces(b"abracadabra\n")])[0])
     found, n = np.unique(grams, return_counts=True)
     base = int(found[3]) >> 8 << 8
     asked = np.arange(base, base + 256)

@@ -7,28 +7,70 @@ the pieces in a row are the ids of the text.  Texts with white space that does n
 from __future__ import annotations
 
 import os
+import re
+import string
 from array import array
 
+import numpy as np
+
 # White space other than space and line feed, in Python's wider sense of it; fixed values.
 _BLANKS = [chr(c) for c in (9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
                             0x202F, 0x205F, 0x3000)]
 
 
+# How the tokenizers themselves split printable ASCII without blanks (byte-level: after one space); fixed values.
+_BYTE_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ A-Za-z0-9]+")
+_WORD_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+")
+# ASCII signs the tokenizers cut from a letter beside them, whatever the letter; "'" may belong to what follows.
+_SIGNS = string.punctuation.replace("'", "")
+_LOT = 512  # pieces encoded as one text
+
+
+class _Known(dict):
+    """Pieces and their ids in two generations: when the younger one is full, the older one is forgotten, and what is still
+    used has moved on by then."""
+
+    def __init__(self, most: int):
+        self.most, self.held, self.old = most, 0, {}
+
+    def settle(self) -> None:
+        if self.held > self.most // 2:
+            self.old, self.held = dict(self), 0
+            self.clear()
+
+    def unknown(self, pieces: set[str]) -> list[str]:
+        fresh = pieces.difference(self)
+        kept = [x for x in fresh if x in self.old]
+        self.learn(kept, [self.old[x] for x in kept])
+        return list(fresh.difference(kept))
+
+    def learn(self, pieces: list[str], ids: list[bytes]) -> None:
+        self.update(zip(pieces, ids, strict=True))
+        self.held += 150 * len(pieces) + sum(map(len, pieces)) + sum(map(len, ids))
+
+
 class ChunkEncoder:
     """``encode(texts)`` gives per text its ids as little-endian unsigned 32-bit integers.
 
     ``byte_level``: pieces start at a space that follows a non-blank, the space belonging to the piece after it, as in
     byte-level BPE.  Otherwise blanks carry no ids (the normalizer makes them one space, the splitter drops it) and
-    pieces are what stands between spaces.  The memory holds ``limit`` pieces at most and then starts afresh.
+    pieces are what stands between spaces.  A piece that has not been met is cut again where the tokenizer's own rule cuts,
+    so ``one-two!`` costs nothing once ``one``, ``-``, ``two`` and ``!`` are known.  Words that are new are encoded many to a
+    call, with spaces between, and told apart by the tokens that begin (byte-level) or end a word.  The memory holds
+    about ``most`` bytes and forgets what has not been used for long.
     """
 
-    def __init__(self, path: str, byte_level: bool, limit: int = 400_000):
+    def __init__(self, path: str, byte_level: bool, most: int = 80_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task uses one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.byte_level, self.limit, self.known = byte_level, limit, {}
+        # ``inner`` has byte-level parts that no space stands before.
+        self.byte_level, self.known, self.inner = byte_level, _Known(most), _Known(most // 4)
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edge[[i for token, i in vocabulary.items() if (token.startswith("Ġ") if byte_level else token.endswith("</w>"))]] = True
 
     def _raw(self, pieces: list[str]) -> list[bytes]:
         encode = self.tokenizer.encode_batch_fast
@@ -36,6 +78,40 @@ class ChunkEncoder:
         return [array("I", x.ids).tobytes() for at in range(0, len(pieces), 4096)
                 for x in encode(pieces[at:at + 4096], add_special_tokens=False)]
 
+    def _words(self, pieces: list[str]) -> list[bytes]:
+        """As ``_raw`` of pieces that are one word each, in byte-level mode after a space."""
+        out: list[bytes] = []
+        for at in range(0, len(pieces), _LOT):
+            lot = pieces[at:at + _LOT]
+            [found] = self.tokenizer.encode_batch_fast([(" " if self.byte_level else "") + " ".join(lot)], add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            edges = np.flatnonzero(self.edge[ids])
+            if len(edges) != len(lot):  # a word the rule above takes for one and the tokenizer does not
+                out += self._raw([(" " if self.byte_level else "") + x for x in lot])
+                continue
+            ends, raw, start = (np.append(edges[1:], len(ids)) if self.byte_level else edges + 1) * 4, ids.tobytes(), 0
+            for end in ends.tolist():
+                out.append(raw[start:end])
+                start = end
+        return out
+
+    def _one_word(self, piece: str) -> bool:
+        return piece != "" and piece.isprintable() if self.byte_level else piece.isalpha() and piece.lower().isalpha()
+
+    def _cut(self, piece: str, mark: str) -> list[str]:
+        """The parts the tokenizer's rule makes of a piece, as far as it is plain."""
+        if not piece.isprintable():
+            return []
+        if piece.isascii():
+            return _BYTE_SPLIT.findall(mark + piece) if self.byte_level else _WORD_SPLIT.findall(piece.lower())
+        core = piece.strip(_SIGNS)
+        low = core.lower()
+        if not core or not (core[0].isalpha() and core[-1].isalpha() and low[0].isalpha() and low[-1].isalpha()):
+            return []
+        start = piece.index(core)
+        parts = [x for x in (piece[:start], core, piece[start + len(core):]) if x]
+        return [mark + parts[0], *parts[1:]]
+
     def _pieces(self, text: str) -> list[str] | None:
         """Pieces; in byte-level mode all but the first stand for themselves with a space before."""
         if not self.byte_level:
@@ -44,17 +120,41 @@ class ChunkEncoder:
             return None
         return text.split(" ")
 
+    def _learn(self, pieces: set[str]) -> None:
+        """Make all pieces known."""
+        mark, parts = " " if self.byte_level else "", {}
+        whole, inner = set(), set()
+        for x in self.known.unknown(pieces):
+            cut = self._cut(x, mark)
+            if len(cut) < 2:
+                whole.add(x)
+                continue
+            parts[x] = cut
+            for part in cut:
+                if self.byte_level and part[0] != " ":
+                    inner.add(part)
+                else:
+                    whole.add(part[len(mark):])
+        fresh = self.known.unknown(whole)
+        words = [x for x in fresh if self._one_word(x)]
+        others = [x for x in fresh if not self._one_word(x)]
+        new = self.inner.unknown(inner)
+        for known, names, found in ((self.known, words, self._words(words)), (self.known, others, self._raw([mark + x for x in others])),
+                                    (self.inner, new, self._raw(new))):
+            known.learn(names, found)
+        self.known.learn(list(parts), [b"".join(
+            [self.inner[part] if self.byte_level and part[0] != " " else self.known[part[len(mark):]] for part in cut])
+            for cut in parts.values()])
+
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self._pieces(text) for text in texts]
-        if len(self.known) > self.limit:
-            self.known = {}
-        fresh: set[str] = set()
+        self.known.settle()
+        self.inner.settle()
+        distinct: set[str] = set()
         for pieces in cut:
             if pieces:
-                fresh.update(pieces[1:] if self.byte_level else pieces)
-        fresh = [x for x in fresh if x not in self.known]
-        mark = " " if self.byte_level else ""
-        self.known.update(zip(fresh, self._raw([mark + x for x in fresh]), strict=True))
+                distinct.update(pieces[1:] if self.byte_level else pieces)
+        self._learn(distinct)
         known, out = self.known.__getitem__, []
         heads = self._raw([text if pieces is None else pieces[0] for text, pieces in zip(texts, cut, strict=True)]) \
             if self.byte_level else None

@@ -18,12 +18,11 @@ _BLANKS = [chr(c) for c in (9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *
                             0x202F, 0x205F, 0x3000)]
 
 
-# How the tokenizers themselves split printable ASCII without blanks (byte-level: after one space); fixed values.
-_BYTE_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ A-Za-z0-9]+")
+# How the word tokenizer itself splits printable ASCII, lower-cased; fixed values.
 _WORD_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+")
-# ASCII signs the tokenizers cut from a letter beside them, whatever the letter; "'" may belong to what follows.
+# ASCII signs it cuts from a letter beside them, whatever the letter; "'" may belong to what follows.
 _SIGNS = string.punctuation.replace("'", "")
-_LOT = 512  # pieces encoded as one text
+_LOT = 512  # pieces to a call
 
 
 class _Known(dict):
@@ -54,10 +53,9 @@ class ChunkEncoder:
 
     ``byte_level``: pieces start at a space that follows a non-blank, the space belonging to the piece after it, as in
     byte-level BPE.  Otherwise blanks carry no ids (the normalizer makes them one space, the splitter drops it) and
-    pieces are what stands between spaces.  A piece that has not been met is cut again where the tokenizer's own rule cuts,
-    so ``one-two!`` costs nothing once ``one``, ``-``, ``two`` and ``!`` are known.  Words that are new are encoded many to a
-    call, with spaces between, and told apart by the tokens that begin (byte-level) or end a word.  The memory holds
-    about ``most`` bytes and forgets what has not been used for long.
+    pieces are what stands between spaces, cut again where the tokenizer's own rule cuts.  Pieces that are new are encoded
+    many to a call, as one text with spaces between, and told apart by the tokens that begin with a space (byte-level) or
+    end a word.  The memory holds about ``most`` bytes and forgets what has not been used for long.
     """
 
     def __init__(self, path: str, byte_level: bool, most: int = 80_000_000):
@@ -66,8 +64,8 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        # ``inner`` has byte-level parts that no space stands before.
-        self.byte_level, self.known, self.inner = byte_level, _Known(most), _Known(most // 4)
+        self.byte_level, self.known = byte_level, _Known(most)
+        # Tokens that begin a piece (byte-level) or end one.
         vocabulary = self.tokenizer.get_vocab()
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
         self.edge[[i for token, i in vocabulary.items() if (token.startswith("Ġ") if byte_level else token.endswith("</w>"))]] = True
@@ -78,39 +76,34 @@ class ChunkEncoder:
         return [array("I", x.ids).tobytes() for at in range(0, len(pieces), 4096)
                 for x in encode(pieces[at:at + 4096], add_special_tokens=False)]
 
-    def _words(self, pieces: list[str]) -> list[bytes]:
-        """As ``_raw`` of pieces that are one word each, in byte-level mode after a space."""
-        out: list[bytes] = []
+    def _together(self, pieces: list[str]) -> list[bytes]:
+        """As ``_raw`` of printable pieces, in byte-level mode after a space, otherwise of one word each."""
+        before, out = " " if self.byte_level else "", []
         for at in range(0, len(pieces), _LOT):
             lot = pieces[at:at + _LOT]
-            [found] = self.tokenizer.encode_batch_fast([(" " if self.byte_level else "") + " ".join(lot)], add_special_tokens=False)
+            [found] = self.tokenizer.encode_batch_fast([before + " ".join(lot)], add_special_tokens=False)
             ids = np.array(found.ids, "<u4")
             edges = np.flatnonzero(self.edge[ids])
-            if len(edges) != len(lot):  # a word the rule above takes for one and the tokenizer does not
-                out += self._raw([(" " if self.byte_level else "") + x for x in lot])
+            if len(edges) != len(lot):  # a piece the tokenizer takes for several words, or for none
+                out += self._raw([before + x for x in lot])
                 continue
-            ends, raw, start = (np.append(edges[1:], len(ids)) if self.byte_level else edges + 1) * 4, ids.tobytes(), 0
-            for end in ends.tolist():
-                out.append(raw[start:end])
-                start = end
+            starts, ends = (edges, np.append(edges[1:], len(ids))) if self.byte_level else (np.append(0, edges[:-1] + 1), edges + 1)
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip((starts * 4).tolist(), (ends * 4).tolist(), strict=True)]
         return out
 
-    def _one_word(self, piece: str) -> bool:
-        return piece != "" and piece.isprintable() if self.byte_level else piece.isalpha() and piece.lower().isalpha()
-
-    def _cut(self, piece: str, mark: str) -> list[str]:
-        """The parts the tokenizer's rule makes of a piece, as far as it is plain."""
+    def _cut(self, piece: str) -> list[str]:
+        """The parts the word tokenizer's rule makes of a piece, as far as it is plain."""
         if not piece.isprintable():
             return []
         if piece.isascii():
-            return _BYTE_SPLIT.findall(mark + piece) if self.byte_level else _WORD_SPLIT.findall(piece.lower())
+            return _WORD_SPLIT.findall(piece.lower())
         core = piece.strip(_SIGNS)
         low = core.lower()
         if not core or not (core[0].isalpha() and core[-1].isalpha() and low[0].isalpha() and low[-1].isalpha()):
             return []
         start = piece.index(core)
-        parts = [x for x in (piece[:start], core, piece[start + len(core):]) if x]
-        return [mark + parts[0], *parts[1:]]
+        return [x for x in (piece[:start], core, piece[start + len(core):]) if x]
 
     def _pieces(self, text: str) -> list[str] | None:
         """Pieces; in byte-level mode all but the first stand for themselves with a space before."""
@@ -122,34 +115,22 @@ class ChunkEncoder:
 
     def _learn(self, pieces: set[str]) -> None:
         """Make all pieces known."""
-        mark, parts = " " if self.byte_level else "", {}
-        whole, inner = set(), set()
-        for x in self.known.unknown(pieces):
-            cut = self._cut(x, mark)
-            if len(cut) < 2:
-                whole.add(x)
-                continue
-            parts[x] = cut
-            for part in cut:
-                if self.byte_level and part[0] != " ":
-                    inner.add(part)
-                else:
-                    whole.add(part[len(mark):])
-        fresh = self.known.unknown(whole)
-        words = [x for x in fresh if self._one_word(x)]
-        others = [x for x in fresh if not self._one_word(x)]
-        new = self.inner.unknown(inner)
-        for known, names, found in ((self.known, words, self._words(words)), (self.known, others, self._raw([mark + x for x in others])),
-                                    (self.inner, new, self._raw(new))):
-            known.learn(names, found)
-        self.known.learn(list(parts), [b"".join(
-            [self.inner[part] if self.byte_level and part[0] != " " else self.known[part[len(mark):]] for part in cut])
-            for cut in parts.values()])
+        fresh, parts = self.known.unknown(pieces), {}
+        if not self.byte_level:
+            parts = {x: cut for x in fresh if len(cut := self._cut(x)) > 1}
+            fresh = self.known.unknown({x for x in fresh if x not in parts}.union(*parts.values()))
+        if self.byte_level:
+            plain = [x for x in fresh if x.isprintable() and x]
+        else:
+            plain = [x for x in fresh if x.isalpha() and x.lower().isalpha()]
+        self.known.learn(plain, self._together(plain))
+        others = list(set(fresh).difference(plain))
+        self.known.learn(others, self._raw([(" " if self.byte_level else "") + x for x in others]))
+        self.known.learn(list(parts), [b"".join([self.known[x] for x in cut]) for cut in parts.values()])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self._pieces(text) for text in texts]
         self.known.settle()
-        self.inner.settle()
         distinct: set[str] = set()
         for pieces in cut:
             if pieces:

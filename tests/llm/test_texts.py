@@ -79,7 +79,7 @@ def test_exact_dedup_of_odd_rows_with_spilling(spark):
 def test_pieces_give_the_ids_of_the_whole_text():
     rng = random.Random(3)
     marks = ["a", "B", "'s", " ", "  ", "\n", "\t", "é", "é", "1", "$", "\x1c", "ß", "İ", "Σ", "<|endoftext|>", "\x85", "漢", "\r", "Ab", "-", "''",
-             "'ll", "%%", "42", "\x00", "\x7f"]
+             "'ll", "%%", "42", "\x00", "\x7f", "|", "\u0301", "\u200d"]
     texts = ["".join(rng.choice(marks) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
     for path, byte_level in ((BYTE, True), (WORD, False)):
         encoder = ChunkEncoder(path, byte_level, most=100_000)

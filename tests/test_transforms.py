@@ -73,7 +73,7 @@ def sessions(spark, *ids, **columns):
 
 @pytest.mark.parametrize("columns, kept", [
     ({}, True), ({"program_name": None, "login_name": None}, True), ({"program_name": "dbatools PowerShell module"}, False),
-    ({"program_name": "my PowerShell"}, False), ({"program_name": "powershell"}, True), ({"login_name": "watcher"}, False),
+    ({"program_name": "my PowerShell"}, False), ({"program_name": "powershell"}, False), ({"program_name": "power shell"}, True), ({"login_name": "watcher"}, False),
     ({"is_user_process": False}, False),
 ])
 def test_the_monitoring_leaves_itself_out(spark, columns, kept):

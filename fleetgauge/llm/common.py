@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +35,28 @@ def shared_folder(spark: SparkSession) -> str:
     return _OWN[application]
 
 
+# What modules remember in a worker process, and how it is forgotten.
+FORGET: dict[str, Callable[[], None]] = {}
+_CLAIMED = [""]
+
+
+def claim_worker(owner: str) -> None:
+    """Worker processes serve one stage after another.  When a stage of another module begins, what the others remember
+    is freed and given back to the system, so that memories do not add up along a pipeline."""
+    if _CLAIMED[0] == owner:
+        return
+    for name, forget in FORGET.items():
+        if name != owner:
+            forget()
+    if _CLAIMED[0]:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+    _CLAIMED[0] = owner
+
+
 class Scratch:
     """Tables of one run below the shared folder.  A stored table cuts lineage: a lost executor rereads files
     instead of repeating the work behind them.  ``drop`` removes them once the result has been written."""

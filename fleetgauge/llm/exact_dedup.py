@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.common import Scratch, ascii_lower, batches, columns, table, texts
+from fleetgauge.llm.common import Scratch, ascii_lower, batches, claim_worker, columns, table, texts
 
 
 class Node:
@@ -117,6 +117,7 @@ _GROUPS = pa.schema([("length", pa.int64()), ("sha256", pa.string()), ("keep_id"
 
 def _combine(limit: int):
     def rows(records: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        claim_worker("exact_dedup")
         trie, rep = PatriciaTrie(), TaskContext.get().partitionId() << 40
 
         def left(terminals):
@@ -141,6 +142,7 @@ def _combine(limit: int):
 
 def _own(keep: str):
     def rows(records: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        claim_worker("exact_dedup")
         trie = PatriciaTrie()
 
         def left(terminals):

@@ -13,6 +13,8 @@ from array import array
 
 import numpy as np
 
+from fleetgauge.llm.common import FORGET, claim_worker
+
 # White space other than space and line feed, in Python's wider sense of it; fixed values.
 _BLANKS = [chr(c) for c in (9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
                             0x202F, 0x205F, 0x3000)]
@@ -150,10 +152,12 @@ class ChunkEncoder:
 
 
 _ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}
+FORGET["tokens"] = _ENCODERS.clear
 
 
 def encoder(path: str, byte_level: bool) -> ChunkEncoder:
-    """One per worker process and file, kept between tasks."""
+    """One per worker process and file, kept between tasks of the modules that encode."""
+    claim_worker("tokens")
     key = (path, byte_level)
     if key not in _ENCODERS:
         _ENCODERS[key] = ChunkEncoder(path, byte_level)

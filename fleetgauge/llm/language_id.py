@@ -2,9 +2,9 @@
 
 Known words are scored by their log frequency in each language.  A word that no training text has falls back to its
 character n-grams, the longest known ones first: at each place the longest known n-gram is taken and the scan goes on
-behind it.  Words are counted per language by Spark, over a sample of the labelled texts that is bounded per language
-(``docs_per_language``); the model keeps at most ``max_words`` words and ``max_grams`` n-grams in all, so its size does
-not depend on the corpus.  Every text is scored whole.
+behind it.  Words and n-grams are counted per language by Spark, over a sample of the labelled texts that is bounded per
+language (``docs_per_language``, ``chars_per_language``).  The model holds every language, word and n-gram of the sample:
+one entry for each language a name was seen in, in three flat arrays, names as 64-bit hashes.  Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -16,89 +16,138 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.common import batches, columns, id_crc, table, texts
+from fleetgauge.llm.common import batches, claim_worker, columns, id_crc, table, texts
 
 UNDETERMINED = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 5
-_OUT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
+_OUT = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
 
 def words(text: str) -> list[str]:
-    """Runs of letters, lower-cased."""
-    return _WORD.findall(text.lower())
+    """Runs of letters, lower-cased.  Number signs such as one half or Roman numerals are no letters."""
+    out = []
+    for found in _WORD.findall(text.lower()):
+        if found.isalpha():
+            out.append(found)
+        else:
+            out += "".join(c if c.isalpha() else " " for c in found).split()
+    return out
+
+
+def name_hash(name: str) -> int:
+    """XXH64 with seed 42, unsigned; Spark's ``xxhash64`` of a string gives the same bits."""
+    return xxhash.xxh64_intdigest(name.encode("utf-8", "surrogatepass"), 42)
+
+
+class Counts:
+    """How often names occur per language: names by hash in ascending order, of each the languages it was seen in."""
+
+    def __init__(self, hashes: np.ndarray, places: np.ndarray, times: np.ndarray, languages: int):
+        order = np.lexsort((places, hashes))
+        hashes, self.places, times = hashes[order], places[order].astype(np.int32), times[order].astype(float)
+        self.names, first = np.unique(hashes, return_index=True)
+        self.starts = np.append(first, len(hashes)).astype(np.int64)
+        self.totals = np.log(np.bincount(self.places, times, languages) + 1)
+        # One more observation per language, spread as all languages together are.  A name's share of it stands in every
+        # language's logarithm, so it is left out, and languages that lack the name gain nothing.
+        shares = np.add.reduceat(times, first) / times.sum() if len(first) else np.zeros(0)
+        self.gains = np.log1p(times / np.repeat(shares, np.diff(self.starts))).astype(np.float32)
+
+    @classmethod
+    def of(cls, found: dict[str, list[int]], languages: int) -> Counts:
+        """From names with their counts per language."""
+        entries = [(name_hash(name), i, n) for name, row in found.items() for i, n in enumerate(row) if n]
+        hashes, places, times = zip(*entries, strict=True) if entries else ((), (), ())
+        return cls(np.array(hashes, np.uint64), np.array(places, np.int32), np.array(times, float), languages)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The names' places, -1 where unknown."""
+        if not len(self.names):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.names, hashes), len(self.names) - 1)
+        return np.where(self.names[at] == hashes, at, -1)
+
+    def score(self, at: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """Log score per language of known names, each so many times."""
+        first, n = self.starts[at], self.starts[at + 1] - self.starts[at]
+        entries = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        gained = np.bincount(self.places[entries], self.gains[entries] * np.repeat(times, n), len(self.totals))
+        return gained - times.sum() * self.totals
 
 
 class Model:
-    """Log probabilities per language of words and n-grams; what a language lacks is as rare as in one more observation."""
+    """Word and n-gram counts per language, and the n-grams of unknown words lately met."""
 
-    def __init__(self, languages: list[str], word_counts: dict[str, list[int]], gram_counts: dict[str, list[int]]):
-        self.languages = languages
-        self.words, self.word_logs = self._logs(word_counts)
-        self.grams, self.gram_logs = self._logs(gram_counts)
+    def __init__(self, languages: list[str], found: Counts, grams: Counts):
+        self.languages, self.found, self.grams = languages, found, grams
         self.seen: dict[str, np.ndarray] = {}
 
-    def _logs(self, counts: dict[str, list[int]]) -> tuple[dict[str, int], np.ndarray]:
-        """Rows of one table, and the names' places in it."""
-        if not counts:
-            return {}, np.zeros((0, len(self.languages)))
-        seen = np.array(list(counts.values()), float)
-        # One more observation per language, spread as all languages together are.
-        spread = seen.sum(1, keepdims=True) / seen.sum()
-        return {name: i for i, name in enumerate(counts)}, np.log((seen + spread) / (seen.sum(0) + 1))
-
-    def backoff(self, word: str) -> np.ndarray:
-        """An unknown word's log score per language; remembered, as words repeat."""
-        found = self.seen.get(word)
-        if found is None:
-            if len(self.seen) > 100_000:
-                self.seen.clear()
-            marked, places, at = f"<{word}>", [], 0
-            while at < len(marked):
-                for size in range(min(LONGEST, len(marked) - at), 0, -1):
-                    place = self.grams.get(marked[at:at + size])
-                    if place is not None:
-                        places.append(place)
-                        break
-                at += size
-            found = self.seen[word] = self.gram_logs[places].sum(0)
-        return found
+    def backoff(self, fresh: list[str]) -> None:
+        """Remember the n-grams that unknown words fall back to."""
+        if len(self.seen) > 30_000:
+            self.seen.clear()
+        marked = [f"<{word}>" for word in fresh]
+        spans = [(at, size) for x in marked for at in range(len(x)) for size in range(min(LONGEST, len(x) - at), 0, -1)]
+        owners = (x for x in marked for at in range(len(x)) for _ in range(min(LONGEST, len(x) - at)))
+        places = self.grams.find(np.array([name_hash(x[at:at + size]) for x, (at, size) in zip(owners, spans, strict=True)],
+                                          np.uint64)).tolist()
+        next_ = 0
+        for word, x in zip(fresh, marked, strict=True):
+            taken, free = [], 0
+            for at in range(len(x)):
+                sizes = min(LONGEST, len(x) - at)
+                if at == free:
+                    hit = next((i for i in range(sizes) if places[next_ + i] >= 0), None)
+                    if hit is not None:
+                        taken.append(places[next_ + hit])
+                    free = at + (1 if hit is None else sizes - hit)
+                next_ += sizes
+            self.seen[word] = np.array(taken, np.int64)
 
     def predict(self, text: str) -> tuple[str, float]:
         counted = Counter(words(text))
         if not counted or not self.languages:
             return UNDETERMINED, 0.0
-        total, places, times = np.zeros(len(self.languages)), [], []
-        for word, n in counted.items():
-            place = self.words.get(word)
-            if place is None:
-                total += n * self.backoff(word)
-            else:
-                places.append(place)
-                times.append(n)
-        total += np.array(times, float) @ self.word_logs[places]
+        names, times = list(counted), np.fromiter(counted.values(), float, len(counted))
+        at = self.found.find(np.fromiter(map(name_hash, names), np.uint64, len(names)))
+        known = at >= 0
+        total = self.found.score(at[known], times[known])
+        if not known.all():
+            unknown = np.flatnonzero(~known)
+            for lot in range(0, len(unknown), 1_000):  # so that what a long text adds stays bounded
+                part = unknown[lot:lot + 1_000]
+                fresh = [names[i] for i in part if names[i] not in self.seen]
+                held = {names[i]: self.seen[names[i]] for i in part if names[i] in self.seen}
+                if fresh:
+                    self.backoff(fresh)
+                    held.update((x, self.seen[x]) for x in fresh)
+                grams = [held[names[i]] for i in part]
+                total += self.grams.score(np.concatenate(grams), np.repeat(times[part], [len(x) for x in grams]))
         best = int(total.argmax())  # ties go to the first language in code-point order
         return self.languages[best], float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum())
 
 
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          docs_per_language: int = 2_000, max_languages: int = 500, max_words: int = 300_000,
-          max_grams: int = 300_000) -> Model:
+          docs_per_language: int = 2_000, chars_per_language: int = 20_000_000, max_entries: int = 20_000_000) -> Model:
     """Fit on rows with a language.  A language's sample are the rows with the smallest hashes of their id, about
-    ``docs_per_language`` of them."""
+    ``docs_per_language`` of them and ``chars_per_language`` characters, whichever is less.  Nothing of the sample is
+    left out: words or n-grams that fill more than ``max_entries`` entries (one per name and language) are an error."""
     labelled = docs.filter(F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         F.pmod(F.xxhash64(F.lit(3), F.col(id_col).cast("long")), F.lit(1 << 30)).alias("draw"))
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    languages = sorted(row["lang"] for row in counts)
+    sizes = {row["lang"]: row for row in labelled.groupBy("lang").agg(
+        F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).collect()}
+    languages = sorted(sizes)
     if not languages:
-        return Model([], {}, {})
-    # With a margin, since a language with few rows must not lose them by chance.
-    share = {row["lang"]: 1.0 if row["count"] <= docs_per_language else docs_per_language / row["count"] for row in counts}
-    limits = F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(math.ceil(share[lang] * (1 << 30))))])
+        return Model([], Counts.of({}, 0), Counts.of({}, 0))
+    limits = F.create_map(*[x for lang, row in sizes.items() for x in (F.lit(lang), F.lit(math.ceil((1 << 30) * min(
+        1.0, docs_per_language / row["n"], chars_per_language / max(1, row["chars"])))))])
+    place = F.create_map(*[x for i, lang in enumerate(languages) for x in (F.lit(lang), F.lit(i))])
     sample = labelled.filter(F.col("draw") < F.get(F.array(F.try_element_at(limits, F.col("lang"))), F.lit(0)))
     found = sample.select("lang", F.explode(F.regexp_extract_all(
         F.lower("text"), F.lit(r"[\p{L}]+"), F.lit(0))).alias("word")).groupBy("lang", "word").count()
@@ -110,36 +159,34 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     grams = found.select("lang", "n", F.explode(F.array_distinct(pieces)).alias("gram")).groupBy("lang", "gram").agg(
         F.sum("n").alias("n"))
 
-    place = {lang: i for i, lang in enumerate(languages)}
+    def counts(frame: DataFrame, key: str) -> Counts:
+        got = frame.select(F.xxhash64(key).alias("name"), F.try_element_at(place, F.col("lang")).alias("place"), "n").limit(
+            max_entries + 1).toArrow()
+        if got.num_rows > max_entries:
+            raise ValueError(f"more than {max_entries} {key} entries; lower docs_per_language or chars_per_language")
+        return Counts(got["name"].to_numpy().view(np.uint64), got["place"].to_numpy(), got["n"].to_numpy(), len(languages))
 
-    def most(frame: DataFrame, key: str, limit: int) -> dict[str, list[int]]:
-        """The keys most frequent in any language with all their counts; at most ``limit`` of them."""
-        order = Window.partitionBy("lang").orderBy(F.desc("n"), key)
-        kept = frame.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit // len(languages))
-        out: dict[str, list[int]] = {}
-        for part in kept.select(key, "lang", "n").toArrow().to_batches():
-            for name, lang, n in columns(part, key, "lang", "n"):
-                out.setdefault(name, [0] * len(languages))[place[lang]] = n
-        return out
-
-    return Model(languages, most(found, "word", max_words), most(grams, "gram", max_grams))
+    return Model(languages, counts(found, "word"), counts(grams, "gram"))
 
 
 def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, lang_pred, score (the winner's share of the likelihood).
+    """One row per input row: doc_id, text_hash (Spark's ``xxhash64`` of the text), lang_pred, score (the winner's share
+    of the likelihood).
 
     Texts that are null, empty or without letters, and all texts under a model without languages, are ``und`` with
-    score 0.  Repeated rows are scored each.  No rows give no rows.
+    score 0.  Very long texts are scored whole, their unknown words in lots.  Repeated rows are scored each.  No rows
+    give no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_words and max_grams
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_entries
 
     def rows(records: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        claim_worker("language_id")
         for record in records:
-            for doc_id, text in columns(record, "doc_id", "text"):
-                yield doc_id, *shared.value.predict(text)
+            for doc_id, text, hashed in columns(record, "doc_id", "text", "text_hash"):
+                yield doc_id, hashed, *shared.value.predict(text)
 
-    return texts(docs, id_col, text_col).mapInArrow(lambda records: batches(_OUT, rows(records)),
-                                                    "doc_id long, lang_pred string, score double")
+    return texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        lambda records: batches(_OUT, rows(records)), "doc_id long, text_hash long, lang_pred string, score double")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,10 +47,67 @@ def test_language_of_odd_rows(spark):
 
 
 def test_unseen_words_fall_back_to_the_longest_known_grams():
-    model = language_id.Model(["x", "y"], {"abc": [9, 1]}, {"ab": [1, 9], "a": [9, 1], "<": [1, 1]})
+    found, grams = {"abc": [9, 1]}, {"ab": [1, 9], "a": [9, 1], "<": [1, 1]}
+    model = language_id.Model(["x", "y"], language_id.Counts.of(found, 2), language_id.Counts.of(grams, 2))
     assert model.predict("abc")[0] == "x" and model.predict("abz")[0] == "y" and model.predict("az")[0] == "x"
 
 
+def plain_language(train, text):
+    """Word-first backoff by its definition, in dictionaries: (language, score)."""
+    letters = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    languages = sorted({lang for lang, _ in train})
+    if not letters or not languages:
+        return "und", 0.0
+    found, grams = {}, {}
+    for lang, body in train:
+        for word in "".join(c if c.isalpha() else " " for c in body.lower()).split():
+            found.setdefault(word, Counter())[lang] += 1
+    for word, by in found.items():
+        x = f"<{word}>"
+        for gram in {x[i:i + n] for n in range(1, language_id.LONGEST + 1) for i in range(max(1, len(x) - n + 1))}:
+            grams.setdefault(gram, Counter()).update(by)
+
+    def log(counts, name, lang):
+        spread = sum(counts[name].values()) / sum(sum(c.values()) for c in counts.values())
+        return math.log((counts[name][lang] + spread) / (sum(c[lang] for c in counts.values()) + 1))
+
+    total = dict.fromkeys(languages, 0.0)
+    for word in letters:
+        names, counts, at = [word], found, 0
+        if word not in found:
+            x, names, counts = f"<{word}>", [], grams
+            while at < len(x):
+                size = next((n for n in range(min(language_id.LONGEST, len(x) - at), 0, -1) if x[at:at + n] in grams), 0)
+                names += [x[at:at + size]] if size else []
+                at += size or 1
+        for name in names:
+            for lang in languages:
+                total[lang] += log(counts, name, lang)
+    best = max(languages, key=lambda lang: total[lang])
+    return best, 1 / sum(math.exp(total[lang] - total[best]) for lang in languages)
+
+
+def test_language_against_the_definition(spark):
+    bodies = [("de", "Der Hund läuft über die Straße und bellt."), ("de", "Die Katze schläft, der Hund wacht."),
+              ("en", "The dog runs over the street and barks."), ("fr", "Le chien court dans la rue et aboie."), ("fr", None),
+              ("xx", "½ ² Ⅷ 12")]
+    rows = [(i, body, lang) for i, (lang, body) in enumerate(bodies)]
+    rows += [(10, "Der Strassenhund schlief", None), (11, "streets and dogs Ⅷx½y", None), (12, "½ ² Ⅷ", None), (13, "rue chienne", None),
+             (14, "Hund dog chien", None), (15, "zzz qqq", None), (16, "", None), (17, "straße " * 3000 + "Straßen " * 3000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in language_id.identify(docs, language_id.train(docs)).collect()}
+    for doc_id, text, _ in rows:
+        want = plain_language([(lang, body or "") for lang, body in bodies], text or "")
+        assert got[doc_id]["lang_pred"] == want[0] and got[doc_id]["score"] == pytest.approx(want[1], abs=1e-5), text
+    assert got[12]["lang_pred"] == got[5]["lang_pred"] == "und"
+
+
+def test_a_model_beyond_its_stated_size_is_an_error(spark):
+    docs = spark.createDataFrame([(1, "one two three", "en")], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="entries"):
+        language_id.train(docs, max_entries=2)
+
+
 def test_restoring_noisy_words():
     counts = Counter()
     for word in ["idiot", "loser", "trash", "clown", "the", "and", "a", "of", "that", "stupid"] * 20:
@@ -402,6 +459,23 @@ def test_pipeline_stage_by_stage(spark, documents):
     assert set(step["sequences"]) == set(times)
 
 
+def test_pipeline_rows_that_share_an_id(spark):
+    def docs(*rows):
+        return spark.createDataFrame([(i, text, "en", "s", n) for n, (i, text) in enumerate(rows)],
+                                     "doc_id long, text string, lang string, source string, n_chars long")
+
+    def left(stage, *rows):
+        return sorted((r["doc_id"], r["text"], r["n_chars"]) for r in stage(spark, docs(*rows), SMALL).collect())
+
+    assert left(corpus_pipeline.language, (1, "words of a text"), (1, "12 ½"), (2, "more words")) == [
+        (1, "words of a text", 0), (2, "more words", 2)]
+    assert left(corpus_pipeline.exact_copies, (1, "a"), (1, "a"), (2, "b"), (2, "A"), (3, "B"), (2, "c")) == [
+        (1, "a", 0), (2, "b", 2), (2, "c", 5)]
+    same, near = "a b c d e f g h i j k l m n o p q r s t", "a b c d e f g h i j k l m n o p q r s x"
+    assert left(corpus_pipeline.near_copies, (1, same), (1, same), (2, near), (3, "another text")) == [
+        (1, same, 0), (3, "another text", 3)]
+
+
 def test_pipeline_over_nothing_and_oddities(spark):
     for docs in (none(spark), odd(spark)):
         for name, stage in corpus_pipeline.STAGES:

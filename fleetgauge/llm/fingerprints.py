@@ -3,7 +3,9 @@
 A section ends after a blank line, a paragraph after a line feed, so the parts joined give the text back exactly.  A
 paragraph's hash is that of its text, a section's that of its paragraphs' hashes in order, the root that of its
 sections' hashes: equal texts have equal roots, and where two trees differ, the differing branches lead to the edit.
-For the likeness of texts that share no whole paragraph, a paragraph also has the short hashes of its spans of four words.
+For the likeness of texts that share no whole paragraph, a paragraph also has the short hashes of its spans: every run of
+four units in it, each beginning one unit later, or all of its units if it has fewer.  A unit is a word with the blanks
+behind it; of a word above ``LONG`` characters each character is a unit.  An edit so changes the few spans it touches.
 """
 
 from __future__ import annotations
@@ -13,14 +15,21 @@ from pyspark.sql import functions as F
 
 from fleetgauge.llm.common import Scratch, table, texts
 
-_SPAN = r"\s*+(?:\S++\s*+){1,4}|\s++"
+LONG, SPAN = 16, 4
+_UNIT = rf"(?<!\S)\S{{1,{LONG}}}+(?!\S)\s*+|\S\s*+|\s++"
 
 
 def tree(text: Column) -> Column:
     """array (sections) of arrays (paragraphs) of struct(hash, spans)."""
+    def spans(units: Column) -> Column:
+        found = F.transform(F.sequence(F.lit(0), F.greatest(F.size(units) - SPAN, F.lit(0))), lambda i: F.xxhash64(
+            *[F.get(units, i + n) for n in range(SPAN)]))
+        return F.slice(found, F.lit(1), F.size(units))  # none where there are no units
+
     def paragraph(p: Column) -> Column:
-        return F.struct(F.sha2(p, 256).alias("hash"), F.transform(
-            F.regexp_extract_all(p, F.lit(_SPAN), F.lit(0)), lambda s: F.xxhash64(s)).alias("spans"))
+        units = F.transform(F.regexp_extract_all(p, F.lit(_UNIT), F.lit(0)), lambda u: F.xxhash64(u))
+        # An array of one array, so that the units are computed once.
+        return F.struct(F.sha2(p, 256).alias("hash"), F.get(F.transform(F.array(units), spans), F.lit(0)).alias("spans"))
 
     return F.transform(F.split(text, r"(?<=\n\n)"), lambda s: F.transform(F.split(s, r"(?<=\n)"), paragraph))
 
@@ -41,6 +50,17 @@ def likeness(a: Column, b: Column) -> Column:
         F.coalesce(F.try_divide(2.0 * shared, F.size(spans[0]) + F.size(spans[1])), F.lit(0.0)))
 
 
+def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_chars, fingerprint (the root), section_hashes.
+
+    Null texts count as empty.  Repeated rows and rows without id have their rows.  A text, however long, is hashed whole
+    within its row.  No rows give no rows.
+    """
+    rows = texts(docs, id_col, text_col).withColumn("tree", tree(F.col("text")))
+    return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), root(F.col("tree")).alias("fingerprint"),
+                       sections(F.col("tree")).alias("section_hashes"))
+
+
 def first_difference(a: Column, b: Column) -> tuple[Column, Column]:
     """Where two trees part, from the top down: the section, and the paragraph in it, counted from 0; null if equal."""
     def place(x: Column, y: Column) -> Column:
@@ -73,15 +93,18 @@ def with_next_text(rows: DataFrame) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0]
     bounds = sorted(set(found or []))
-    rows = rows.withColumn("bucket", _bucket(F.col("doc_id"), bounds) if bounds else F.lit(0))
-    tops = rows.groupBy("bucket").agg(F.max("doc_id").alias("top"))
+    bucket = _bucket(F.col("doc_id"), bounds) if bounds else F.lit(0)
+    tops = rows.groupBy(bucket.alias("bucket")).agg(F.max("doc_id").alias("top"))
     above = F.lead("bucket").over(Window.orderBy("bucket"))
     lowest = F.min("bucket").over(Window.partitionBy())
     tops = scratch.store(tops.select("top", F.coalesce(above, lowest).alias("above")), "tops")
-    copies = rows.join(tops, F.col("doc_id") == F.col("top")).select(
-        "doc_id", "text", F.col("above").alias("bucket"), F.lit(True).alias("copy"))
+    places = F.array(F.struct(bucket.alias("bucket"), F.lit(False).alias("copy")),
+                     F.struct(F.col("above").alias("bucket"), F.lit(True).alias("copy")))
     order = Window.partitionBy("bucket").orderBy("copy", F.col("doc_id").desc_nulls_last(), "text")
-    both = rows.withColumn("copy", F.lit(False)).unionByName(copies)
+    # At most one row per range, so the ranges' first rows are broadcast.
+    both = rows.join(F.broadcast(tops), F.col("doc_id") == F.col("top"), "left").select(
+        "doc_id", "text", F.explode(F.slice(places, F.lit(1), F.when(F.col("top").isNull(), 1).otherwise(2))).alias("at")).select(
+        "doc_id", "text", "at.*")
     return both.withColumn("next_text", F.lead("text").over(order)).filter("NOT copy").select(
         "doc_id", "text", F.coalesce("next_text", F.lit("")).alias("next_text"))
 

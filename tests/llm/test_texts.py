@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -179,6 +180,40 @@ def _parts(text, end):
     return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False) if a < b]
 
 
+def _spans(text):
+    out = set()
+    for paragraph in (p for s in _parts(text, "\n\n") for p in _parts(s, "\n")):
+        units = []
+        for word in re.findall(r"[^ \t\n\x0b\f\r]+[ \t\n\x0b\f\r]*|[ \t\n\x0b\f\r]+", paragraph):
+            body = word.rstrip(" \t\n\x0b\f\r")
+            cut = [word] if len(body) <= 16 else list(body)
+            units += [*cut[:-1], cut[-1] + word[len(body):]] if len(body) > 16 else cut
+        out |= {tuple(units[i:i + 4]) for i in range(max(len(units) - 3, min(len(units), 1)))}
+    return out
+
+
+def test_likeness_survives_small_edits(spark):
+    words, signs = " ".join(f"w{i}" for i in range(400)), "".join(chr(97 + i * i % 26) for i in range(60)) * 5
+    pairs = [(words, "new " + words), (signs, signs[:150] + "!" + signs[150:]), (words, words.replace("w200", "x")), ("a b c", "a b"),
+             ("", ""), ("", "z"), ("  ", " x"), ("a\n\nb\n", "b\n\n\na\n"), ("one two three four five", "two three four five six"),
+             (words, words[::-1]), ("\U0001f600" * 20, "\U0001f600" * 19)]
+    frame = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    trees = frame.select("i", fingerprints.tree(F.col("a")).alias("a"), fingerprints.tree(F.col("b")).alias("b"))
+    got = {r["i"]: r["x"] for r in trees.select("i", fingerprints.likeness(F.col("a"), F.col("b")).alias("x")).collect()}
+    for i, (a, b) in enumerate(pairs):
+        mine, other = _spans(a), _spans(b)
+        want = 1.0 if a == b else 2 * len(mine & other) / max(1, len(mine) + len(other))
+        assert got[i] == pytest.approx(want), (a, b)
+    assert min(got[i] for i in range(3)) > 0.8
+
+
+def test_fingerprints_of_odd_rows(spark):
+    rows = fingerprints.fingerprints(odd(spark)).collect()
+    assert len(rows) == len(ROWS) and fingerprints.fingerprints(none(spark)).count() == 0
+    assert sorted(r["n_chars"] for r in rows) == sorted(len(x[1] or "") for x in ROWS)
+    assert len({r["fingerprint"] for r in rows}) == len({x[1] or "" for x in ROWS})
+
+
 def test_fingerprints_locate_edits(spark):
     frame = spark.createDataFrame([("a\nb\n\nc\nd", "a\nb\n\nc\nx"), ("a\nb", "a\nb"), ("", "z"), ("a", "a\n\nb")], "a string, b string")
     trees = frame.select(fingerprints.tree(F.col("a")).alias("a"), fingerprints.tree(F.col("b")).alias("b"))

@@ -5,8 +5,8 @@
    list of lines, one per block of running text.
 2. Distribute: a line's height is the sum of the text lengths over a window of lines around it, links not counted.
    Several lines in a row that are nothing but links are a menu and go; headings and single such lines stay.  Lines
-   that stand inside ``article`` or ``main`` carry the page's own statement that they are text: if they are half of the
-   text, only they can be chosen, and a line's window ends where its group does.
+   that stand inside ``article`` or ``main`` carry the page's own statement that they are text: if there are any, only they
+   can be chosen, and a line's window ends where its group does.
 3. Surge and dive: the text begins where the height rises above the threshold and ends where it falls below it, low
    lines between included.  It grows at both ends over the lines of the containers that hold its high lines, so
    headings and one-word paragraphs at its edges stay.
@@ -52,6 +52,13 @@ _SURE = re.compile(
     r"pager|pagination|popup|promo|promoted|sidebar|sidenav|sponsored|topbar)(?=$|[\s_-])", re.I)
 _WHOLE = set("""banner comment comments consent cookie cookies copyright footer menu modal nav navigation notice notices overlay
 promotion recommended related replies respond share sharing social sponsor subscribe subscription toolbar widget""".split())
+# Words that no section of an article is named after, and names of boxes about an article.
+_COMMENTS = set("comment comments cookie cookies consent modal overlay replies respond toolbar widget".split())
+_BOX = re.compile(
+    r"(?:^|[\s_-])(?:comments?|replies|consent|cookies?|copyright|notices?|related|recommended|share|sharing|social|sponsor|subscribe|"
+    r"subscription)[_-](?:area|bar|banner|block|box|buttons?|container|form|icons|links|list|panel|popup|thread|widget|wrap|"
+    r"wrapper)(?=$|[\s_-])|(?:^|\s)(?:page|reader|site|user)[_-](?:comments?|notices?|replies)(?=$|[\s_-])|"
+    r"(?:^|\s)(?:cookies?|consent|privacy)[_-](?:notice|message|hint|info|policy|settings|warning)(?=$|[\s_-])", re.I)
 PHRASES = set("a abbr b bdi bdo cite code dfn em i kbd mark q s samp small span strong sub sup time u var".split())
 _OTHERS = re.compile(r"(?:^|[\s_-])(?:ad|advert|comment|promo|promoted|recommended|related|reply|sponsored|teaser)(?=$|[\s_-])", re.I)
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|"
@@ -70,8 +77,14 @@ def _named(tag: str, name: str, value: str, inside: bool) -> bool:
     if tag in HEADINGS or tag == "header" or name == "id" and tag == "section":
         return False
     if name == "class":
-        return _SURE.search(value) is not None or tag not in PHRASES and not _WHOLE.isdisjoint(value.split())
-    return value in ("comments", "disqus_thread") or _SURE.fullmatch(value) is not None
+        if _SURE.search(value) or tag not in PHRASES and _BOX.search(value):
+            return True
+        # A section of an article may have such a word as its subject, beside other words.
+        classes = set(value.split())
+        return not classes.isdisjoint(_COMMENTS) or classes != set() and classes <= _WHOLE if tag == "section" else (
+            tag not in PHRASES and not classes.isdisjoint(_WHOLE))
+    return value in ("comments", "disqus_thread") or _SURE.fullmatch(value) is not None or (
+        tag == "div" and _BOX.fullmatch(value) is not None)
 
 
 def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
@@ -216,8 +229,7 @@ def main_text(page: str) -> str:
     found = lines(page)
     if not found:
         return ""
-    declared = sum(len(line.text) for line in found if line.inside)
-    container = 2 * declared >= sum(len(line.text) - line.links for line in found)
+    container = any(line.inside for line in found)
     free = [not menu and (line.inside or not container) for line, menu in zip(found, _menus(found), strict=True)]
     own = [0 if container and not line.inside else len(line.text) - line.links for line in found]
 

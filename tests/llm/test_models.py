@@ -309,6 +309,16 @@ def test_names_inside_an_article_drop_only_what_is_no_text():
     assert html_text.main_text(f"<div class='page-header'><p>{BODY}</p></div><p>{BODY} {BODY}</p>") == f"{BODY} {BODY}"
 
 
+def test_an_article_bounds_the_text_however_short():
+    comments = "".join(f"<p>{BODY} Says reader {i}.</p>" for i in range(8))
+    short = f"<article><h1>Title</h1><p>First, short.</p></article><div class='x9'>{comments}</div>"
+    assert html_text.main_text(short).split("\n\n") == ["Title", "First, short."]
+    page = (f"<article><h1>Title</h1><p>{BODY}</p><div class='notice-box'><p>We use cookies. {BODY}</p></div><section class='social history'>"
+            f"<h2>Social history</h2><p>{BODY}</p></section><section class='comments wide'><p>{BODY}</p></section>"
+            f"<div id='related-links'><p>{BODY}</p></div><section class='related'><p>{BODY}</p></section><p>End.</p></article><p>{BODY}</p>")
+    assert html_text.main_text(page).split("\n\n") == ["Title", BODY, "Social history", BODY, "End."]
+
+
 def test_links_that_are_text():
     page = (f"<h1><a href='/'>Title</a></h1><p>{BODY}</p><p><a href='x'>A linked paragraph.</a></p><p>see <a>A&nbsp;&amp;&nbsp;B</a></p>"
             f"<p>{BODY}</p><ul><li><a>One</a></li><li>&middot; <a>Two</a></li><li><a>Three</a></li></ul><p>{BODY}</p>")

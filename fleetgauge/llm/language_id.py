@@ -4,7 +4,8 @@ Known words are scored by their log frequency in each language.  A word that no
 character n-grams, the longest known ones first: at each place the longest known n-gram is taken and the scan goes on
 behind it.  Words and n-grams are counted per language by Spark, over a sample of the labelled texts that is bounded per
 language (``docs_per_language``, ``chars_per_language``).  The model holds every language, word and n-gram of the sample:
-one entry for each language a name was seen in, in three flat arrays, names as 64-bit hashes.  Every text is scored whole.
+one entry for each language a name was seen in, in three flat arrays, names as 64-bit hashes; n-grams, which are fewer,
+also by name.  Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -81,33 +82,28 @@ class Counts:
 
 
 class Model:
-    """Word and n-gram counts per language, and the n-grams of unknown words lately met."""
-
-    def __init__(self, languages: list[str], found: Counts, grams: Counts):
-        self.languages, self.found, self.grams = languages, found, grams
-        self.seen: dict[str, np.ndarray] = {}
-
-    def backoff(self, fresh: list[str]) -> None:
-        """Remember the n-grams that unknown words fall back to."""
-        if len(self.seen) > 30_000:
-            self.seen.clear()
-        marked = [f"<{word}>" for word in fresh]
-        spans = [(at, size) for x in marked for at in range(len(x)) for size in range(min(LONGEST, len(x) - at), 0, -1)]
-        owners = (x for x in marked for at in range(len(x)) for _ in range(min(LONGEST, len(x) - at)))
-        places = self.grams.find(np.array([name_hash(x[at:at + size]) for x, (at, size) in zip(owners, spans, strict=True)],
-                                          np.uint64)).tolist()
-        next_ = 0
-        for word, x in zip(fresh, marked, strict=True):
-            taken, free = [], 0
-            for at in range(len(x)):
-                sizes = min(LONGEST, len(x) - at)
-                if at == free:
-                    hit = next((i for i in range(sizes) if places[next_ + i] >= 0), None)
-                    if hit is not None:
-                        taken.append(places[next_ + hit])
-                    free = at + (1 if hit is None else sizes - hit)
-                next_ += sizes
-            self.seen[word] = np.array(taken, np.int64)
+    """Word and n-gram counts per language, n-grams' places by name, and the n-grams of unknown words lately met."""
+
+    def __init__(self, languages: list[str], found: Counts, grams: Counts, names: dict[str, int]):
+        self.languages, self.found, self.grams, self.names = languages, found, grams, names
+        self.seen: dict[str, list[int]] = {}
+
+    def backoff(self, word: str) -> list[int]:
+        """The places of the n-grams an unknown word falls back to; remembered, as words repeat."""
+        taken = self.seen.get(word)
+        if taken is None:
+            if len(self.seen) > 30_000:
+                self.seen.clear()
+            marked, taken, at = f"<{word}>", [], 0
+            while at < len(marked):
+                for size in range(min(LONGEST, len(marked) - at), 0, -1):
+                    place = self.names.get(marked[at:at + size])
+                    if place is not None:
+                        taken.append(place)
+                        break
+                at += size
+            self.seen[word] = taken
+        return taken
 
     def predict(self, text: str) -> tuple[str, float]:
         counted = Counter(words(text))
@@ -121,13 +117,9 @@ class Model:
             unknown = np.flatnonzero(~known)
             for lot in range(0, len(unknown), 1_000):  # so that what a long text adds stays bounded
                 part = unknown[lot:lot + 1_000]
-                fresh = [names[i] for i in part if names[i] not in self.seen]
-                held = {names[i]: self.seen[names[i]] for i in part if names[i] in self.seen}
-                if fresh:
-                    self.backoff(fresh)
-                    held.update((x, self.seen[x]) for x in fresh)
-                grams = [held[names[i]] for i in part]
-                total += self.grams.score(np.concatenate(grams), np.repeat(times[part], [len(x) for x in grams]))
+                grams = [self.backoff(names[i]) for i in part]
+                total += self.grams.score(np.array([x for taken in grams for x in taken], np.int64),
+                                          np.repeat(times[part], [len(taken) for taken in grams]))
         best = int(total.argmax())  # ties go to the first language in code-point order
         return self.languages[best], float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum())
 
@@ -144,7 +136,7 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
         F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).collect()}
     languages = sorted(sizes)
     if not languages:
-        return Model([], Counts.of({}, 0), Counts.of({}, 0))
+        return Model([], Counts.of({}, 0), Counts.of({}, 0), {})
     limits = F.create_map(*[x for lang, row in sizes.items() for x in (F.lit(lang), F.lit(math.ceil((1 << 30) * min(
         1.0, docs_per_language / row["n"], chars_per_language / max(1, row["chars"])))))])
     place = F.create_map(*[x for i, lang in enumerate(languages) for x in (F.lit(lang), F.lit(i))])
@@ -159,14 +151,16 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     grams = found.select("lang", "n", F.explode(F.array_distinct(pieces)).alias("gram")).groupBy("lang", "gram").agg(
         F.sum("n").alias("n"))
 
-    def counts(frame: DataFrame, key: str) -> Counts:
-        got = frame.select(F.xxhash64(key).alias("name"), F.try_element_at(place, F.col("lang")).alias("place"), "n").limit(
+    def entries(frame: DataFrame, key: str, *more: str) -> tuple[Counts, pa.Table]:
+        got = frame.select(F.xxhash64(key).alias("name"), F.try_element_at(place, F.col("lang")).alias("place"), "n", *more).limit(
             max_entries + 1).toArrow()
         if got.num_rows > max_entries:
             raise ValueError(f"more than {max_entries} {key} entries; lower docs_per_language or chars_per_language")
-        return Counts(got["name"].to_numpy().view(np.uint64), got["place"].to_numpy(), got["n"].to_numpy(), len(languages))
+        return Counts(got["name"].to_numpy().view(np.uint64), got["place"].to_numpy(), got["n"].to_numpy(), len(languages)), got
 
-    return Model(languages, counts(found, "word"), counts(grams, "gram"))
+    counted, got = entries(grams, "gram", "gram")
+    places = counted.find(got["name"].to_numpy().view(np.uint64)).tolist()
+    return Model(languages, entries(found, "word")[0], counted, dict(zip(got["gram"].to_pylist(), places, strict=True)))
 
 
 def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

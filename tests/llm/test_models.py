@@ -48,7 +48,9 @@ def test_language_of_odd_rows(spark):
 
 def test_unseen_words_fall_back_to_the_longest_known_grams():
     found, grams = {"abc": [9, 1]}, {"ab": [1, 9], "a": [9, 1], "<": [1, 1]}
-    model = language_id.Model(["x", "y"], language_id.Counts.of(found, 2), language_id.Counts.of(grams, 2))
+    held = language_id.Counts.of(grams, 2)
+    places = {gram: int(held.find(np.array([language_id.name_hash(gram)], np.uint64))[0]) for gram in grams}
+    model = language_id.Model(["x", "y"], language_id.Counts.of(found, 2), held, places)
     assert model.predict("abc")[0] == "x" and model.predict("abz")[0] == "y" and model.predict("az")[0] == "x"
 
 

@@ -6,9 +6,9 @@ border or nothing.  Signs at a token's edges are part of the lattice if they may
 restored if every sign can be a letter of a known word.  Viterbi decoding with a beam finds the restoration that is likeliest under a character language model
 and the channel's costs.  Other tokens are their own only path.  The restored words are then scored.
 
-Both models are fitted on a sample of the labelled texts bounded by ``per_class`` rows of each class: the language model
-is counted by Spark and keeps ``max_grams`` n-grams; the ``max_words`` words that tell the classes apart best become the
-features of a sparse logistic regression.  Every text is scored whole.
+Both models are fitted on all labelled texts: the language model is counted by Spark and keeps ``max_grams`` n-grams; the
+``max_words`` words that tell the classes apart best become the features of a sparse logistic regression, which Spark fits
+where the rows are.  Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -17,12 +17,13 @@ import math
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetgauge.llm.common import batches, columns, id_crc, table, texts
+from fleetgauge.llm.common import Scratch, batches, columns, id_crc, table, texts
 
 ORDER = 5
 BORDER = " "
@@ -148,47 +149,47 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
 
 
-def fit(rows: np.ndarray, features: np.ndarray, n_features: int, labels: np.ndarray, weights: np.ndarray,
-        penalty: float, steps: int = 1500) -> tuple[np.ndarray, float]:
-    """Logistic regression with an absolute penalty by accelerated proximal gradient; (rows, features) are the ones."""
-    weights = weights / weights.sum()
-    w, bias, ahead, ahead_bias, t = np.zeros(n_features), 0.0, np.zeros(n_features), 0.0, 1.0
-    spread = np.bincount(rows, minlength=len(labels)).max(initial=0) + 1
-    rate = 4.0 / min(spread, 40)
-    for _ in range(steps):
-        margin = ahead_bias + np.bincount(rows, ahead[features], len(labels))
-        error = weights * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - labels)
-        step = ahead - rate * np.bincount(features, error[rows], n_features)
-        new = np.sign(step) * np.maximum(np.abs(step) - rate * penalty, 0)
-        new_bias = ahead_bias - rate * error.sum()
-        following = (1 + math.sqrt(1 + 4 * t * t)) / 2
-        momentum = (t - 1) / following
-        ahead, ahead_bias = new + momentum * (new - w), new_bias + momentum * (new_bias - bias)
-        w, bias, t = new, new_bias, following
-    return w, bias
+def fit(bags: DataFrame, words: list[str], penalty: float) -> tuple[dict[str, float], float]:
+    """Weights of the words and the bias: Spark's logistic regression of ``toxic`` with an absolute penalty."""
+    bagged = CountVectorizerModel.from_vocabulary(words, inputCol="words", outputCol="features").transform(bags)
+    model = LogisticRegression(labelCol="toxic", regParam=penalty, elasticNetParam=1.0, standardization=False).fit(bagged)
+    return dict(zip(words, model.coefficients.toArray().tolist(), strict=True)), float(model.intercept)
+
+
+def constant(share: float) -> Scorer:
+    """Without texts of both classes every text has the share of the toxic ones as its score."""
+    return Scorer({}, {}, math.log((share + 1e-3) / (1 - share + 1e-3)))
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          per_class: int = 10_000, max_grams: int = 200_000, max_words: int = 1_000) -> Scorer:
-    """Fit both models on labelled rows; equal texts of a class count once, so copies do not vouch for each other.
+          max_grams: int = 200_000, max_words: int = 1_000) -> Scorer:
+    """Fit both models on all labelled rows; equal texts of a class count once, so copies do not vouch for each other.
 
-    The sample are the rows with the smallest hashes of their id.  Rows without label are left out.  Without labels of
-    both classes every text has the share of toxic labels (one half without any) as its score.
+    Rows without label are left out.  Without labels of both classes every text has the share of toxic labels (one half
+    without any) as its score.  The labelled texts and their bags of words are stored for the passes over them.
     """
     known = labels.filter(F.col(label_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("label_id"), (F.col(label_col) > 0).cast("int").alias("toxic"),
-        F.pmod(F.xxhash64(F.lit(5), F.col(id_col).cast("long")), F.lit(1 << 30)).alias("draw"))
-    counts = {row["toxic"]: row["count"] for row in known.groupBy("toxic").count().collect()}
-    share = {k: min(1.0, per_class / n) for k, n in counts.items()}
-    limit = F.when(F.col("toxic") == 1, share.get(1, 0.0) * (1 << 30)).otherwise(share.get(0, 0.0) * (1 << 30))
-    # About 2 * per_class narrow rows, whatever the corpus.
-    chosen = F.broadcast(known.filter(F.col("draw") < limit).select("label_id", "toxic"))
-    sample = texts(docs, id_col, text_col).join(chosen, F.col("doc_id") == F.col("label_id")).select("text", "toxic").distinct()
-    if len(counts) < 2:
-        rate = 0.5 if not counts else float(1 in counts)
-        return Scorer({}, {}, math.log((rate + 1e-3) / (1 - rate + 1e-3)))
-
-    words = sample.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]+"), F.lit(0))).alias("word"))
+        F.col(id_col).cast("long").alias("label_id"), (F.col(label_col) > 0).cast("int").alias("toxic"))
+    classes = {row["toxic"] for row in known.select("toxic").distinct().collect()}
+    if len(classes) < 2:
+        return constant(0.5 if not classes else float(1 in classes))
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    try:
+        hashed = texts(docs, id_col, text_col).withColumn("hash", F.sha2("text", 256))
+        # One row stands for the equal texts of a class; found on narrow rows, so that texts are shuffled once, at every size.
+        first = hashed.select("doc_id", "hash").join(known.hint("merge"), F.col("doc_id") == F.col("label_id")).groupBy(
+            "hash", "toxic").agg(F.min("doc_id").alias("doc_id"))
+        labelled = hashed.join(first.hint("merge"), ["doc_id", "hash"]).dropDuplicates(["doc_id", "hash", "toxic"]).select("text", "toxic")
+        return _fitted(scratch, scratch.store(labelled, "texts"), max_grams, max_words)
+    finally:
+        scratch.drop()
+
+
+def _fitted(scratch: Scratch, labelled: DataFrame, max_grams: int, max_words: int) -> Scorer:
+    sizes = {row["toxic"]: row["count"] for row in labelled.groupBy("toxic").count().collect()}
+    if len(sizes) < 2:
+        return constant(0.5 if not sizes else float(1 in sizes))
+    words = labelled.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]+"), F.lit(0))).alias("word"))
     words = words.groupBy("word").count()
     marked = F.concat(F.lit(BORDER), "word", F.lit(BORDER))
     grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(ORDER)), lambda size: F.transform(
@@ -196,46 +197,28 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     found = words.select("count", F.explode(grams).alias("gram")).groupBy("gram").agg(F.sum("count").alias("n"))
     found = found.orderBy(F.desc("n"), "gram").limit(max_grams).select("gram", "n").toArrow()
     scorer = Scorer(dict(zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True)), {}, 0.0)
-    shared = docs.sparkSession.sparkContext.broadcast(scorer)
+    shared = labelled.sparkSession.sparkContext.broadcast(scorer)
 
-    schema = pa.schema([("toxic", pa.int32()), ("row", pa.int64()), ("words", pa.list_(pa.string()))])
+    schema = pa.schema([("toxic", pa.int32()), ("words", pa.list_(pa.string()))])
 
     def restored(records: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         restorer = Restorer(CharacterModel(shared.value.counts))
         for record in records:
-            for text, toxic, row in columns(record, "text", "toxic", "row"):
-                yield toxic, row, sorted(restorer.words(text))
-
-    numbered = sample.withColumn("row", F.xxhash64("text", "toxic"))
-    bags = numbered.mapInArrow(lambda records: batches(schema, restored(records), 500), "toxic int, row long, words array<string>")
-    # The bounded sample's bags of words are kept for two passes.
-    bags = bags.persist()
-    try:
-        sizes = {row["toxic"]: row["count"] for row in bags.groupBy("toxic").count().collect()}
-        seen = bags.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(
-            F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).filter("t + c >= 5")
-        # Log odds with half a text added, in standard errors.
-        odds = (F.log((F.col("t") + 0.5) / (sizes.get(1, 0) + 1.0)) - F.log((F.col("c") + 0.5) / (sizes.get(0, 0) + 1.0))) / F.sqrt(
-            1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
-        best = seen.orderBy(F.desc(F.abs(odds)), "word").limit(max_words).select("word").toPandas()["word"].tolist()
-        place = {w: i for i, w in enumerate(best)}
-        kept = bags.select("toxic", "row", F.array_intersect("words", F.array(*map(F.lit, best))).alias("words")) if best else \
-            bags.select("toxic", "row", F.array().cast("array<string>").alias("words"))
-        local = kept.toArrow().to_pandas()
-    finally:
-        bags.unpersist()
-    rows = np.repeat(np.arange(len(local)), [len(x) for x in local["words"]])
-    features = np.array([place[w] for words_ in local["words"] for w in words_], np.int64)
-    toxic = local["toxic"].to_numpy(float)
-    weight = np.where(toxic == 1, 1 / share[1], 1 / share[0])  # back to the classes' shares
+            for text, toxic in columns(record, "text", "toxic"):
+                yield toxic, sorted(restorer.words(text))
+
+    bags = scratch.store(labelled.mapInArrow(lambda records: batches(schema, restored(records), 500), "toxic int, words array<string>"), "bags")
+    seen = bags.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(
+        F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).filter("t + c >= 5")
+    # Log odds with half a text added, in standard errors.
+    odds = (F.log((F.col("t") + 0.5) / (sizes[1] + 1.0)) - F.log((F.col("c") + 0.5) / (sizes[0] + 1.0))) / F.sqrt(
+        1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
+    best = seen.orderBy(F.desc(F.abs(odds)), "word").limit(max_words).select("word").toPandas()["word"].tolist()
     # First which words speak for toxicity, then how much they do, without the shrinking that chose them.
-    speaks, _ = fit(rows.astype(np.int64), features, len(best), toxic, weight, 2e-4)
-    kept_words = [w for w, i in place.items() if speaks[i] > 0]
-    new = np.full(len(best), -1, np.int64)
-    new[[place[w] for w in kept_words]] = np.arange(len(kept_words))
-    held = new[features] >= 0
-    fitted, bias = fit(rows[held].astype(np.int64), new[features[held]], len(kept_words), toxic, weight, 1e-5)
-    return Scorer(scorer.counts, dict(zip(kept_words, fitted.tolist(), strict=True)), float(bias))
+    speaks = [w for w, weight in fit(bags, best, 2e-4)[0].items() if weight > 0] if best else []
+    if not speaks:
+        return Scorer(scorer.counts, {}, math.log(sizes[1] / sizes[0]))
+    return Scorer(scorer.counts, *fit(bags, speaks, 1e-5))
 
 
 def rate(docs: DataFrame, scorer: Scorer, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -145,6 +145,17 @@ def test_toxicity_of_held_out_texts(spark):
     assert np.mean([a > b for a in high for b in low]) >= 0.7
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """The words of single rows among many: whatever rows a sample left out, their words would be missed."""
+    rows = [(i, f"plain text number{'abcdefghij'[i % 10]} says {'badly ' if i % 2 else ''}things{i // 10}", i % 2) for i in range(21_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    scorer = toxicity.train(frame, frame)
+    # Every text is distinct, so the count of a word is the number of rows it was learned from.
+    assert scorer.counts[" pla"] == len(rows) and scorer.counts[" bad"] == len(rows) // 2
+    scores = {r["doc_id"]: r["score"] for r in toxicity.rate(frame.limit(50), scorer).collect()}
+    assert all((s >= 0.5) == (i % 2 == 1) for i, s in scores.items())
+
+
 def test_toxicity_of_odd_rows(spark):
     labels = spark.createDataFrame([(4, 1, "x"), (5, 1, "x"), (8, 0, "x"), (8, 0, "x"), (1, None, "x"), (None, 1, "x"), (99, 0, "x")],
                                    "doc_id long, toxic int, text string")

@@ -148,6 +148,34 @@ def test_requests_of_one_session_are_not_mixed(spark):
     assert blocking.longest_blocked(blocked).count() == blocking.blocking_summary(blocked, roster(spark, 1)).first()[2] == 4
 
 
+def test_statements_are_fetched_for_chosen_requests_only(spark):
+    """Rows that share a key keep their own statement each, rows without a request id or a statement stay."""
+    asked = [{"session_id": s, "request_id": r, "cpu_time": cpu, "sql_text": t} for s, r, cpu, t in (
+        (1, 0, 90_000, "a\nb"), (1, 0, 90_000, "a\nb"), (1, 0, 70_000, "c"), (2, None, 60_000, "d"), (3, 0, 50_000, None), (4, 0, 1, "a b"))]
+    raw, seen = landing(spark, "raw_requests", asked), sessions(spark, 1, 2, 3, 4)
+    for params in (requests.RequestParams(), requests.RequestParams(max_text_length=2)):
+        base, narrow = requests.active_requests(raw, seen, params), requests.active_requests(raw, seen, params, statements=False)
+        assert "SqlText" not in narrow.columns and sorted(map(str, base.drop("SqlText").collect())) == sorted(map(str, narrow.collect()))
+        assert {(r.session_id, r.cpu_time, r.SqlText) for r in base.collect()} == {
+            (x["session_id"], x["cpu_time"], x["sql_text"] and x["sql_text"].replace("\n", " ")[:params.max_text_length]) for x in asked}
+        late, early = requests.expensive_requests(narrow, params, raw), requests.expensive_requests(base, params)
+        assert late.columns == early.columns and late.orderBy("rn").collect() == early.orderBy("rn").collect()
+        assert late.count() == 5
+
+
+def test_texts_of_repeated_requests_are_not_shuffled(spark):
+    asked = [{"session_id": s, "request_id": 0, "sql_text": "x"} for s in (1, 2)]
+    raw = landing(spark, "raw_requests", asked)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = requests.active_requests(raw, sessions(spark, 1, 2), statements=False)
+        found = requests.repeated_requests(base, raw)
+        assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+        assert [(r.ActiveRequestCount, r.SampleSqlText) for r in found.collect()] == [(2, "x")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_attribution_has_one_row_per_label_and_kind(spark):
     raw = landing(spark, "raw_requests", [{"session_id": n, "database_name": d, "cpu_time": 5, "blocking_session_id": n}
                                           for n, d in enumerate(["x", "x", "", None])])

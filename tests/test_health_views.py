@@ -202,6 +202,21 @@ def test_null_and_empty_names_are_one_series(spark):
     assert [r.MetricValue for r in pv.latest_metrics(first.unionByName(second)).collect()] == [2]
 
 
+def test_series_are_ranked_with_each_name_once(spark):
+    rows = metrics(spark, [(1, DAY, "c", 1)], DatabaseName="", ObjectName=None, InstanceName=None).unionByName(
+        metrics(spark, [(1, DAY + timedelta(hours=1), "c", 2)], DatabaseName=None, ObjectName="", InstanceName="")).unionByName(
+        metrics(spark, [(1, DAY, "c", 3)], DatabaseName="db", ObjectName="", InstanceName=None))
+    latest = rv.metric_latest(rows, instances(spark, 1))
+    assert {(r.DatabaseName, r.ObjectName, r.CounterInstanceName, r.MetricValue) for r in latest.collect()} == {
+        (None, "", "", 2), ("db", "", None, 3)}
+    stored = pv.latest_metrics(rows)
+    assert {(r.DatabaseName, r.ObjectName, r.InstanceName, r.MetricValue) for r in stored.collect()} == {
+        ("", None, None, 1), (None, "", "", 2), ("db", "", None, 3)}
+    # A key made of a name would be carried beside it as _w0, _w1 and so on.
+    for view in (latest, stored):
+        assert "_w0" not in view._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_health_summary_without_metrics_is_healthy(spark):
     row = pv.operations_summary(pv.instance_health_summary(metrics(spark, [(7, DAY, "c", 1)]), instances(spark, 1))).first()
     assert (row.HealthStatus, row.FailedJobs, row.LastMetricCaptureTime) == ("Healthy", 0, None)

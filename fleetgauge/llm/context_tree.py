@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -82,37 +83,59 @@ def _chunks(rows: Iterable[tuple], size: int = _CHUNK) -> Iterator[list[tuple]]:
         yield out
 
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(at, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Which of the ordered keys differ from the one before."""
+    out = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=out[1:])
+    return out
+
+
+def _run(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and how often each occurs."""
+    ordered = np.sort(keys)
+    at = np.flatnonzero(_firsts(ordered))
+    return ordered[at], np.diff(at, append=len(ordered))
+
+
+def _merged(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Runs as one; a stable sort merges what is in order already."""
+    keys, n = (np.concatenate([run[i] for run in runs]) for i in (0, 1))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    at = np.flatnonzero(_firsts(keys))
+    return keys[at], np.add.reduceat(n[order], at)
 
 
 def _count(limit: int, size: int):
-    """Distinct words and grams of a task with their counts, sent when ``limit`` words or ``_HELD`` grams are held."""
-    def out(words: list[Counter], parts: list[list]) -> Iterator[pa.RecordBatch]:
-        everything = Counter(words[0])
-        everything.update(words[1])
-        names = list(everything)
+    """Distinct words and grams of a task with their counts, sent when ``limit`` words or ``_HELD`` grams are held.
+
+    Grams are held as twice their number, plus one if a training text has them.
+    """
+    def out(words: list[Counter], runs: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        other, train = words
+        only = list(other.keys() - train.keys())
+        names = [*train, *only]
+        trained = np.zeros(len(names), np.int64)
+        trained[:len(train)] = np.fromiter(train.values(), np.int64, len(train))
+        total = trained + np.fromiter(map(other.get, names, repeat(0)), np.int64, len(names))
         for at in range(0, len(names), 50_000):
-            some = names[at:at + 50_000]
-            yield batch(_COUNTED, [(w, None, words[1][w], everything[w]) for w in some])
-        held = [_merged(p) if p else (np.empty(0, np.int64), np.empty(0, np.int64)) for p in parts]
-        if len(held[0][0]) + len(held[1][0]):
-            keys = np.union1d(held[0][0], held[1][0])
-            train, all_ = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-            for fold, (mine, n) in enumerate(held):
-                at = np.searchsorted(keys, mine)
-                all_[at] += n
-                if fold:
-                    train[at] += n
-            for at in range(0, len(keys), 50_000):
+            some = slice(at, at + 50_000)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names[some], pa.binary()), pa.nulls(len(names[some]), pa.int64()), pa.array(trained[some]), pa.array(total[some])],
+                schema=_COUNTED)
+        if runs:
+            keys, n = _merged(runs)
+            found = keys >> 1
+            at = np.flatnonzero(_firsts(found))
+            found, total, trained = found[at], np.add.reduceat(n, at), np.add.reduceat(n * (keys & 1), at)
+            for at in range(0, len(found), 50_000):
                 some = slice(at, at + 50_000)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(keys[some]), pa.binary()), pa.array(keys[some]), pa.array(train[some]), pa.array(all_[some])],
+                    [pa.nulls(len(found[some]), pa.binary()), pa.array(found[some]), pa.array(trained[some]), pa.array(total[some])],
                     schema=_COUNTED)
 
     def work(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, parts = [Counter(), Counter()], [[], []]
+        words, runs = [Counter(), Counter()], []
 
         def cut() -> Iterator[tuple[int, bytes]]:
             for record in records:
@@ -123,19 +146,18 @@ def _count(limit: int, size: int):
 
         full = False
         for some in _chunks(cut(), size):
-            for fold in (0, 1):
-                mine = [piece for f, piece in some if f == fold]
-                if mine:
-                    parts[fold].append(np.unique(grams(mine)[0], return_counts=True))
-            if sum(len(k) for p in parts for k, _ in p) > _HELD + _HELD // 2:
-                parts = [[_merged(p)] if p else [] for p in parts]
-                full = sum(len(p[0][0]) for p in parts if p) > _HELD
+            found, starts = grams([piece for _, piece in some])
+            folds = np.repeat(np.array([fold for fold, _ in some], np.int64), np.diff(starts, append=len(found)))
+            runs.append(_run(found << 1 | folds))
+            if sum(len(keys) for keys, _ in runs) > _HELD + _HELD // 2:
+                runs = [_merged(runs)]
+                full = len(runs[0][0]) > _HELD
             if full or len(words[0]) + len(words[1]) > limit:
-                yield from out(words, parts)
-                parts, full = [[], []], False
+                yield from out(words, runs)
+                runs, full = [], False
                 words[0].clear()
                 words[1].clear()
-        yield from out(words, parts)
+        yield from out(words, runs)
 
     return work
 
@@ -281,43 +303,53 @@ def _frequent(counted: DataFrame, limit: int) -> DataFrame:
     return counted.filter(size >= least) if least is not None else counted.limit(0)
 
 
+def looked_up(found: np.ndarray, keys: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each gram's value among the ordered keys, 0 if it is none of them, and which are."""
+    if not len(keys):
+        return np.zeros(len(found)), np.zeros(len(found), bool)
+    order = np.argsort(found)
+    ordered = found[order]
+    at = np.flatnonzero(_firsts(ordered))
+    distinct = ordered[at]
+    near = np.searchsorted(keys, distinct)
+    near[near == len(keys)] = 0
+    value = np.empty(len(found))
+    value[order] = np.repeat(np.where(keys[near] == distinct, logs[near], np.nan).astype(float), np.diff(at, append=len(found)))
+    known = ~np.isnan(value)
+    return np.where(known, value, 0.0), known
+
+
 def _score(shared: Broadcast, size: int):
     def work(records: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         names, counts, keys, logs = shared.value
-        words = dict(zip(names.to_pylist(), zip(np.log10(counts + 1).tolist(), (counts > 0).tolist(), strict=True), strict=True))
+        words = {word: i for i, word in enumerate(names.to_pylist())}
+        # The last entry is what a word that is not among them, at -1, adds.
+        word_log, trained = np.append(np.log10(counts + 1), 0.0), np.append(counts > 0, False)
+
         def cut() -> Iterator[tuple]:
             """A tuple per piece; the last piece of a text carries what is known of the text."""
             nonlocal row
             for record in records:
                 for doc_id, text in columns(record, "doc_id", "text"):
                     tokens = text.lower().split()
-                    known, total, rare, times = 0, 0.0, [], []
-                    for word, n in Counter(tokens).items():
-                        value = words.get(word)
-                        if value is None:
-                            rare.append(word)
-                            times.append(n)
-                        else:
-                            total += n * value[0]
-                            known += n * value[1]
+                    at = np.fromiter(map(words.get, tokens, repeat(-1)), np.int64, len(tokens))
+                    known, total = int(np.count_nonzero(trained[at])), float(word_log[at].sum())
+                    absent = at < 0
+                    rare = Counter(compress(tokens, absent.tolist())) if absent.any() else {}
                     row += 1
                     whole = stream(tokens)
                     parts = pieces(whole, size)
                     for piece in parts[:-1]:
                         yield row, False, doc_id, 0, 0, 0, 0.0, [], [], piece
-                    yield row, True, doc_id, len(tokens) + 1, len(whole), known, total, rare, times, parts[-1]
+                    yield row, True, doc_id, len(tokens) + 1, len(whole), known, total, list(rare), list(rare.values()), parts[-1]
 
         sum_before = 0.0  # of the earlier pieces of the text that is being read
         for some in _chunks(cut(), size):
             found, starts = grams([x[-1] for x in some])
-            distinct, at = np.unique(found, return_inverse=True)
-            place = np.searchsorted(keys, distinct)
-            place[place == len(keys)] = 0
-            hit = keys[place] == distinct if len(keys) else np.zeros(len(distinct), bool)
-            value = np.where(hit, logs[place], 0.0).astype(float) if len(keys) else np.zeros(len(distinct))
-            sums = np.add.reduceat(value[at], starts)
-            missing = np.flatnonzero(~hit[at])
+            value, hit = looked_up(found, keys, logs)
+            sums = np.add.reduceat(value, starts)
+            missing = np.flatnonzero(~hit)
             owner = np.searchsorted(starts, missing, "right") - 1
             cuts = np.searchsorted(owner, np.arange(len(some) + 1))
             rest, out = found[missing], []

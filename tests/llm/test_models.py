@@ -253,6 +253,37 @@ def test_a_context_gives_all_bytes_a_probability_of_one_together():
     assert whole[np.searchsorted(every, asked)].sum() == pytest.approx(1)
 
 
+def test_counts_of_words_and_grams_are_merged_by_run():
+    texts = [(1, b"to be or not to be"), (0, b"to be"), (1, b""), (0, b"or else")] * 3
+    keys, n = context_tree._merged([context_tree._run(np.array(x)) for x in ([5, 3, 5], [7, 3], [5])])
+    assert keys.tolist() == [3, 5, 7] and n.tolist() == [2, 3, 1]
+    words, found = (Counter(), Counter()), (Counter(), Counter())
+    for fold, text in texts:
+        tokens = text.split()
+        mine = context_tree.grams([*context_tree.pieces(context_tree.stream(tokens))])[0].tolist()
+        for told, seen in ((words, tokens), (found, mine)):
+            told[1].update(seen)
+            if fold:
+                told[0].update(seen)
+    for limit, size in ((1000, 1000), (2, 7)):  # one batch of counts, and one every few words
+        record = pa.RecordBatch.from_arrays([pa.array([f for f, _ in texts]), pa.array([t for _, t in texts], pa.binary())], ["train", "text"])
+        counted = [row for out in context_tree._count(limit, size)(iter([record])) for row in out.to_pylist()]
+        for name, (train, every) in (("word", words), ("gram", found)):
+            sums = Counter(), Counter()
+            for row in counted:
+                if row[name] is not None:
+                    sums[0][row[name]] += row["n_train"]
+                    sums[1][row[name]] += row["n_all"]
+            assert +sums[0] == train and sums[1] == every
+
+
+def test_grams_are_looked_up_in_place():
+    keys, logs = np.array([2, 4, 9]), np.array([-1.0, -2.0, -3.0], np.float32)
+    value, known = context_tree.looked_up(np.array([9, 1, 4, 9, 10, 2]), keys, logs)
+    assert value.tolist() == [-3, 0, -2, -3, 0, -1] and known.tolist() == [True, False, True, True, False, True]
+    assert not context_tree.looked_up(np.array([1, 2]), keys[:0], logs[:0])[1].any()
+
+
 def test_context_trees_of_odd_rows(spark):
     rows = context_tree.score(odd(spark), F.col("doc_id") > 3).collect()
     assert len(rows) == len(ROWS) and all(r["score"] < 0 and r["base_score"] < 0 for r in rows)

@@ -4,10 +4,12 @@ import random
 from datetime import datetime, timedelta
 from decimal import Decimal
 from threading import Barrier, Thread
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
 
+from fixtures import registry
 from fleetgauge import schemas
 from fleetgauge.operators import inventory, retention, runs
 from fleetgauge.params import RetentionParams
@@ -246,6 +248,28 @@ def test_a_refresh_reads_only_what_is_new(spark, tmp_path):
     assert latest_state.refresh(spark, history, state).number == version.number
 
 
+def test_rows_are_written_once_and_their_days_appear_in_turn(spark, tmp_path):
+    path, rows = str(tmp_path / "t"), plain(spark, 0, 1, 2, 3, 4).union(spark.createDataFrame([(9, None)], PLAIN))
+    turns = [lambda d: d.day > 11, lambda d: d.day > 20, lambda d: d.day == 10]
+    seen = [held(VersionedTable(spark, path, "capture_date")) for _ in tables.append_in_turn(rows, path, "capture_date", turns)]
+    assert seen == [[2], [2], [0, 2, 3]]
+    table = VersionedTable(spark, path, "capture_date")
+    assert len(table.files.names("data")) == 1
+    table.vacuum(grace_seconds=-1)
+    assert held(table) == [0, 2, 3]
+
+
+def test_the_maintained_state_derives_its_captures_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "scratch", lambda i, purpose: str(tmp_path / purpose))
+    rows = captures(spark, [(i, 24 * d + 5, "c", 100 * i + d) for i in (1, 2) for d in (-9, -5, 3, 12, 15) if i + d != 17])
+    state = registry._state(SimpleNamespace(spark=spark, metric_snapshot=rows))
+    history = tables.open_table(spark, str(tmp_path / "history"), "MetricSnapshot")
+    assert sorted(r.MetricValue for r in state.collect()) == [112, 115, 203, 212]
+    assert history.latest().number == 3 and len(history.files.names("data")) == 1
+    assert history.latest().read(schemas.METRIC_SNAPSHOT).count() == 9
+    same_views(spark, history.path, str(tmp_path / "state"), instances(spark, 1, 2))
+
+
 def test_two_refreshes_at_once_leave_the_state_right(spark, tmp_path):
     history, state = str(tmp_path / "h"), str(tmp_path / "s")
     tables.append(captures(spark, [(1, h, "c", h) for h in (1, 2, 3)]), history, "capture_date")
